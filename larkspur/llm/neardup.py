@@ -9,11 +9,13 @@ How candidates stay linear in the input:
 1. Texts with equal shingle sets collapse into one node before banding (partial aggregation, so a group of copies of any
    size costs one row per task).
 2. Each node is compared with the smallest node of its buckets, one pair per node. Confirmed pairs make components.
-3. A bucket whose nodes already share one component can add nothing and retires. In every other bucket the nodes that
-   are outside the leader's component are compared with a second and a third leader, and again components are merged.
-4. Only pairs of different components that still share a bucket and whose sizes allow the threshold are compared one by
-   one. No pair is dropped, so every link between different texts that banding can see is confirmed or refuted, or its
-   two ends are already known to be connected.
+3. A bucket whose nodes already share one component can add nothing and retires.
+4. In the other buckets every two nodes of different components are compared: in buckets of at most ``SMALL`` nodes as
+   pairs, in larger ones in blocks of about ``BLOCK`` nodes, two blocks a task, where one matrix product counts all intersections
+   and only links that join components leave the task. Two blocks of one and the same component are left out.
+
+No pair of different components is dropped, so every link between different texts that banding can see is confirmed or
+refuted, or its two ends are already known to be connected.
 
 Edge cases: null or empty texts and texts of white space have no set, ``n_shingles`` 0 and are linked with nothing. Repeated
 rows are copies. Rows whose doc_id is null take part in links; a component of nulls only has a null id, and its rows are
@@ -38,6 +40,9 @@ SHINGLE_WORDS = 5
 BANDS, ROWS = 30, 5
 #: A link needs 100 * |intersection| >= PERCENT * |union|.
 PERCENT = 75
+#: Buckets up to SMALL nodes are compared as pairs, larger ones in blocks of about BLOCK nodes.
+SMALL, BLOCK = 8, 512
+_COLUMNS = 4096  # shingles of a block counted at once
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -179,47 +184,79 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "label")
 
 
-def _with_label(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _with_label(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Adds ``label``: the component of ``node``, itself if it has no link yet."""
-    if labels is None:
-        return rows.withColumn("label", F.col("node"))
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The members, with labels, of the buckets that still hold more than one component."""
-    tagged = _with_label(members, labels)
-    mixed = tagged.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    return tagged.join(mixed, "bucket")
-
-
-def node_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int = PERCENT) -> DataFrame | None:
+def _block_links(percent: int):
+    """A function that finds, in one group of nodes (node, label, items), links enough to join all components they join."""
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes, labels = group.column("node").to_numpy(), group.column("label").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("items")]
+        sizes = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(often[token] > 1)
+        order = shared[np.argsort(token[shared], kind="stable")]
+        rank = np.unique(token[order], return_inverse=True)[1]
+        common = np.zeros((len(sets), len(sets)), np.float32)  # counts below 2**24 are exact
+        for lo in range(0, int(rank[-1]) + 1 if len(rank) else 0, _COLUMNS):
+            a, b = np.searchsorted(rank, [lo, lo + _COLUMNS])
+            has = np.zeros((len(sets), min(_COLUMNS, int(rank[-1]) + 1 - lo)), np.float32)
+            has[owner[order[a:b]], rank[a:b] - lo] = 1.0
+            common += has @ has.T
+        union = sizes[:, None] + sizes[None, :] - common
+        close = (100 * common.astype(np.float64) >= percent * union) & (labels[:, None] != labels[None, :])
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while parent.get(x, x) != x:
+                parent[x] = x = parent.get(parent[x], parent[x])
+            return x
+
+        found = []
+        for i, j in np.argwhere(np.triu(close, 1)).tolist():
+            x, y = top(int(labels[i])), top(int(labels[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                found.append((int(nodes[i]), int(nodes[j])))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return run
+
+
+def _blocked(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links between components inside large buckets; ``rows`` has bucket, node, label and the bucket's size n."""
+    placed = rows.withColumn("n_blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
+    ranges = placed.groupBy("bucket", "own").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    ranges = ranges.groupBy("bucket").agg(F.collect_list(F.struct("own", "low", "high")).alias("others"))  # a row for each block
+    spread = placed.join(ranges, "bucket")
+    mine = F.get(F.filter("others", lambda o: o["own"] == F.col("own")), 0)
+    useful = F.filter("others", lambda o: (F.least(o["low"], mine["low"]) != F.greatest(o["high"], mine["high"])))
+    sent = spread.select("bucket", "node", "label", "own", F.explode(useful).alias("other"))
+    keyed = sent.select("bucket", F.least("own", "other.own").alias("i"), F.greatest("own", "other.own").alias("j"), "node", "label")
+    return keyed.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
+
+
+def node_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int = PERCENT, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """node and label of all nodes with a confirmed link; ``nodes`` has node, rep, set_key, size and bands."""
     banded = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
     members = written(banded.join(shared, "bucket"), "nd-members")
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "rep", "set_key")
     sets = written(_node_sets(docs, wanted, id_col, text_col).dropDuplicates(["node"]), "nd-sets")
-    edges = labels = None
-    tried = None
-    # Three rounds of leaders: the least, the greatest and a scrambled choice of each open bucket; one pair a node and round.
-    for order in (F.col("node"), -F.col("node"), F.xxhash64("node")):
-        open_now = members.withColumn("label", F.col("node")) if labels is None else written(_open_buckets(members, labels), "nd-open")
-        leader = open_now.groupBy("bucket").agg(F.min(F.struct(order.alias("rank"), F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("size").alias("b_size"))).alias("lead"))
-        pairs = open_now.join(leader, "bucket").where("label <> lead.b_label").where(f"100 * least(size, lead.b_size) >= {percent} * greatest(size, lead.b_size)")
-        pairs = pairs.groupBy(F.col("node").alias("a")).agg(F.min("lead.rank").alias("rank"), F.min_by("lead.b", "lead.rank").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "nd-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        good = written(_confirmed(pairs, sets, percent), "nd-links")
-        edges = good if edges is None else edges.unionByName(good)
-        labels = components(edges)
-    # What is left: pairs of different components in one bucket.
-    rest = written(_open_buckets(members, labels), "nd-open")
-    a, b = rest.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("size").alias("sa")), rest.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("size").alias("sb"))
-    pairs = a.join(b, "bucket").where(f"a < b and la <> lb and 100 * least(sa, sb) >= {percent} * greatest(sa, sb)").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    good = written(_confirmed(written(pairs, "nd-pairs"), sets, percent), "nd-links")
-    return components(edges.unionByName(good))
+    first = members.where("leader <> node").groupBy(F.col("node").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
+    edges = written(_confirmed(first, sets, percent), "nd-links")
+    tagged = _with_label(members.drop("n", "leader"), components(edges))
+    still = tagged.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket", "n")
+    rest = written(tagged.join(still, "bucket"), "nd-open")
+    few = rest.where(F.col("n") <= small)
+    a, b = few.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("size").alias("sa")), few.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("size").alias("sb"))
+    pairs = a.join(b, "bucket").where(f"a < b and la <> lb and 100 * least(sa, sb) >= {percent} * greatest(sa, sb)").select("a", "b").distinct()
+    more = _confirmed(pairs, sets, percent).unionByName(_blocked(rest.where(F.col("n") > small), sets, percent, block))
+    return components(edges.unionByName(written(more, "nd-links")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
