@@ -27,10 +27,10 @@ from tokenizers import Tokenizer
 
 from larkspur.llm.scratch import small_batches
 
-LONG, LEAF = 512, 256
+LONG, LEAF = 512, 512
 #: First window (characters on each side of a join), and how far from a cut a token must end to be trusted: more than the
 #: longest special token or contraction.
-WINDOW, GUARD = 48, 20
+WINDOW, GUARD = 96, 20
 #: Chunk encodings a worker keeps: two generations of half as many each.
 CACHE_CHUNKS = 500_000
 

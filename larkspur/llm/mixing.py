@@ -45,9 +45,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     before, onward = by_room.rowsBetween(Window.unboundedPreceding, -1), by_room.rowsBetween(0, Window.unboundedFollowing)
     weighed = sizes.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(repeats)).withColumn("room", F.col("cap") / F.col("weight"))
     levelled = weighed.withColumn("level", (F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(onward))
-    # The level at the first source that is not capped holds for it and all later ones.
-    level = F.min(F.when(F.col("level") <= F.col("room"), F.struct("room", "level"))).over(Window.partitionBy())["level"]
-    out = levelled.withColumn("final", F.coalesce(level, F.lit(float("inf"))))
+    # The level at the first source that is not capped holds for it and all later ones; of equal rooms the first has the highest level.
+    first = F.min(F.when(F.col("level") <= F.col("room"), F.struct("room", (-F.col("level")).alias("minus")))).over(Window.partitionBy())
+    out = levelled.withColumn("final", F.coalesce(-first["minus"], F.lit(float("inf"))))
     return out.select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("final") * F.col("weight")).alias("target"))
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str | None = "text", size_col: str | None = None, quality: Column | None = None, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:

@@ -168,7 +168,7 @@ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
 r AS (SELECT *, {repeats} * source_size AS cap, {repeats} * source_size / weight AS room FROM s),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY room, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
         / sum(weight) OVER (ORDER BY room, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
-t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), weight * coalesce((SELECT arg_min(level, room) FROM l WHERE level <= room), 'inf'::DOUBLE)) AS target FROM l),
+t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), weight * coalesce((SELECT level FROM l WHERE level <= room ORDER BY room, level DESC LIMIT 1), 'inf'::DOUBLE)) AS target FROM l),
 e AS (SELECT *, CAST(round(target) AS BIGINT) AS whole, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM t),
 p AS (SELECT d.doc_id, d.source, d.size, source_size, target, epochs, whole - epochs * source_size AS budget,
         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior

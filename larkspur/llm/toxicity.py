@@ -78,7 +78,7 @@ def fit(documents: list[tuple[int, np.ndarray, np.ndarray]]) -> MilModel:
     labels = np.array([d[0] for d in documents], bool)
     if not labels.any() or labels.all():
         rate = float(labels.mean()) if len(labels) else 0.0
-        return MilModel(np.empty(0, np.uint64), np.empty(0), -30.0, min(rate, 0.999))
+        return MilModel(np.empty(0, np.uint64), np.empty(0), -np.inf, min(rate, 0.999))
     seen, often = np.unique(np.concatenate([np.unique(d[1]) for d in documents]), return_counts=True)
     vocabulary = seen[often >= min(MIN_DOCS, max(1, len(documents) // 50))]
     if not len(vocabulary):

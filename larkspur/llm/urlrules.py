@@ -99,10 +99,10 @@ def _joined(parsed: DataFrame, rules: DataFrame, id_col: str, default: str) -> D
     """The same result for any number of rules: an equi-join on every parent domain of a host."""
     labels = F.split("host", r"\.", -1)
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    hosts = parsed.select("host").distinct().withColumn("parent", F.explode(parents))
+    asked = parsed.select("host", "path").distinct()
+    hosts = asked.select("host").distinct().withColumn("parent", F.explode(parents))
     chains = hosts.join(rules.select(F.col("host").alias("parent"), F.col("path").alias("rule_path"), "verdict"), "parent")
-    numbered = parsed.withColumn("row", F.monotonically_increasing_id())
-    fits = numbered.join(chains, "host").where(F.col("path").startswith(F.col("rule_path")))
-    best = fits.groupBy("row").agg(F.max_by(F.struct(F.concat("parent", "rule_path").alias("rule"), "verdict"), F.struct(F.length("parent"), F.length("rule_path"))).alias("won"))
-    out = numbered.join(best, "row", "left")
+    fits = asked.join(chains, "host").where(F.col("path").startswith(F.col("rule_path")))
+    best = fits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("parent", "rule_path").alias("rule"), "verdict"), F.struct(F.length("parent"), F.length("rule_path"))).alias("won"))
+    out = parsed.join(best, ["host", "path"], "left")
     return out.select(F.col("page").alias(id_col), "host", "path", F.col("won.rule").alias("rule"), F.coalesce("won.verdict", F.lit(default)).alias("verdict"))
