@@ -17,31 +17,24 @@ from larkspur.llm.scratch import shared_dir
 
 ORACLE_SQL = None
 
-#: The columns that pass from stage to stage.
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
-def _keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``decided`` (null matches null)."""
-    ids = decided.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5. A document id all of whose rows are rejected goes."""
+    """Rows scored below 0.5."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _keep(docs, toxicity.score(docs, model).where("predicted = 0"))
+    return toxicity.with_score(docs, model).where("toxicity_score < 0.5").select(*docs.columns)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: not ``und``, and with a posterior of at least one half."""
-    found = langid.identify(docs, langid.train(docs))
-    return _keep(docs, found.where(F.col("lang_pred") != langid.UNKNOWN).where("score >= 0.5"))
+    """Rows whose language is known: not ``und``, and with a posterior of at least one half."""
+    found = langid.with_language(docs, langid.train(docs))
+    return found.where(F.col("lang_found") != langid.UNKNOWN).where("lang_score >= 0.5").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return _keep(docs, neardup.near_duplicates(docs).where("kept"))
+    """One document of each group of near duplicates; of repeated rows one stays."""
+    ids = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

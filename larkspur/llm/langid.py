@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.llm.scratch import small_batches
 from larkspur.llm.toxicity import held_out
@@ -180,3 +181,17 @@ def identify(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id", text_co
 
     narrow = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def with_language(docs: DataFrame, model: NaiveBayes, text_col: str = "text", names: tuple[str, str] = ("lang_found", "lang_score")) -> DataFrame:
+    """All columns of ``docs``, the language of each row and its posterior; columns of those names are replaced."""
+    docs = small_batches(docs.drop(*names))
+    where = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, scores = shared.value.score(batch.column(where).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, *names])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]))

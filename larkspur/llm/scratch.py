@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from larkspur.sources.workdir import new_dir, shared_dir
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local folder only where the session names none (single-machine tests)."""
-    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-larkspur-")
-        spark.conf.set(CHECKPOINT_CONF, base)
-    return base.rstrip("/")
+__all__ = ["shared_dir", "small_batches", "written"]
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    path = new_dir(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.llm.scratch import small_batches
 from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
@@ -157,6 +158,12 @@ def _scored(docs: DataFrame, model: MilModel, id_col: str, text_col: str, schema
     return narrow.mapInArrow(run, schema)
 
 
+def _noisy_or(z: np.ndarray, rows: np.ndarray, n: int, leak: float) -> np.ndarray:
+    """Scores of n documents from the logits of their sentences; ``rows`` names each sentence's document, ascending."""
+    first = np.searchsorted(rows, np.arange(n))
+    return np.clip(1.0 - (1.0 - leak) * np.exp(-segment_sums(_softplus(z), first)), 0.0, 1.0)
+
+
 def score(docs: DataFrame, model: MilModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, predicted, n_sentences and the byte span of the highest-scored sentence of every row."""
 
@@ -164,8 +171,7 @@ def score(docs: DataFrame, model: MilModel, id_col: str = "doc_id", text_col: st
         n = len(ids)
         first = np.searchsorted(rows, np.arange(n))
         count = np.bincount(rows, minlength=n)
-        scores = 1.0 - (1.0 - leak) * np.exp(-segment_sums(_softplus(z), first))
-        scores = np.clip(scores, 0.0, 1.0)
+        scores = _noisy_or(z, rows, n, leak)
         best = np.zeros(n, np.int64)
         if len(z):
             order = np.lexsort((spans[0], -z, rows))
@@ -182,6 +188,26 @@ def score(docs: DataFrame, model: MilModel, id_col: str = "doc_id", text_col: st
     return _scored(docs, model, id_col, text_col, "doc_id long, score double, predicted int, n_sentences long, worst_start long, worst_end long", emit)
 
 
+def with_score(docs: DataFrame, model: MilModel, text_col: str = "text", name: str = "toxicity_score") -> DataFrame:
+    """All columns of ``docs`` and the score of each row, for filters that must not join; a column of that name is replaced."""
+    docs = small_batches(docs.drop(name))
+    where = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = shared.value
+        for batch in batches:
+            data, offsets = buffer_of(batch.column(where))
+            scores = np.empty(batch.num_rows)
+            for lo, hi in row_slices(offsets):
+                hashes, first, rows, _ = sentences(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                z = fitted.bias + segment_sums(fitted.word_weights(hashes), first)
+                scores[lo:hi] = _noisy_or(z, rows, hi - lo, fitted.leak)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
 def locate(docs: DataFrame, model: MilModel, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, byte span, score and text of every sentence whose own score reaches ``threshold``."""
 
