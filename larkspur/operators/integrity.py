@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.quality import to_dlq
@@ -41,16 +41,18 @@ def fk_reason(child: DataFrame, parent: DataFrame, parent_clean: DataFrame, key:
     return joined.withColumn("fk_error", reason).drop("_known", "_good")
 
 
-def unique_key(df: DataFrame, key: str, order_by: list[str] | None = None) -> Matched:
+def unique_key(df: DataFrame, key: str, order_by: list[str] | None = None, salts: int = 64) -> Matched:
     """First row of each key (matched) and its repetitions (orphans), so that a join on the key cannot multiply rows.
 
     Rows with a null key are all kept. Only keys that occur more than once are sorted, so the usual unique key costs one count.
+    A hot key is sorted in ``salts`` parts, whose first rows are then compared.
     """
-    from pyspark.sql import Window
-
     repeated = df.groupBy(key).count().where(F.col("count") > 1).where(F.col(key).isNotNull()).select(F.col(key).alias("_again"))
     single = df.join(repeated, df[key] == F.col("_again"), "left_anti")
-    several = df.join(repeated, df[key] == F.col("_again"), "left_semi")
-    place = several.withColumn("_place", F.row_number().over(Window.partitionBy(key).orderBy(*(order_by or df.columns))))
-    first = place.where("_place = 1").drop("_place")
-    return Matched(single.unionByName(first), place.where("_place > 1").drop("_place"))
+    several = df.join(repeated, df[key] == F.col("_again"), "left_semi").withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    order = [F.col(c) for c in (order_by or df.columns)]
+    part = several.withColumn("_place", F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*order)))
+    heads = part.where("_place = 1").withColumn("_head", F.row_number().over(Window.partitionBy(key).orderBy(*order, "_salt")))
+    first = heads.where("_head = 1").drop("_salt", "_place", "_head")
+    again = part.where("_place > 1").drop("_salt", "_place").unionByName(heads.where("_head > 1").drop("_salt", "_place", "_head"))
+    return Matched(single.unionByName(first), again)
