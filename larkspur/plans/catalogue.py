@@ -339,13 +339,16 @@ def derived_rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(rows, rules).clean.select("source_key", *[f"warn_{r.name}" for r in rules])
 
 
-_SAMPLED = "CAST('0x' || substr(md5(CAST(c.claim_id AS VARCHAR) || '/42'), 1, 8) AS BIGINT) % 100 < 25"
+@registered(with_views("SELECT count(*) AS n_trainable FROM claims c JOIN claim_labels l ON c.claim_id = l.claim_id", "claims", "claim_labels"))
+def trainable_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled claims."""
+    return reports.trainable_count(views.claims(spark, sf_dir), views.labels(spark, sf_dir))
 
 
-@registered(with_views(f"SELECT count(*) AS n_trainable FROM claims c JOIN claim_labels l ON c.claim_id = l.claim_id WHERE {_SAMPLED}", "claims", "claim_labels"))
-def trainable_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled claims in a repeatable sample by key (the sample is the operator)."""
-    return reports.trainable_count(views.claims(spark, sf_dir), views.labels(spark, sf_dir), percent=25)
+@registered("SELECT o_orderkey FROM orders WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '/42'), 1, 8) AS BIGINT) % 100 < 1")
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampling operator: one row in a hundred, by key."""
+    return projections.sample_rows(views.table(spark, sf_dir, "orders"), 1, "o_orderkey").select("o_orderkey")
 
 
 _MONTH = "strftime(o_orderdate, '%Y-%m')"
