@@ -84,7 +84,7 @@ def bronze_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", F.col("source_file").isNotNull().alias("has_source"), F.col("ingestion_timestamp").isNotNull().alias("has_time"), "year")
 
 
-@registered("SELECT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, count(*) AS n, sum(o_orderkey) AS key_sum FROM orders GROUP BY 1, 2")
+@registered("SELECT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1, 2")
 def stream_bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing folder ingested as a stream into a partitioned table."""
     landing = _landed_orders(spark, views.table(spark, sf_dir, "orders"))
@@ -94,7 +94,7 @@ def stream_bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("key_sum"))
 
 
-@registered("SELECT CASE WHEN o_orderdate >= TIMESTAMP '2001-01-01' THEN 'buffer' ELSE 'main' END AS zone, count(*) AS n, sum(o_orderkey) AS key_sum FROM orders GROUP BY 1")
+@registered("SELECT CASE WHEN o_orderdate >= TIMESTAMP '2001-01-01' THEN 'buffer' ELSE 'main' END AS zone, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1")
 def stream_buffer_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main zone and late buffer as two concurrent streams, then their union."""
     orders, made, running = views.table(spark, sf_dir, "orders"), {}, []
