@@ -18,6 +18,13 @@ def calendar_features(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
     return df.withColumns({"event_date": F.to_date(t), "event_year": F.year(t), "event_month": F.month(t), "event_week": F.weekofyear(t), "year_month": F.date_format(t, "yyyy-MM")})
 
 
+def derive_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    """Adds columns from SQL expressions; one may use an earlier one."""
+    for name, text in expressions.items():
+        df = df.withColumn(name, F.expr(text))
+    return df
+
+
 def label_delay(available: Column | str, event: Column | str) -> Column:
     """Calendar days from event to label."""
     return F.datediff(F.to_date(_col(available)), F.to_date(_col(event)))

@@ -37,3 +37,10 @@ def flag_membership(df: DataFrame, members: DataFrame, key: str, flag: str, max_
     small = listed.limit(max_broadcast + 1).count() <= max_broadcast
     joined = df.join(F.broadcast(listed) if small else listed, df[key] == F.col("_member"), "left")
     return joined.withColumn(flag, F.col("_member").isNotNull().cast("int")).drop("_member")
+
+
+def apply_reference_tables(df: DataFrame, tables: dict[str, DataFrame], spec: dict[str, dict]) -> DataFrame:
+    """Membership flags such as ``{"high_risk_bodyshops": {"join_key": "body_shop_id", "output_flag": "is_high_risk_body_shop"}}``."""
+    for name, r in spec.items():
+        df = flag_membership(df, tables[name], r["join_key"], r["output_flag"])
+    return df

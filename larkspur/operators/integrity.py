@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.quality import to_dlq
+from larkspur.operators.quality import quarantine_union, to_dlq
 
 
 @dataclass
@@ -41,6 +41,22 @@ def fk_reason(child: DataFrame, parent: DataFrame, parent_clean: DataFrame, key:
     return joined.withColumn("fk_error", reason).drop("_known", "_good")
 
 
+def apply_foreign_keys(tables: dict[str, DataFrame], foreign_keys: dict[str, dict]) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """Check keys such as ``{"claims.policy_id": {"references": "policies.policy_id", "action": "quarantine"}}`` in order.
+
+    Returns the tables, each without its orphans, and the orphans in the quarantine schema (for action ``drop`` none). A later
+    key sees the tables that earlier ones have left, so a rejected claim also orphans its labels.
+    """
+    tables, rejected = dict(tables), []
+    for child_key, spec in foreign_keys.items():
+        (child, key), (parent, parent_key) = child_key.split("."), spec["references"].split(".")
+        split = fk_split(tables[child], tables[parent], key, parent_key)
+        tables[child] = split.matched
+        if spec.get("action", "quarantine") == "quarantine":
+            rejected.append(split.quarantine(f"{child}_{key}_fk_missing", key, child))
+    return tables, quarantine_union(*rejected)
+
+
 def unique_key(df: DataFrame, key: str, order_by: list[str] | None = None, salts: int = 64) -> Matched:
     """First row of each key (matched) and its repetitions (orphans), so that a join on the key cannot multiply rows.
 

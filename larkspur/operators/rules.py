@@ -9,7 +9,7 @@ import yaml
 
 #: What each severity or action does to a failing row.
 QUARANTINE, FLAG, DROP, FAIL, EXPECT = "error", "warn", "drop", "fail", "expect"
-RULE_SETS = ("claims", "labels", "policies", "integrity", "derived", "bodyshops", "enriched")
+RULE_SETS = ("claims", "labels", "policies", "integrity", "derived", "bodyshops", "cross_table", "enriched")
 
 
 @dataclass(frozen=True)
@@ -66,3 +66,23 @@ def load_all_rules() -> list[Rule]:
 def with_action(rules: list[Rule], action: str) -> list[Rule]:
     """The same rules with another action."""
     return [replace(r, action=action) for r in rules]
+
+
+def load_contract(path: str | None = None, **values: object) -> dict:
+    """The structured contract (tables, foreign_keys, derived_columns, reference_tables); ``values`` fill its placeholders.
+
+    The shipped contract has one: ``current_year``.
+    """
+    if path is None:
+        text = resources.files("larkspur").joinpath("rules", "documented.yml").read_text()
+    else:
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+    for name, value in values.items():
+        text = text.replace("{" + name + "}", str(value))
+    return yaml.safe_load(text)
+
+
+def contract_rules(contract: dict, table: str) -> list[Rule]:
+    """The rules of one table of a contract."""
+    return compile_rules(contract.get("tables", {}).get(table, {}), table)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import features, projections
 from larkspur.operators import enrichment, integrity, quality, reports, scoring, temporal
-from larkspur.operators.rules import DROP, Rule, load_rules, with_action
+from larkspur.operators.rules import DROP, Rule, contract_rules, load_contract, load_rules, with_action
 from larkspur.plans import views
 from larkspur.plans.views import with_views
 from larkspur.sources import readers, writers
@@ -229,6 +229,68 @@ def dq_structured_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("source_key", *[c for c in clean.columns if c.startswith("warn_")])
 
 
+@registered(
+    with_views(
+        """SELECT source_key, NOT coalesce(c.claimed_amount_eur <= s.vehicle_value_eur * 1.5, false) AS warn_reasonable_claim_amount_vs_vehicle,
+  NOT coalesce(c.timestamp >= s.policy_start_date, false) AS warn_claim_after_policy_start,
+  NOT coalesce(s.vehicle_year <= year(c.timestamp), false) AS warn_vehicle_year_not_in_future,
+  coalesce(c.telematics_anomaly = 1, false) AND NOT coalesce(s.has_telematics = 1, false) AS warn_telematics_anomaly_has_device
+FROM claims c LEFT JOIN started s ON c.policy_id = s.policy_id""",
+        "claims", "policies", "started",
+    )
+)
+def dq_cross_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of claims against their policies."""
+    rows = enrichment.enrich(views.claims(spark, sf_dir), views.started_policies(spark, sf_dir))
+    rules = load_rules("cross_table")
+    return quality.apply_rules(rows, rules).clean.select("source_key", *[f"warn_{r.name}" for r in rules])
+
+
+_CONTRACT = load_contract(current_year=2015)
+
+
+@registered(
+    with_views(
+        """SELECT 'claims' AS error_source_table, count(*) AS n FROM claims c WHERE NOT EXISTS (SELECT 1 FROM policies p WHERE p.policy_id = c.policy_id AND p.annual_premium_eur > 0)
+UNION ALL SELECT 'labels', count(*) FROM claim_labels l WHERE NOT EXISTS (SELECT 1 FROM claims c JOIN policies p ON p.policy_id = c.policy_id WHERE c.claim_id = l.claim_id AND p.annual_premium_eur > 0)""",
+        "claims", "policies", "claim_labels",
+    )
+)
+def fk_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both foreign keys of the contract, a rejected claim orphaning its label."""
+    tables = {"claims": views.claims(spark, sf_dir), "labels": views.labels(spark, sf_dir), "policies": views.policies(spark, sf_dir).where("annual_premium_eur > 0")}
+    return integrity.apply_foreign_keys(tables, _CONTRACT["foreign_keys"])[1].groupBy("error_source_table").agg(F.count("*").alias("n"))
+
+
+@registered(
+    with_views(
+        """SELECT error_rule, count(*) AS n FROM (SELECT CASE WHEN policy_id IS NULL THEN 'policy_id_not_null' WHEN policy_start_date IS NULL THEN 'policy_start_date_not_null'
+  WHEN policyholder_age IS NULL THEN 'policyholder_age_not_null' WHEN annual_premium_eur IS NULL THEN 'annual_premium_eur_not_null' WHEN vehicle_year IS NULL THEN 'vehicle_year_not_null'
+  WHEN NOT policyholder_age BETWEEN 18 AND 100 THEN 'policyholder_age_domain' WHEN NOT annual_premium_eur > 0 THEN 'annual_premium_eur_domain'
+  WHEN NOT vehicle_year BETWEEN 1980 AND 2015 THEN 'vehicle_year_domain' WHEN NOT vehicle_value_eur >= 0 THEN 'vehicle_value_eur_domain'
+  WHEN NOT annual_mileage_km >= 0 THEN 'annual_mileage_km_domain' WHEN NOT bonus_malus_years >= 0 THEN 'bonus_malus_years_domain' END AS error_rule FROM started)
+WHERE error_rule IS NOT NULL GROUP BY 1""",
+        "policies", "started",
+    )
+)
+def dq_contract_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The policies' structured contract, year bound filled in."""
+    checked = quality.apply_rules(views.started_policies(spark, sf_dir), contract_rules(_CONTRACT, "policies"))
+    return checked.quarantine.groupBy("error_rule").agg(F.count("*").alias("n"))
+
+
+@registered(
+    with_views(
+        f"SELECT source_key, CAST({_DELAY} AS INTEGER) AS label_delay_days, CAST(c.timestamp AS DATE) AS event_date, CAST(year(c.timestamp) AS INTEGER) AS event_year, CAST(month(c.timestamp) AS INTEGER) AS event_month, CAST(weekofyear(c.timestamp) AS INTEGER) AS event_week FROM claims c LEFT JOIN claim_labels l ON c.claim_id = l.claim_id",
+        "claims", "claim_labels",
+    )
+)
+def derived_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's derived columns."""
+    rows = enrichment.attach_labels(views.claims(spark, sf_dir), views.labels(spark, sf_dir))
+    return features.derive_columns(rows, _CONTRACT["derived_columns"]).select("source_key", *_CONTRACT["derived_columns"])
+
+
 @registered(with_views(f"SELECT error_rule, count(*) AS n FROM (SELECT coalesce({_first_failure(_POLICY_RULES)}, 'clean') AS error_rule FROM policies) GROUP BY 1", "policies"))
 def dq_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = quality.apply_rules(views.policies(spark, sf_dir), _POLICY_RULES)
