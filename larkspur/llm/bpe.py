@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ LONG, LEAF = 512, 512
 #: longest special token or contraction.
 WINDOW, GUARD = 96, 20
 #: Chunk encodings a worker keeps: two generations of half as many each.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 1_500_000
 
 
 @dataclass
@@ -127,17 +128,18 @@ class TreeEncoder:
 
 
 class Codec:
-    """Encodes whole texts to decimal ids and to the decoded text, reusing the encodings of chunks."""
+    """Encodes whole texts to ids and decodes ids, reusing the packed ids of chunks."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tree = TreeEncoder(self.tokenizer)
-        self.ids: dict[bytes, bytes] = {}
-        self.tokens: dict[bytes, bytes] = {}
-        self.older: tuple[dict[bytes, bytes], dict[bytes, bytes]] = {}, {}
         n = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.code = "H" if n <= 1 << 16 else "I"
+        self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.digits = [str(i) for i in range(n)]
         self.names = [self.tokenizer.id_to_token(i) or "" for i in range(n)]
         self.plain = self.tokenizer.decoder is None
 
@@ -145,37 +147,40 @@ class Codec:
         texts = {c: c.decode("utf-8", "replace") for c in chunks}
         short = [c for c in chunks if len(texts[c]) <= LONG]
         long = [c for c in chunks if len(texts[c]) > LONG]
-        found = dict(zip(short, (e.ids for e in self.tokenizer.encode_batch_fast([texts[c] for c in short], add_special_tokens=False)), strict=True))
-        found |= dict(zip(long, (x.tolist() for x in self.tree.encode([texts[c] for c in long])), strict=True))
-        for chunk, ids in found.items():
-            self.ids[chunk] = " ".join(map(str, ids)).encode()
-            self.tokens[chunk] = " ".join([self.names[i] for i in ids]).encode()
+        for c, e in zip(short, self.tokenizer.encode_batch_fast([texts[c] for c in short], add_special_tokens=False), strict=True):
+            self.ids[c] = array(self.code, e.ids).tobytes()
+        for c, ids in zip(long, self.tree.encode([texts[c] for c in long]), strict=True):
+            self.ids[c] = array(self.code, ids.tolist()).tobytes()
 
     def chunks(self, texts: list[bytes | None]) -> list[list[bytes]]:
         """ASCII letters are lower-cased ahead of the library, which does the same, unless a special token may be meant."""
         split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
         used = set().union(*split)
         if len(self.ids) + len(used) > CACHE_CHUNKS // 2:
-            self.older, self.ids, self.tokens = (self.ids, self.tokens), {}, {}
+            self.older, self.ids = self.ids, {}
         missing = used.difference(self.ids)
-        known = missing & self.older[0].keys()
-        self.ids.update((c, self.older[0][c]) for c in known)
-        self.tokens.update((c, self.older[1][c]) for c in known)
+        known = missing & self.older.keys()
+        self.ids.update((c, self.older[c]) for c in known)
         if missing := missing - known:
             self._learn(missing)
         return split
 
-    def encode(self, texts: list[bytes | None]) -> Iterator[tuple[bytes, bytes]]:
-        """Decimal ids joined by one space, and the decoded text, of each UTF-8 text."""
+    def encode(self, texts: list[bytes | None]) -> Iterator[list[int]]:
+        """Ids of each UTF-8 text."""
         for split in self.chunks(texts):
-            ids = b" ".join(map(self.ids.__getitem__, split))
-            if b"  " in ids or ids[:1] == b" " or ids[-1:] == b" ":  # chunks without tokens
-                split = [c for c in split if self.ids[c]]
-                ids = b" ".join(map(self.ids.__getitem__, split))
-            if self.plain:
-                yield ids, b" ".join(map(self.tokens.__getitem__, split))
-            else:
-                yield ids, self.tokenizer.decode(list(map(int, ids.split())), skip_special_tokens=False).encode()
+            yield memoryview(b"".join(map(self.ids.__getitem__, split))).cast(self.code).tolist()
+
+    def decimal(self, ids: list[int]) -> str:
+        """Decimal ids joined by one space."""
+        return " ".join(map(self.digits.__getitem__, ids))
+
+    def decode(self, ids: list[int]) -> str:
+        """The library's decoded text, special tokens included; without a decoder that is the tokens joined by one space."""
+        return " ".join(map(self.names.__getitem__, ids)) if self.plain else self.tokenizer.decode(ids, skip_special_tokens=False)
+
+
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
 _codecs: dict[str, Codec] = {}
@@ -209,10 +214,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for lo, hi in _groups(texts):
-                ids, decoded = zip(*codec(path).encode(texts[lo:hi]), strict=True)
-                split = [np.array(x.split(), np.int32) for x in ids]
+                ids = list(codec(path).encode(texts[lo:hi]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array([len(x) for x in split], pa.int64()), pa.array(split, pa.list_(pa.int32())), pa.array([x.decode() for x in decoded], pa.string())],
+                    [batch.column(0).slice(lo, hi - lo), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(map(codec(path).decode, ids), pa.string())],
                     ["id", "n_tokens", "ids", "decoded"],
                 )
 
@@ -227,7 +231,8 @@ def encode_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for lo, hi in _groups(texts):
-                rows = [(ids.count(b" ") + 1 if ids else 0, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()) for ids, decoded in codec(path).encode(texts[lo:hi])]
+                own = codec(path)
+                rows = [(len(ids), _sha256(own.decimal(ids)), _sha256(own.decode(ids))) for ids in own.encode(texts[lo:hi])]
                 n, a, b = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -189,7 +189,6 @@ def test_cache_generations():
     try:
         for i in range(30):
             text = " ".join(f"word{(i + j) % 37}" for j in range(7))
-            ids, _ = next(iter(codec.encode([text.encode()])))
-            assert ids.decode() == " ".join(map(str, codec.tokenizer.encode(text, add_special_tokens=False).ids))
+            assert next(iter(codec.encode([text.encode()]))) == codec.tokenizer.encode(text, add_special_tokens=False).ids
     finally:
         bpe.CACHE_CHUNKS = old
