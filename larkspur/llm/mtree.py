@@ -31,7 +31,7 @@ from larkspur.llm.scratch import written
 
 SCALE, TOP, QUERY_EVERY = 64, 20, 20
 #: Pivots (a sample bounded by this number), rows of a tree, of a page, entries of an inner node, queries of a block.
-PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK = 64, 4096, 128, 32, 512
+PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK = 16, 4096, 512, 16, 512
 LARGEST = 1 << 30
 
 
@@ -66,29 +66,43 @@ class MTree:
     """A bulk-loaded M-tree over integer vectors; nodes are pages of row numbers or of child nodes."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.x = ids, vectors
+        self.ids, self.x, self.computed = ids, vectors, 0  # computed: products formed by searches so far
+        self.largest = float(np.abs(vectors).max(initial=0))
         norms = (vectors**2).sum(axis=1)
         self.most = float(norms.max(initial=0.0))
         self.lift = np.sqrt(np.maximum(self.most - norms, 0.0))
         self.nodes: list[tuple] = []  # (is leaf, entries, distance of entries to the routing point, routing row, covering radius)
-        self.root = self._build(np.arange(len(ids)), int(np.argmax(norms)) if len(ids) else -1, 0)
+        self.root = self._build(np.arange(len(ids)), int(np.argmax(norms)) if len(ids) else -1)
+        self._lay_out()
 
     def _distance(self, rows: np.ndarray, to: int) -> np.ndarray:
         return np.sqrt(((self.x[rows] - self.x[to]) ** 2).sum(axis=1) + (self.lift[rows] - self.lift[to]) ** 2)
 
-    def _build(self, rows: np.ndarray, routing: int, depth: int) -> int:
+    def _lay_out(self) -> None:
+        """Put the rows of a page next to each other, so that a visit reads one slice."""
+        if not len(self.ids):
+            return
+        order = np.concatenate([n[1] for n in self.nodes if n[0]])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.ids, self.x, self.lift = self.ids[order], self.x[order], self.lift[order]
+        self.nodes = [(leaf, place[entries] if leaf else entries, away, int(place[routing]), radius) for leaf, entries, away, routing, radius in self.nodes]
+        self.below = [None if n[0] else (np.array([self.nodes[c][3] for c in n[1]]), np.array([self.nodes[c][4] for c in n[1]])) for n in self.nodes]
+
+    def _build(self, rows: np.ndarray, routing: int) -> int:
         away = self._distance(rows, routing) if len(rows) else np.empty(0)
         if len(rows) <= PAGE:
             order = np.argsort(away, kind="stable")
             self.nodes.append((True, rows[order], away[order], routing, float(away.max(initial=0.0))))
             return len(self.nodes) - 1
-        seeds = rows[np.unique(np.linspace(0, len(rows) - 1, FANOUT).astype(int))]
+        fan = min(FANOUT, -(-len(rows) // PAGE) + 1)
+        seeds = rows[np.unique(np.linspace(0, len(rows) - 1, fan).astype(int))]
         near = np.stack([self._distance(rows, s) for s in seeds])
         owner = near.argmin(axis=0)
         parts = [rows[owner == k] for k in range(len(seeds))]
         if max(map(len, parts)) == len(rows):  # equal points: pages by number
             parts, seeds = np.array_split(rows, min(FANOUT, -(-len(rows) // PAGE))), rows
-        children = [self._build(p, int(s), depth + 1) for p, s in zip(parts, seeds, strict=False) if len(p)]
+        children = [self._build(p, int(s)) for p, s in zip(parts, seeds, strict=False) if len(p)]
         routes = np.array([self.nodes[c][3] for c in children])
         self.nodes.append((False, np.array(children), self._distance(routes, routing), routing, float(away.max())))
         return len(self.nodes) - 1
@@ -104,6 +118,11 @@ class MTree:
             """No point beyond this distance can be among the best; the slack covers rounding."""
             return np.inf if bound is None else np.sqrt(max(base - 2 * float(bound), 0.0) + slack) + 1e-7
 
+        exact = self.largest * float(np.abs(q).max(initial=0)) * max(len(q), 1) < 2**53
+
+        def products(lo: int, hi: int) -> np.ndarray:
+            return self.x[lo:hi] @ q if exact else _products(self.x[lo:hi], q)
+
         def to(rows: np.ndarray) -> np.ndarray:
             return np.sqrt(np.maximum(base - 2 * (self.x[rows] @ q), 0.0))
 
@@ -118,12 +137,14 @@ class MTree:
             leaf, entries, away, _, _ = self.nodes[at]
             if leaf:
                 lo, hi = np.searchsorted(away, [apart - reach - 1e-7, apart + reach + 1e-7])
-                rows = entries[lo:hi]
-                scores = _products(self.x[rows], q)
-                if bound is not None:
-                    good = np.flatnonzero(scores >= bound)
-                    rows, scores = rows[good], scores[good]
-                for score, ident in zip(scores.tolist(), self.ids[rows].tolist(), strict=True):
+                first = entries[0] + lo if len(entries) else 0
+                self.computed += int(hi - lo)
+                scores, ids = products(first, first + hi - lo), self.ids[first : first + hi - lo]
+                good = np.arange(len(scores)) if bound is None else np.flatnonzero(scores >= bound)
+                if exact and len(good) > k + 1:  # of a page at most k and the query itself count, and ties at the last of them
+                    last = len(good) - k - 1
+                    good = good[scores[good] >= np.partition(scores[good], last)[last]]
+                for score, ident in zip(scores[good].tolist(), ids[good].tolist(), strict=True):
                     if ident == query_id:
                         continue
                     item = (int(score), -ident)
@@ -135,10 +156,9 @@ class MTree:
                     bound = best[0][0] if bound is None else max(bound, best[0][0])
                     reach = radius()
                 continue
-            radii = np.array([self.nodes[c][4] for c in entries])
+            routes, radii = self.below[at]
             open_ = np.flatnonzero(np.abs(apart - away) - radii <= reach + 1e-7)  # no distance computed for the others
-            routes = np.array([self.nodes[c][3] for c in entries[open_]], dtype=int)
-            for c, d, r in zip(entries[open_].tolist(), to(routes).tolist(), radii[open_].tolist(), strict=True):
+            for c, d, r in zip(entries[open_].tolist(), to(routes[open_]).tolist(), radii[open_].tolist(), strict=True):
                 if d - r <= reach:
                     heapq.heappush(heap, (max(0.0, d - r), c, d))
         return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))

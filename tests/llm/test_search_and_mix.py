@@ -117,12 +117,14 @@ def test_search_leaves_out_what_it_says(spark):
     assert found_by(mtree.build(mtree.quantised(df.limit(0))), 5) == {}
 
 
-def test_bounds_save_work():
+def test_bounds_save_work(monkeypatch):
+    monkeypatch.setattr(mtree, "PAGE", 64)
     rng = np.random.default_rng(1)
     x = np.floor(rng.normal(size=(3000, 4)) * 500)
     tree = mtree.MTree(np.arange(3000), x)
     assert all(tree.search(-1, q, 5) == sorted(((int(s), i) for i, s in enumerate(x @ q)), key=lambda t: (-t[0], t[1]))[:5] for q in x[:40])
-    assert sum(n[0] for n in tree.nodes) > 20
+    assert sum(n[0] for n in tree.nodes) > 40
+    assert tree.computed < 0.5 * 40 * 3000
 
 
 def test_large_components_stay_exact():
