@@ -36,8 +36,8 @@ from larkspur.llm.scratch import written
 from larkspur.llm.textbytes import buffer_of, mix64, row_slices, words
 
 SHINGLE_WORDS = 5
-#: Bands and rows of a band: two sets of similarity 0.75 miss every bucket with probability (1 - 0.75**5)**30 = 0.0003.
-BANDS, ROWS = 30, 5
+#: Bands and rows of a band: two sets of similarity 0.75 miss every bucket with probability (1 - 0.75**5)**40 = 0.00002.
+BANDS, ROWS = 40, 5
 #: A link needs 100 * |intersection| >= PERCENT * |union|.
 PERCENT = 75
 #: Buckets up to SMALL nodes are compared as pairs, larger ones in blocks of about BLOCK nodes.
@@ -230,13 +230,13 @@ def _block_links(percent: int):
 def _blocked(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links between components inside large buckets; ``rows`` has bucket, node, label and the bucket's size n."""
     placed = rows.withColumn("n_blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    ranges = placed.groupBy("bucket", "own").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    ranges = ranges.groupBy("bucket").agg(F.collect_list(F.struct("own", "low", "high")).alias("others"))  # a row for each block
-    spread = placed.join(ranges, "bucket")
-    mine = F.get(F.filter("others", lambda o: o["own"] == F.col("own")), 0)
-    useful = F.filter("others", lambda o: (F.least(o["low"], mine["low"]) != F.greatest(o["high"], mine["high"])))
-    sent = spread.select("bucket", "node", "label", "own", F.explode(useful).alias("other"))
-    keyed = sent.select("bucket", F.least("own", "other.own").alias("i"), F.greatest("own", "other.own").alias("j"), "node", "label")
+    ranges = placed.groupBy("bucket", "own").agg(F.min("label").alias("low"), F.max("label").alias("high"))  # a row for each block
+    others = ranges.groupBy("bucket").agg(F.collect_list(F.struct("own", "low", "high")).alias("others"))
+    useful = F.filter("others", lambda o: F.least(o["low"], F.col("low")) != F.greatest(o["high"], F.col("high")))
+    meets = ranges.join(others, "bucket").select("bucket", "own", F.transform(useful, lambda o: o["own"]).alias("meets"))
+    # Joined by block, not by bucket: no key has more than about ``block`` rows.
+    sent = placed.join(meets, ["bucket", "own"]).select("bucket", "node", "label", "own", F.explode("meets").alias("other"))
+    keyed = sent.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label")
     return keyed.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
 
 
