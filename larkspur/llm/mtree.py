@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from larkspur.llm.scratch import written
 
 SCALE, TOP, QUERY_EVERY = 64, 20, 20
-#: Pivots (a sample bounded by this number), rows of a tree, of a page, entries of an inner node, queries of a block.
-PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK = 16, 4096, 512, 16, 512
+#: Most pivots (one for TREE_ROWS rows up to this number), rows of a tree, of a page, entries of an inner node, queries of a block.
+PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK = 1024, 4096, 512, 16, 512
 LARGEST = 1 << 30
 
 
@@ -166,7 +166,8 @@ class MTree:
 
 def _cells(rows: DataFrame, tree_rows: int) -> tuple[DataFrame, int]:
     """The rows with tree, a number for the nearest pivot and, in large cells, a hash split; and how many trees there are."""
-    pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()]
+    wanted = min(PIVOTS, -(-rows.count() // tree_rows))
+    pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, wanted)).collect()]
     table = _matrix(pivots)
 
     @F.pandas_udf("int")
