@@ -32,8 +32,8 @@ LONG, LEAF = 512, 512
 #: First window (characters on each side of a join), and how far from a cut a token must end to be trusted: more than the
 #: longest special token or contraction.
 WINDOW, GUARD = 96, 20
-#: Chunk encodings a worker keeps: two generations of half as many each.
-CACHE_CHUNKS = 1_500_000
+#: Chunk encodings a worker keeps (about 200 bytes each), in two generations of half as many.
+CACHE_CHUNKS = 500_000
 
 
 @dataclass

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import written
+from larkspur.llm.scratch import small_batches, written
 from larkspur.llm.textbytes import buffer_of, mix64, row_slices, words
 
 SHINGLE_WORDS = 5
@@ -119,7 +119,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     ["doc_id", "n_shingles", "set_key", "bands"],
                 )
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
