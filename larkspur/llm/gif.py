@@ -126,9 +126,11 @@ def lzw_decode(stream: bytes, min_size: int, limit: int) -> bytes:
     while True:
         since = sum(map(len, held))
         if since < _RUN:
-            starts, widths = _STARTS[min_size][since:-1] - _STARTS[min_size][since], _WIDTHS[min_size][since:]
+            most = min(_RUN, since + (total - at) // (min_size + 1) + 1)  # codes that the rest of the stream can hold
+            starts, widths = _STARTS[min_size][since:most] - _STARTS[min_size][since], _WIDTHS[min_size][since:most]
         else:  # the table is full: twelve bits each until a clear code comes
             starts, widths = np.arange(_RUN) * MAX_CODE_BITS, np.full(_RUN, MAX_CODE_BITS)
+        room = len(starts)
         fit = int(np.searchsorted(at + starts + widths, total, "right"))
         starts, widths = at + starts[:fit], widths[:fit]
         byte = starts >> 3
@@ -136,7 +138,7 @@ def lzw_decode(stream: bytes, min_size: int, limit: int) -> bytes:
         stops = np.flatnonzero((codes == clear) | (codes == end))
         n = int(stops[0]) if len(stops) else fit
         held.append(codes[:n])
-        ended = not len(stops) and fit < len(_WIDTHS[min_size]) - min(since, _RUN) or not fit or len(stops) and codes[n] == end
+        ended = codes[n] == end if len(stops) else fit < room
         if len(stops) or ended:
             run = np.concatenate(held)
             held = []
