@@ -22,10 +22,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.llm.scratch import written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SLICES = 4096
+#: Up to so many sources (one short row each) the cuts go to every task and no document is shuffled; beyond it they are joined.
+MAX_BROADCAST = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 def word_count(text: str) -> Column:
@@ -66,13 +69,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     epochs = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.select(F.col("source").alias("t_source"), "source_size", "target", epochs.alias("epochs"), (whole - epochs * F.col("source_size")).alias("budget"))
     prefix = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES rows
-    cuts = slices.withColumn("before", F.coalesce(F.sum("words").over(prefix), F.lit(0)))
-    cuts = cuts.join(targets, F.col("source").eqNullSafe(F.col("t_source"))).withColumnsRenamed({"source": "c_source", "slice": "c_slice"})
-    joined = keyed.join(cuts, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("slice") == F.col("c_slice")))
-    split = (F.col("before") < F.col("budget")) & (F.col("before") + F.col("words") > F.col("budget"))
-    clear = joined.where(~split).withColumn("rest", F.when(F.col("before") < F.col("budget"), F.col("size")).otherwise(0))
-    inside = Window.partitionBy("source", "slice").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    crossed = joined.where(split).withColumn("prior", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    summed = slices.withColumn("before", F.coalesce(F.sum("words").over(prefix), F.lit(0)))
+    summed = summed.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+    # One row a source: the slice in which its budget ends, and the words before that slice.
+    ends = F.min(F.when(F.col("before") + F.col("words") > F.col("budget"), F.struct("slice", "before"))).alias("end")
+    cuts = summed.groupBy("t_source", "source_size", "target", "epochs", "budget").agg(ends)
+    cuts = written(cuts, "mix-cuts")
+    few = cuts.count() <= MAX_BROADCAST
+    joined = keyed.join(F.broadcast(cuts) if few else cuts, F.col("source").eqNullSafe(F.col("t_source")))
+    split = F.coalesce(F.col("slice") == F.col("end.slice"), F.lit(False))
+    clear = joined.where(~split).withColumn("rest", F.when(F.coalesce(F.col("slice") > F.col("end.slice"), F.lit(False)), 0).otherwise(F.col("size")))
+    inside = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)  # one slice
+    crossed = joined.where(split).withColumn("prior", F.col("end.before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     crossed = crossed.withColumn("rest", F.greatest(F.lit(0), F.least("size", F.col("budget") - F.col("prior")))).drop("prior")
     # Copies for a table of documents: complete epochs, and the drawn ones once more (the crossing one if half of it is taken).
     copies = F.col("epochs") + (2 * F.col("rest") >= F.greatest(F.col("size"), F.lit(1))).cast("long")

@@ -57,7 +57,7 @@ def test_targets(spark):
     assert targets({"a": 0}) == {"a": 0.0} and targets({}) == {}
 
 
-def test_mix_meets_targets_and_repeats(spark):
+def test_mix_meets_targets_and_repeats(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(i, rng.choice(["s1", "s1", "s1", "s2", "s3", None]), " ".join(["w"] * rng.randrange(0, 40)), i % 3) for i in range(1500)] + [(None, "s9", None, 1), (5, "s9", "a b", 1), (5, "s9", "a b", 1)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string, size int")
@@ -70,6 +70,7 @@ def test_mix_meets_targets_and_repeats(spark):
     for group in by.values():
         assert abs(sum(r.taken for r in group) - group[0].target) <= 0.5
         assert group[0].source_size == sum(r.size for r in group)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST", 0)
     again = mixing.mix(df.repartition(7), quality=F.lit(1.0)).collect()
     assert sorted((r.doc_id or -1, r.taken) for r in again) == sorted((r.doc_id or -1, r.taken) for r in out)
     assert mixing.mix(df.limit(0)).count() == 0
