@@ -74,30 +74,40 @@ def _spans(member: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte runs ``data[starts[i]:ends[i]]``, letters A-Z as a-z: one polynomial prefix sum."""
+def _prefix_sums(data: np.ndarray) -> np.ndarray:
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_CODE[data] * _power_table(_BASE, n)[:n], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * _power_table(_BASE_INVERSE, n + 1)[starts])
+    return sums
 
 
-def words(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs from ``starts[i]`` to ``ends[i]``, letters A-Z as a-z, from one polynomial prefix sum."""
+    return mix64((sums[ends] - sums[starts]) * _power_table(_BASE_INVERSE, len(sums))[starts])
+
+
+def words(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of all rows, in order.
 
     Words are runs of non-space bytes (space is 0x20 and 0x09-0x0D), or of letters and non-ASCII bytes if ``letters_only``.
-    A long buffer is worked off in pieces that end between words, so the tables stay small.
+    A long buffer is worked off in pieces that end between words, so the tables stay small. With ``prefixes`` (lengths in
+    bytes) the hashes are a matrix: the word, then its start of each length, 0 where the word is shorter.
     """
     member = _LETTER[data] if letters_only else ~_SPACE[data]
     starts, ends = _spans(member, offsets)
-    out = np.empty(len(starts), np.uint64)
+    out = np.zeros((len(starts), 1 + len(prefixes)), np.uint64)
     lo = 0
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + PIECE_BYTES, "right")))
         a, b = starts[lo], ends[hi - 1]
-        out[lo:hi] = _hashes(data[a:b], starts[lo:hi] - a, ends[lo:hi] - a)
+        first, last = starts[lo:hi] - a, ends[lo:hi] - a
+        sums = _prefix_sums(data[a:b])
+        out[lo:hi, 0] = _hashes(sums, first, last)
+        for k, length in enumerate(prefixes, 1):
+            long = np.flatnonzero(last - first >= length)
+            out[lo + long, k] = mix64(_hashes(sums, first[long], first[long] + length) + np.uint64(length))  # no word's own hash
         lo = hi
-    return out, starts, ends
+    return out if prefixes else out[:, 0], starts, ends
 
 
 def segment_sums(values: np.ndarray, starts: np.ndarray, total: int | None = None) -> np.ndarray:

@@ -1,11 +1,12 @@
 """Toxicity by multiple-instance learning: documents are labelled, sentences are scored, noisy-or joins them.
 
-A sentence's score is the logistic of its word weights; a document is toxic with probability
+A sentence's score is the logistic of the weights of its words; a document is toxic with probability
 ``1 - (1 - leak) * prod(1 - sentence score)``. Weights, bias and leak are fitted to document labels only, by full-batch
 gradient steps on a sample of at most ``MAX_TRAIN`` labelled documents; sentence scores then say where the offence is.
 
-Sentences end at ``.``, ``!``, ``?`` and line ends; words are runs of letters, ASCII case ignored. The vocabulary holds the
-words found in at least ``MIN_DOCS`` sample documents, by 64-bit hash. Scoring is one pass without a shuffle.
+Sentences end at ``.``, ``!``, ``?`` and line ends; words are runs of letters, ASCII case ignored. Features are the words
+and their starts of ``PREFIXES`` bytes, so endings that occur once still count by their stem. The vocabulary holds those found in
+at least ``MIN_DOCS`` sample documents, by 64-bit hash. Scoring is one pass without a shuffle.
 
 Edge cases: null, empty or wordless texts have no sentence and get the leak as their score, with null positions. A null
 doc_id counts as held out. Labels that are null are ignored; of repeated labels the largest counts. Without any usable label
@@ -14,7 +15,7 @@ every score is 0. Repeated rows get equal scores; other columns are ignored; an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,10 @@ from pyspark.sql import types as T
 from larkspur.llm.scratch import small_batches
 from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
 
-#: The documented bound of the training sample (documents), and the least number of them a vocabulary word occurs in.
-MAX_TRAIN, MIN_DOCS = 6000, 10
+#: The documented bound of the training sample (documents), and the least number of them a vocabulary entry occurs in.
+MAX_TRAIN, MIN_DOCS = 6000, 3
+#: Lengths (bytes) of the word starts that count as features besides the word; occurrences worked off at once in a step.
+PREFIXES, PART = (4, 6), 1 << 20
 #: Gradient steps and their size; a word keeps a weight only if the unexplained labels of about PENALTY documents ask for it.
 STEPS, RATE, PENALTY = 200, 0.1, 0.5
 FOLDS = 5
@@ -51,15 +54,19 @@ class MilModel:
     leak: float
 
     def word_weights(self, hashes: np.ndarray) -> np.ndarray:
+        """For each word the summed weights of its hashes (a row of them a word)."""
         if not len(self.vocabulary):
             return np.zeros(len(hashes))
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, self.weights[at], 0.0)
+        out = np.zeros(len(hashes))
+        for column in hashes.T if hashes.ndim > 1 else [hashes]:
+            at = np.minimum(np.searchsorted(self.vocabulary, column), len(self.vocabulary) - 1)
+            out += np.where(self.vocabulary[at] == column, self.weights[at], 0.0)
+        return out
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes; index of each sentence's first word; each sentence's row; byte span (start, end) of each sentence."""
-    hashes, starts, ends = words(data, offsets, letters_only=True)
+    """Word hashes (a row a word: itself and its ``PREFIXES``); index of each sentence's first word; each sentence's row; byte span (start, end) of each sentence."""
+    hashes, starts, ends = words(data, offsets, letters_only=True, prefixes=PREFIXES)
     stops = np.flatnonzero(_STOPS[data])
     group = np.searchsorted(stops, starts) + np.searchsorted(offsets[1:-1], starts, "right")
     first = np.flatnonzero(np.diff(group, prepend=-1)) if len(group) else np.empty(0, np.int64)
@@ -73,7 +80,7 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
-def fit(documents: list[tuple[int, np.ndarray, np.ndarray]]) -> MilModel:
+def fit(documents: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> MilModel:
     """Fit on (label, word hashes, index of each sentence's first word) of each sample document."""
     documents = [d for d in documents if len(d[1])]
     labels = np.array([d[0] for d in documents], bool)
@@ -81,29 +88,42 @@ def fit(documents: list[tuple[int, np.ndarray, np.ndarray]]) -> MilModel:
         rate = float(labels.mean()) if len(labels) else 0.0
         return MilModel(np.empty(0, np.uint64), np.empty(0), -np.inf, min(rate, 0.999))
     seen, often = np.unique(np.concatenate([np.unique(d[1]) for d in documents]), return_counts=True)
-    vocabulary = seen[often >= min(MIN_DOCS, max(1, len(documents) // 50))]
+    vocabulary = seen[(often >= min(MIN_DOCS, max(1, len(documents) // 50))) & (seen != 0)]
     if not len(vocabulary):
-        vocabulary = seen
-    flat = np.concatenate([d[1] for d in documents])
-    base = np.cumsum([0, *(len(d[1]) for d in documents)])
-    firsts = np.concatenate([d[2] + b for d, b in zip(documents, base[:-1], strict=True)])
+        vocabulary = seen[seen != 0]
+    del seen, often
     owner = np.repeat(np.arange(len(documents)), [len(d[2]) for d in documents])
     doc_first = np.searchsorted(owner, np.arange(len(documents)))
-    at = np.minimum(np.searchsorted(vocabulary, flat), len(vocabulary) - 1)
-    known = vocabulary[at] == flat
-    sentence = (np.searchsorted(firsts, np.arange(len(flat)), "right") - 1)[known]
-    at = at[known]
-    n_sentences = len(firsts)
+    # Occurrences of vocabulary entries and their sentences, in parts: a step's tables stay small.
+    parts, open_, n_open = [], [], 0
+    for i, first in enumerate(doc_first.tolist()):
+        _, hashes, firsts = documents[i]
+        documents[i] = None  # the driver holds each document in one form
+        place = np.searchsorted(firsts, np.arange(len(hashes)), "right") - 1 + first
+        at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+        known = vocabulary[at] == hashes
+        open_.append((at[known].astype(np.int32), np.broadcast_to(place.reshape(-1, *[1] * (hashes.ndim - 1)), hashes.shape)[known].astype(np.int32)))
+        n_open += len(open_[-1][0])
+        if n_open >= PART:
+            parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
+            open_, n_open = [], 0
+    if open_:
+        parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
+    spans = [(int(s.min()), int(s.max()) + 1) if len(s) else (0, 0) for _, s in parts]
+    n_sentences = len(owner)
     w = np.zeros(len(vocabulary) + 2)
     w[-2], w[-1] = -6.0, -3.0  # sentence bias; leak on the scale of softplus
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z = w[-2] + np.bincount(sentence, w[at], n_sentences)
+        z = np.full(n_sentences, w[-2])
+        for (at, sentence), (lo, hi) in zip(parts, spans, strict=True):
+            z[lo:hi] += np.bincount(sentence - lo, w[at], hi - lo)
         quiet = segment_sums(_softplus(z), doc_first) + _softplus(w[-1])  # -log P(not toxic)
         pull = np.where(labels, -1.0 / np.expm1(np.clip(quiet, 1e-9, 500.0)), 1.0) / len(labels)
         slope = pull[owner] / (1.0 + np.exp(-z))
-        grad = np.empty_like(w)
-        grad[:-2] = np.bincount(at, slope[sentence], len(vocabulary))
+        grad = np.zeros_like(w)
+        for at, sentence in parts:
+            grad[:-2] += np.bincount(at, slope[sentence], len(vocabulary))
         grad[-2] = slope.sum()
         grad[-1] = (pull / (1.0 + np.exp(-w[-1]))).sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
@@ -137,8 +157,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = training_rows(labels, id_col, label_col, limit)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     picked = texts.join(F.broadcast(sample), "id").select("y", "text")  # at most ``limit`` pairs of numbers
-    rows = picked.mapInArrow(run, "y int, words binary, firsts binary").collect()
-    return fit([(r.y, np.frombuffer(r.words, np.uint64), np.frombuffer(r.firsts, np.uint32).astype(np.int64)) for r in rows])
+    rows = iter(picked.mapInArrow(run, "y int, words binary, firsts binary").collect())  # used up, the iterator lets its list go
+    return fit((r.y, np.frombuffer(r.words, np.uint64).reshape(-1, 1 + len(PREFIXES)), np.frombuffer(r.firsts, np.uint32).astype(np.int64)) for r in rows)
 
 
 def _scored(docs: DataFrame, model: MilModel, id_col: str, text_col: str, schema: str, emit) -> DataFrame:

@@ -66,6 +66,19 @@ def test_toxicity_learns_and_locates(spark):
     assert all(text[r.doc_id].encode()[r.start : r.end].decode() == r.sentence for r in found)
 
 
+def test_rare_endings_of_a_toxic_stem_are_learned(spark):
+    docs, labels = toxic_table(spark)
+    rng = random.Random(3)
+    ending = {i: "".join(rng.choices("bcdfghjk", k=9)) for i in range(600)}  # no whole word occurs twice
+    rows = [(r.doc_id, r.text.replace("grumpf", "grumpf" + ending[r.doc_id])) for r in docs.collect()]
+    assert len(set(ending.values())) == 600
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in toxicity.score(odd, toxicity.train(odd, labels)).collect()}
+    held = [i for i in out if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([out[i].predicted for i in held if i % 4 == 0]) > 0.9
+    assert np.mean([out[i].predicted for i in held if i % 4]) < 0.05
+
+
 def test_labels_of_the_held_out_fold_are_not_used(spark):
     docs, labels = toxic_table(spark)
     turned = labels.withColumn("toxic", toxicity.F.when(toxicity.held_out(), 1 - toxicity.F.col("toxic")).otherwise(toxicity.F.col("toxic")))
