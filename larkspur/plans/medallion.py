@@ -45,8 +45,8 @@ def ingest_policies(spark: SparkSession, zones: Zones) -> None:
     writers.write_table(with_audit(text), zones.at("bronze", "policies"), zones.fmt)
 
 
-def ingest_streams(spark: SparkSession, zones: Zones, tables: tuple[str, ...] = tuple(STREAMED), max_files: int = 1, timeout: int = 900) -> None:
-    """New landing files of all streamed tables, each with its own checkpoint, until they are worked off or time is up."""
+def ingest_streams(spark: SparkSession, zones: Zones, tables: tuple[str, ...] = tuple(STREAMED), max_files: int = 1, timeout: int | None = None) -> None:
+    """New landing files of all streamed tables, each with its own checkpoint, until they are worked off; TimeoutError if a given time is up before."""
     running = []
     for name in tables:
         schema, partitions = STREAMED[name]

@@ -32,14 +32,21 @@ def stream_bronze(spark: SparkSession, landing: str, schema: StructType | str, t
     return stream_append(rows, table, checkpoint, partition_by, available_now=available_now)
 
 
-def run_streams(queries: list[StreamingQuery], timeout: int = 900) -> None:
-    """Wait until every stream has worked off its input, at most ``timeout`` seconds in all; then stop what still runs and raise errors."""
+def run_streams(queries: list[StreamingQuery], timeout: int | None = None) -> None:
+    """Wait until every stream has worked off its input, without a limit unless ``timeout`` (seconds in all) is given.
+
+    A stream that still runs when a given time is up is an error (TimeoutError), as its table is not whole. Errors of streams are
+    raised; whatever still runs then is stopped.
+    """
     import time
 
-    end = time.monotonic() + timeout
+    end = None if timeout is None else time.monotonic() + timeout
     try:
         for q in queries:
-            q.awaitTermination(max(1, int(end - time.monotonic())))
+            if end is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(max(1, int(end - time.monotonic()))):
+                raise TimeoutError(f"a stream still had input after {timeout} seconds")
     finally:
         for q in queries:
             if q.isActive:
@@ -79,7 +86,7 @@ def stream_alerts(claims: DataFrame, reference: DataFrame, key: str, risky) -> D
     return claims.join(reference, key).where(risky)
 
 
-def drained(make: Callable[[str, str], StreamingQuery], spark: SparkSession, table: str, checkpoint: str, timeout: int = 900) -> DataFrame:
-    """Run one bounded stream to its end and read its table."""
+def drained(make: Callable[[str, str], StreamingQuery], spark: SparkSession, table: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
+    """Run one bounded stream to its end and read its table; TimeoutError if a given time is up before."""
     run_streams([make(table, checkpoint)], timeout)
     return spark.read.option("recursiveFileLookup", False).parquet(table)

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows_of
 
 from larkspur.operators.quality import apply_rules
@@ -66,3 +67,23 @@ def test_unlabelled_claims_come_out_after_the_interval(spark, tmp_path):
     write("claims", 1, [(3, late)], claim)
     write("labels", 1, [(9, 0, late)], label)
     assert run() == [(1, 1), (2, None)]
+
+
+def test_a_stream_cut_off_by_time_is_an_error(spark, tmp_path):
+    endless = spark.readStream.format("rate").load().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "p")).start()
+    with pytest.raises(TimeoutError):
+        streams.run_streams([endless], timeout=1)
+    assert not endless.isActive
+
+
+def test_without_a_given_time_streams_are_awaited_without_limit():
+    class Query:
+        isActive, asked = False, None
+
+        def awaitTermination(self, *limit):
+            self.asked = limit
+            return None
+
+    q = Query()
+    streams.run_streams([q])
+    assert q.asked == ()
