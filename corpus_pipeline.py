@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm import bpe, langid, mixing, neardup, toxicity
 from larkspur.llm.queries import TOKENIZER
-from larkspur.llm.scratch import shared_dir
+from larkspur.llm.scratch import shared_dir, written
 
 ORACLE_SQL = None
 
@@ -38,8 +38,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document appears once for every time the mix takes it."""
-    mixed = mixing.mix(docs)
+    """Sources at their target weights: a document appears once for every time the mix takes it, labelled good ones first."""
+    quality = mixing.quality_of(spark.read.parquet(f"{sf_dir}/labels.parquet")).toDF("_q_id", "_q_weight")
+    weighed = written(docs.join(quality, F.col("doc_id") == F.col("_q_id"), "left").drop("_q_id"), "mix-weighed")
+    mixed = mixing.mix(weighed, quality=F.col("_q_weight"))
     return mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
 
 

@@ -51,3 +51,11 @@ def test_stages_take_odd_rows_and_empty_tables(spark, small_dir, tmp_path):
             stage(spark, docs, small_dir).write.parquet(str(tmp_path / f"{i}{name}"))
             docs = spark.read.parquet(str(tmp_path / f"{i}{name}"))
         assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_mix_draws_good_documents_earlier(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "w w w w", "a" if i % 2 else "b") for i in range(4000)], "doc_id long, text string, source string")
+    spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(4000)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = [r.doc_id for r in cp.mix_sources(spark, docs, str(tmp_path)).where("source = 'b'").collect()]
+    good = sum(i % 4 < 2 for i in got)
+    assert good > 1.3 * (len(got) - good) > 0
