@@ -622,7 +622,7 @@ def anomaly_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def fit_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on the labels available at a date, scoring all claims (no SQL twin)."""
-    rows = features.calendar_features(views.claims(spark, sf_dir).where("timestamp is not null"))
+    rows = features.calendar_features(views.claims(spark, sf_dir))  # a null month is filled by the model's imputer
     training = temporal.training_set(rows, views.labels(spark, sf_dir), "2000-01-01 00:00:00")
     model = scoring.fit_classifier(training, ["claimed_amount_eur", "days_to_report", "n_parties_involved", "event_month"], "is_fraud")
     return scoring.score_cases(model, rows).select("source_key", "score")

@@ -22,6 +22,13 @@ def test_queries_without_twin(spark, small_dir):
     assert set(catalogue.QUERIES) - set(catalogue.ORACLES) == {"fit_classifier"}
 
 
+def test_classifier_scores_claims_without_timestamp(spark, small_dir):
+    claims = catalogue.views.claims(spark, small_dir)
+    assert claims.where("timestamp is null").count() > 0
+    scored = catalogue.fit_classifier(spark, small_dir)
+    assert scored.count() == claims.count() and scored.where("score is null").count() == 0
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
