@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larkspur.llm.scratch import small_batches
+from larkspur.llm.scratch import sliced
 
 LONG, LEAF = 512, 512
 #: First window (characters on each side of a join), and how far from a cut a token must end to be trusted: more than the
@@ -211,7 +211,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """id, n_tokens, token ids (array) and the decoded text of every row; no shuffle. ``path`` is readable on every worker."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             for lo, hi in _groups(texts):
                 ids = list(codec(path).encode(texts[lo:hi]))
@@ -220,7 +220,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     ["id", "n_tokens", "ids", "decoded"],
                 )
 
-    narrow = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_tokens long, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
@@ -228,7 +228,7 @@ def encode_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """id, n_tokens, ids_sha256 (decimal ids joined by one space) and decoded_sha256 of every row; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             for lo, hi in _groups(texts):
                 own = codec(path)
@@ -236,5 +236,5 @@ def encode_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 n, a, b = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    narrow = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

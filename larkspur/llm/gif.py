@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import small_batches
+from larkspur.llm.scratch import sliced
 
 #: A payload becomes frames of WIDTH samples by at most FRAME_ROWS rows, shown for DELAY_CS hundredths of a second each.
 WIDTH, FRAME_ROWS, DELAY_CS = 64, 256, 4
@@ -308,7 +308,7 @@ def gif_frames(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
     pixels and the 64-bin colour histogram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for ident, media in zip(batch.column(0), batch.column(1), strict=True):
                 frames, error = _frames(media.as_py())
                 rows = [(f.number, f.start_ms, f.delay_ms, f.left, f.top, f.width, f.height, f.disposal, f.transparent, f.canvas.shape[1], f.canvas.shape[0], f.canvas.tobytes(), f.histogram().tolist(), error) for f in frames] or [(*[None] * 13, error)]
@@ -317,7 +317,7 @@ def gif_frames(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["id", *_FRAME_NAMES])
 
     kind = dict(df.dtypes)[id_col]
-    narrow = small_batches(df).select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"))
+    narrow = df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"))
     return narrow.mapInArrow(run, f"id {kind}, {FRAME_SCHEMA}").withColumnRenamed("id", id_col)
 
 
@@ -329,7 +329,7 @@ def payload_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """id, n_bytes (UTF-8 length, null text: 0) and media: the text, zero-padded to a positive multiple of 64, as a GIF."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, media = [], []
             for text in batch.column(1):
                 raw = text.as_py() or b""
@@ -337,7 +337,7 @@ def payload_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 media.append(encode_gif(raw + bytes(max(PAD, -(-len(raw) // PAD) * PAD) - len(raw))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
-    narrow = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
@@ -360,7 +360,7 @@ def media_digest(media: DataFrame, id_col: str = "doc_id", media_col: str = "med
         return (len(samples), hashlib.sha256(samples).hexdigest(), tail, len(data or b""), hashlib.sha256(data or b"").hexdigest(), len(frames), sum(f.delay_ms for f in frames), colours, feature, error)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             where = batch.schema.get_field_index(media_col)
             rows = [digest(x.as_py()) for x in batch.column(where)]
             kept = [batch.column(i) for i in range(batch.num_columns) if i != where]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.llm.scratch import small_batches
+from larkspur.llm.scratch import sliced
 from larkspur.llm.toxicity import held_out
 
 BUCKETS, MAX_N = 1 << 15, 3
@@ -136,7 +136,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             sums.clear()
             docs_seen.clear()
 
-        for batch in batches:
+        for batch in sliced(batches):
             held: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if lang not in sums:
@@ -153,7 +153,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 sums[lang] += ngram_counts(np.concatenate(rest))
         yield from out()
 
-    labelled = small_batches(docs).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
+    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     labelled = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     counted = labelled.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toPandas()
@@ -175,22 +175,22 @@ def identify(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id", text_co
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             labels, scores = shared.value.score(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    narrow = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def with_language(docs: DataFrame, model: NaiveBayes, text_col: str = "text", names: tuple[str, str] = ("lang_found", "lang_score")) -> DataFrame:
     """All columns of ``docs``, the language of each row and its posterior; columns of those names are replaced."""
-    docs = small_batches(docs.drop(*names))
+    docs = docs.drop(*names)
     where = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             labels, scores = shared.value.score(batch.column(where).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, *names])
 

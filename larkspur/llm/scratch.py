@@ -2,27 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
 
-from larkspur.sources.workdir import new_dir, shared_dir
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
-__all__ = ["shared_dir", "small_batches", "written"]
+from larkspur.sources.workdir import new_dir, remove, shared_dir
 
+__all__ = ["Tables", "shared_dir", "sliced", "written"]
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = new_dir(spark, what)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+class Tables:
+    """The intermediate tables of one run of an operator.
+
+    What later steps no longer read is dropped on the way. Tables that the (lazy) result reads stay until the application's
+    folder is cleared (``workdir.clear``).
+    """
+
+    def __init__(self, spark: SparkSession, what: str) -> None:
+        self.spark, self.base, self.made = spark, new_dir(spark, what), 0
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as Parquet under ``name`` (and a number, so names may repeat), read back."""
+        self.made += 1
+        path = f"{self.base}/{name}-{self.made}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        back.scratch_path = path
+        return back
 
-ARROW_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete tables that :meth:`written` returned."""
+        for df in frames:
+            remove(self.spark, df.scratch_path)
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a scratch table of its own, read back."""
+    return Tables(df.sparkSession, what).written(df, what)
 
 
-def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """``df``, after lowering the session's Arrow batch to ``rows``, so that a batch of long texts fits a Python worker."""
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(ARROW_ROWS_CONF)) <= rows:
-        conf.set(ARROW_ROWS_CONF, str(rows))
-    return df
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut (without a copy) to at most ``rows`` rows, so that what is made of long texts fits a Python worker."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)

@@ -13,25 +13,14 @@ import pyarrow as pa
 
 PIECE_BYTES = 1 << 20
 
-_rng = np.random.default_rng(20_240_607)
-_BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_BYTE_CODE[65:91] = _BYTE_CODE[97:123]  # A-Z hash as a-z
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32  # A-Z hash as a-z
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the first n bytes of eight
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[0x80:] = True
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power_table(base: int, n: int) -> np.ndarray:
-    table = _powers.get(base)
-    if table is None or len(table) < n:
-        steps = np.full(max(n, PIECE_BYTES + 1), base, np.uint64)
-        steps[0] = 1
-        table = _powers[base] = np.multiply.accumulate(steps)
-    return table
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -74,16 +63,25 @@ def _spans(member: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _prefix_sums(data: np.ndarray) -> np.ndarray:
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[data] * _power_table(_BASE, n)[:n], out=sums[1:])
-    return sums
+def _eights(data: np.ndarray) -> np.ndarray:
+    """For every position the eight bytes from there on as one integer, letters A-Z as a-z, zeros past the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = _LOWER[data]
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
 
 
-def _hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte runs from ``starts[i]`` to ``ends[i]``, letters A-Z as a-z, from one polynomial prefix sum."""
-    return mix64((sums[ends] - sums[starts]) * _power_table(_BASE_INVERSE, len(sums))[starts])
+def _hashes(eights: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte runs: every block of eight bytes is mixed with its place in the run before blocks are summed.
+
+    Mixing ahead of the sum matters: a polynomial of the bytes modulo 2**64 has texts that collide whatever its base is.
+    """
+    blocks = (sizes + 7) >> 3
+    begins = np.cumsum(blocks) - blocks
+    place = np.arange(int(blocks.sum())) - np.repeat(begins, blocks)
+    left = np.minimum(np.repeat(sizes, blocks) - 8 * place, 8)
+    value = mix64(eights[np.repeat(starts, blocks) + 8 * place] & _FIRST[left])
+    value += (place.astype(np.uint64) + np.uint64(1)) * _GOLDEN
+    return mix64(np.add.reduceat(mix64(value), begins) + sizes.astype(np.uint64) * _GOLDEN)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +89,7 @@ def words(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False, pre
 
     Words are runs of non-space bytes (space is 0x20 and 0x09-0x0D), or of letters and non-ASCII bytes if ``letters_only``.
     A long buffer is worked off in pieces that end between words, so the tables stay small. With ``prefixes`` (lengths in
-    bytes) the hashes are a matrix: the word, then its start of each length, 0 where the word is shorter.
+    bytes, 8 at most) the hashes are a matrix: the word, then its start of each length, 0 where the word is shorter.
     """
     member = _LETTER[data] if letters_only else ~_SPACE[data]
     starts, ends = _spans(member, offsets)
@@ -100,12 +98,12 @@ def words(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False, pre
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + PIECE_BYTES, "right")))
         a, b = starts[lo], ends[hi - 1]
-        first, last = starts[lo:hi] - a, ends[lo:hi] - a
-        sums = _prefix_sums(data[a:b])
-        out[lo:hi, 0] = _hashes(sums, first, last)
+        first, sizes = starts[lo:hi] - a, ends[lo:hi] - starts[lo:hi]
+        eights = _eights(data[a:b])
+        out[lo:hi, 0] = _hashes(eights, first, sizes)
         for k, length in enumerate(prefixes, 1):
-            long = np.flatnonzero(last - first >= length)
-            out[lo + long, k] = mix64(_hashes(sums, first[long], first[long] + length) + np.uint64(length))  # no word's own hash
+            long = np.flatnonzero(sizes >= length)
+            out[lo + long, k] = mix64(mix64(eights[first[long]] & _FIRST[length]) + np.uint64(length))  # no word's own hash
         lo = hi
     return out if prefixes else out[:, 0], starts, ends
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.llm.scratch import small_batches
+from larkspur.llm.scratch import sliced
 from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
 
 #: The documented bound of the training sample (documents), and the least number of them a vocabulary entry occurs in.
@@ -145,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on the documents that :func:`training_rows` picks; only their word hashes travel to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             data, offsets = buffer_of(batch.column(1))
             out = []
             for i in range(batch.num_rows):
@@ -166,7 +166,7 @@ def _scored(docs: DataFrame, model: MilModel, id_col: str, text_col: str, schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             data, offsets = buffer_of(batch.column(1))
             for lo, hi in row_slices(offsets):
                 part, inner = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
@@ -174,7 +174,7 @@ def _scored(docs: DataFrame, model: MilModel, id_col: str, text_col: str, schema
                 z = fitted.bias + segment_sums(fitted.word_weights(hashes), first)
                 yield emit(batch.column(0).slice(lo, hi - lo), part, inner, rows, spans, z, fitted.leak)
 
-    narrow = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, schema)
 
 
@@ -210,13 +210,13 @@ def score(docs: DataFrame, model: MilModel, id_col: str = "doc_id", text_col: st
 
 def with_score(docs: DataFrame, model: MilModel, text_col: str = "text", name: str = "toxicity_score") -> DataFrame:
     """All columns of ``docs`` and the score of each row, for filters that must not join; a column of that name is replaced."""
-    docs = small_batches(docs.drop(name))
+    docs = docs.drop(name)
     where = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             data, offsets = buffer_of(batch.column(where))
             scores = np.empty(batch.num_rows)
             for lo, hi in row_slices(offsets):

@@ -22,8 +22,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import small_batches
-
 #: (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 DEFAULT = "allow"
@@ -91,7 +89,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
             yield batch[["page", "host", "path"]].assign(rule=names, verdict=verdicts)
 
     kind = dict(pages.dtypes)[id_col]
-    swept = small_batches(parsed, 10_000).sortWithinPartitions("key").mapInPandas(run, f"page {kind}, host string, path string, rule string, verdict string")
+    swept = parsed.sortWithinPartitions("key").mapInPandas(run, f"page {kind}, host string, path string, rule string, verdict string")
     return swept.withColumnRenamed("page", id_col)
 
 

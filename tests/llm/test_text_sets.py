@@ -47,8 +47,17 @@ def variants(rng, n, words=120, edits=3):
     return out
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Small tables keep all their partitions, so that buckets are cut by partition borders."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.mark.parametrize(("small", "block"), [(8, 512), (2, 6), (1, 3)])
-def test_near_duplicates_against_brute_force(spark, monkeypatch, small, block):
+def test_near_duplicates_against_brute_force(spark, monkeypatch, many_partitions, small, block):
     rng = random.Random(small)
     texts = variants(rng, 40, edits=6) + variants(rng, 10) + ["", "   ", None, "a b", "A  b", "a b c", "one two three four five"] + variants(rng, 1) * 5
     rng.shuffle(texts)
@@ -62,6 +71,90 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, small, block):
     assert all(got[i].kept == (got[i].component_id == i) for i in got)
 
 
+def test_sweeps_over_cut_buckets(spark, many_partitions):
+    """Whatever partitions cut: members are the nodes of shared buckets, leaders tie a bucket together, and every pair of labels meets."""
+    rng = random.Random(6)
+    nodes = [(i, 10 + i % 3, sorted({rng.choice([1, 2, 3, rng.randrange(40), 100 + i]) for _ in range(4)})) for i in range(300)]
+    df = spark.createDataFrame(nodes, "node long, size long, bands array<long>")
+    tables = neardup.Tables(spark, "test")
+    members = neardup._members(df, tables).collect()
+    held = {}
+    for i, _, buckets in nodes:
+        for k in buckets:
+            held.setdefault(k, set()).add(i)
+    shared = {k: v for k, v in held.items() if len(v) > 1}
+    assert {(r.bucket, r.node) for r in members} == {(k, i) for k, v in shared.items() for i in v}
+    for k, v in shared.items():
+        reach, grown = {min(v)}, True
+        while grown:
+            more = {x for r in members if r.bucket == k and ({r.node, r.leader} & reach) for x in (r.node, r.leader)} - reach
+            reach, grown = reach | more, bool(more)
+        assert reach == v
+    tagged = spark.createDataFrame([(r.bucket, r.size, r.node, r.node // 50) for r in members], "bucket long, size long, node long, label long")
+    left = neardup._second_sweep(tagged, 75, small=3, block=8).collect()
+    pairs = {(r.a, r.b) for r in left if r.block is None}
+    blocks = {}
+    for r in left:
+        if r.block is not None:
+            blocks.setdefault((r.bucket, r.block), set()).add(r.a)
+    assert all(len(v) <= 8 for v in blocks.values())
+    for k, v in shared.items():
+        together = set().union(*(x for (b, _), x in blocks.items() if b == k))
+        for a in v:
+            for b in v:
+                assert a >= b or a // 50 == b // 50 or (a, b) in pairs or {a, b} <= together
+
+
+def test_words_of_a_constructed_hash_collision_stay_apart(spark):
+    """A Thue-Morse word and its letter swap agree in every polynomial hash modulo 2**64."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    swapped = word.translate(str.maketrans("ab", "ba"))
+    out = neardup.near_duplicates(spark.createDataFrame([(1, word), (2, swapped), (3, word.upper())], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_deduplication_judges_rows(spark):
+    a, b, c = "a b c d e f g h", "q w e r t y u i", "z x c v b n m k"
+    schema = "doc_id long, text string, kept_id int, row string, doc int"
+
+    def left(rows):
+        df = spark.createDataFrame([(*r, 1, "r", 2) for r in rows], schema)
+        out = neardup.deduplicated(df)
+        assert out.columns == df.columns
+        return sorted((r.doc_id or -1, r.text) for r in out.collect())
+
+    assert left([(3, a), (5, a), (5, b), (7, c)]) == [(3, a), (5, b), (7, c)]
+    assert left([(3, a), (None, a), (None, b)]) == [(-1, b), (3, a)]
+    assert left([(None, a), (None, a), (4, c), (4, c)]) == [(-1, a), (4, c)]
+    assert left([(1, ""), (1, ""), (2, " ")]) == [(1, ""), (1, ""), (2, " ")]
+    assert left([]) == []
+
+
+def test_null_ids_cost_no_more_than_ids(spark):
+    """Sets are found by the hash of their text, so rows without an id do not meet each other."""
+    rng = random.Random(1)
+    texts = variants(rng, 300)
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    nodes = spark.createDataFrame([], "node long, set_key binary, text_key long")
+    assert neardup._node_sets(df, nodes, "text").count() == 0
+    found = neardup.signatures(df).collect()
+    wanted = spark.createDataFrame([(i, r.set_key, r.text_key) for i, r in enumerate(found[:40])], nodes.schema)
+    sets = {r.node: len(r["items"]) // 8 for r in neardup._node_sets(df, wanted, "text").collect()}
+    assert sets == {i: r.n_shingles for i, r in enumerate(found[:40])}
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(90_000)}" for _ in range(300_000)]
+    other = words[:]
+    for i in range(0, 300_000, 40):
+        other[i] = "changed"
+    out = neardup.near_duplicates(spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, "x" * 3_000_000)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_near_duplicate_edge_cases(spark):
     schema = "doc_id long, text string"
     assert neardup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
