@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from larkspur.llm.scratch import sliced
 from larkspur.llm.toxicity import held_out
@@ -183,15 +182,14 @@ def identify(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id", text_co
     return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def with_language(docs: DataFrame, model: NaiveBayes, text_col: str = "text", names: tuple[str, str] = ("lang_found", "lang_score")) -> DataFrame:
-    """All columns of ``docs``, the language of each row and its posterior; columns of those names are replaced."""
-    docs = docs.drop(*names)
+def kept(docs: DataFrame, model: NaiveBayes, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a language of posterior ``least`` or more, with all their columns."""
     where = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             labels, scores = shared.value.score(batch.column(where).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, *names])
+            yield batch.filter(pa.array([label != UNKNOWN and score >= least for label, score in zip(labels, scores, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]))
+    return docs.mapInArrow(run, docs.schema)

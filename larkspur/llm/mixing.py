@@ -31,14 +31,17 @@ SLICES = 4096
 MAX_BROADCAST = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
+
 def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
+
 def sampling_key(id_col: str, quality: Column) -> Column:
     """Exponential key: small for documents drawn early."""
     digits = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10).cast("double")
     return -F.log((digits + 1) / F.lit(float(2**52 + 2))) / F.coalesce(quality, F.lit(1.0))
 
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
     """source, source_size and target from one row for each source (source, source_size)."""
     order = Window.orderBy(F.col("source").asc_nulls_last())  # one row a source
@@ -53,6 +56,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     out = levelled.withColumn("final", F.coalesce(-first["minus"], F.lit(float("inf"))))
     return out.select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("final") * F.col("weight")).alias("target"))
 
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str | None = "text", size_col: str | None = None, quality: Column | None = None, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
     """All rows of ``docs`` with size, source_size, target and taken (words the mix takes, repeats counted).
 
@@ -92,3 +96,14 @@ def quality_of(labels: DataFrame, id_col: str = "doc_id", label_col: str = "qual
     """doc_id and quality weight: 2 for labelled good, 0.5 for labelled bad, nothing for the rest; one row a document."""
     best = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("q_id")).agg(F.max(F.col(label_col).cast("int")).alias("q"))
     return best.select("q_id", F.when(F.col("q") > 0, 2.0).when(F.col("q") == 0, 0.5).alias("quality_weight"))
+
+
+def mixed_copies(docs: DataFrame, quality: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; ``quality`` is what :func:`quality_of` returns.
+
+    A row travels as one struct, so its columns may have any names.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("words"))
+    weighed = written(rows.join(quality, F.col("id") == F.col("q_id"), "left").drop("q_id"), "mix-weighed")
+    mixed = mix(weighed, "id", "source", size_col="words", quality=F.col("quality_weight"))
+    return mixed.select("doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("doc.*")

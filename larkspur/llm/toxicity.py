@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from larkspur.llm.scratch import sliced
 from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
@@ -208,9 +207,8 @@ def score(docs: DataFrame, model: MilModel, id_col: str = "doc_id", text_col: st
     return _scored(docs, model, id_col, text_col, "doc_id long, score double, predicted int, n_sentences long, worst_start long, worst_end long", emit)
 
 
-def with_score(docs: DataFrame, model: MilModel, text_col: str = "text", name: str = "toxicity_score") -> DataFrame:
-    """All columns of ``docs`` and the score of each row, for filters that must not join; a column of that name is replaced."""
-    docs = docs.drop(name)
+def kept(docs: DataFrame, model: MilModel, below: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is under ``below``, with all their columns; a filter that neither joins nor adds a name."""
     where = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -223,9 +221,9 @@ def with_score(docs: DataFrame, model: MilModel, text_col: str = "text", name: s
                 hashes, first, rows, _ = sentences(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 z = fitted.bias + segment_sums(fitted.word_weights(hashes), first)
                 scores[lo:hi] = _noisy_or(z, rows, hi - lo, fitted.leak)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, name])
+            yield batch.filter(pa.array(scores < below))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def locate(docs: DataFrame, model: MilModel, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
