@@ -1,52 +1,61 @@
 """Training-corpus pipeline: toxicity filter, language filter, near-duplicate removal, source mix, BPE encoding.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; results go from stage to stage as Parquet.
+All stages but the last return the columns of their input, whatever else these are called; an empty table stays empty.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm import bpe, langid, mixing, neardup, toxicity
 from larkspur.llm.queries import TOKENIZER
-from larkspur.llm.scratch import shared_dir, written
+from larkspur.llm.scratch import Tables
 
 ORACLE_SQL = None
 
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows scored below 0.5."""
+    """Rows scored below 0.5.
+
+    A null or empty text has the score of no sentence, which is the share of toxic documents that no sentence explains (far
+    below 0.5, unless nearly all labels are 1), and stays. Equal texts are judged alike; repeated rows all stay or all go. A
+    null doc_id takes no part in the fit. Without labels every row stays.
+    """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.with_score(docs, model).where("toxicity_score < 0.5").select(*docs.columns)
+    return toxicity.kept(docs, model, below=0.5)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is known: not ``und``, and with a posterior of at least one half."""
-    found = langid.with_language(docs, langid.train(docs))
-    return found.where(F.col("lang_found") != langid.UNKNOWN).where("lang_score >= 0.5").select(*docs.columns)
+    """Rows whose language is known: not ``und``, and with a posterior of at least one half.
+
+    Null, empty and letterless texts are ``und`` and go. Of equally likely languages the first by name counts; with a posterior of
+    exactly one half the row stays. Repeated rows fare alike. If no row has a language, nothing can be learned and every row goes.
+    """
+    return langid.kept(docs, langid.train(docs), least=0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; of repeated rows one stays."""
-    ids = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    """One row of each group of near duplicates: the one with the smallest doc_id, null last.
+
+    Repeated rows and repeated or null ids are judged row by row. Texts without a word are near nothing, so their rows all stay.
+    """
+    return neardup.deduplicated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document appears once for every time the mix takes it, labelled good ones first."""
-    quality = mixing.quality_of(spark.read.parquet(f"{sf_dir}/labels.parquet")).toDF("_q_id", "_q_weight")
-    weighed = written(docs.join(quality, F.col("doc_id") == F.col("_q_id"), "left").drop("_q_id"), "mix-weighed")
-    mixed = mixing.mix(weighed, quality=F.col("_q_weight"))
-    return mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    """Sources at their target weights: a row appears once for every time the mix takes it, labelled good ones drawn first.
+
+    A null source is a source of its own. Null and empty texts have no words: they come once for each complete epoch. Unlabelled
+    documents and null ids have the weight 1; repeated rows share a key and are drawn one after the other.
+    """
+    return mixing.mixed_copies(docs, mixing.quality_of(spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of the mix."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of the mix, repeated rows and null ids included; a null text is empty."""
     return bpe.encode_digest(docs, public_tokenizers.path(TOKENIZER))
 
 
@@ -62,8 +71,10 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; the result of each but the last is a Parquet table in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    tables, last = Tables(spark, "pipeline"), None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
+        docs = tables.written(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            tables.drop(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
