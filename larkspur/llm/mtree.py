@@ -6,14 +6,20 @@ of entries under a routing point, with a covering radius and every entry's dista
 their least possible distance and leaves out, by the stored distances and the triangle inequality alone, whatever cannot reach
 the k-th best. Scores are integer products, so bounds only decide what is computed and never what is returned.
 
-In Spark the index is a forest: vectors go to the nearest of a bounded sample of pivots, and cells are split by a hash to
-at most about ``TREE_ROWS`` rows, so a vector that a third of all rows share fills many trees instead of one task. Every tree is
-one row. Queries search their own tree first; the k-th score found there travels with them through blocks of ``BLOCK`` queries
-to all other trees, where it prunes most pages. Best lists are merged by query.
-
-Edge cases: vectors that are null, empty, or hold a null or a non-finite component take no part. Vectors of different lengths compare
-as if padded with zeros. Components whose floor exceeds 2**30 in size are left out too, as products would pass 64 bits. Rows with the
-query's vec_id are its own and never its candidates; a null vec_id takes no part. Ties go to the smaller vec_id.
+In Spark the index is a forest: vectors go to the nearest of a bounded sample of pivots, and a cell of more than about
+``TREE_ROWS`` rows to the nearest of a sample of its own pivots. What is still larger holds (nearly) equal vectors and is split by
+a hash, so a vector that a third of all rows share fills many trees instead of one task. Every tree is one row.
+
+Queries search their own tree first. The k-th score found there prunes whole cells (a bounded table of pivots and covering
+radii) and then single trees (their root and covering radius) by ``q.x <= q.c + |q| r`` before any vector or tree is sent
+anywhere; queries meet the trees that are left in blocks of ``BLOCK``. Best lists are merged by query.
+
+Edge cases: vectors that are null or hold a null or a non-finite component take no part; an empty one scores 0 with all. Vectors
+of different lengths compare as if padded with zeros. Components may be as large as a double: products that doubles do not hold
+exactly are formed from Python integers. A score among the best that no 64-bit integer holds, or a component that ``scale``
+makes infinite, is an error. Rows with the query's vec_id are its own and never its candidates; if they hold several vectors, the
+smallest (in array order) is the query. Other repeated rows are candidates each. A null vec_id takes no part. Ties go to the
+smaller vec_id. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,24 +33,30 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import written
+from larkspur.llm.scratch import Tables
 
 SCALE, TOP, QUERY_EVERY = 64, 20, 20
-#: Most pivots (one for TREE_ROWS rows up to this number), rows of a tree, of a page, entries of an inner node, queries of a block.
-PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK = 1024, 4096, 512, 16, 512
-LARGEST = 1 << 30
+#: Most pivots of the table or of a cell (one for TREE_ROWS rows up to this number), rows of a tree, of a page, entries of an inner
+#: node, queries of a block, and rows of a cell that are dealt out to its pivots in one task.
+PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK, DEAL = 1024, 4096, 512, 16, 512, 100_000
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """vec_id and v (array of floor(scale * component) as int) of the vectors that take part."""
+    """vec_id and v (array of floor(scale * component), integers held as doubles) of the vectors that take part."""
     value = F.col(vector_col).cast("array<double>")
-    usable = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < LARGEST))
-    rows = vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull() & (F.size(vector_col) > 0)).where(usable)
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(value, lambda x: F.floor(x * scale).cast("int")).alias("v"))
+    usable = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
 
+    def floor(x: Column) -> Column:
+        y = x * scale
+        held = F.when(F.abs(y) == float("inf"), F.raise_error(F.lit(f"a component is too large for scale {scale}")).cast("double")).otherwise(y)
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(held)  # beyond it every double is an integer
 
-def _matrix(rows: list, width: int = 0) -> np.ndarray:
-    """Vectors padded to one width; float64 if every product is exact in it, else Python integers."""
+    rows = vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull()).where(usable)
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(value, floor).alias("v"))
+
+
+def _matrix(rows: list, width: int = 1) -> np.ndarray:
+    """Vectors padded with zeros to one width, at least ``width``; integers held as doubles."""
     width = max([width, *(len(r) for r in rows)])
     out = np.zeros((len(rows), width))
     for i, r in enumerate(rows):
@@ -52,14 +64,19 @@ def _matrix(rows: list, width: int = 0) -> np.ndarray:
     return out
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> bool:
-    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[-1], 1) < 2**53
+def _widened(x: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(x, ((0, 0), (0, max(0, width - x.shape[1]))))
+
+
+def _exact(a: float, b: float, width: int) -> bool:
+    """Whether every product of vectors with components up to a and b is exact in doubles."""
+    return a * b * max(width, 1) < 2**53
 
 
 def _products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    if _exact(x, q):
-        return x @ q
-    return x.astype(np.int64).astype(object) @ q.astype(np.int64).astype(object)
+    """Products of integers of any size."""
+    whole = [int(c) for c in q.tolist()]
+    return np.array([sum(int(c) * d for c, d in zip(r, whole, strict=True)) for r in x.tolist()], object)
 
 
 class MTree:
@@ -68,11 +85,13 @@ class MTree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.x, self.computed = ids, vectors, 0  # computed: products formed by searches so far
         self.largest = float(np.abs(vectors).max(initial=0))
-        norms = (vectors**2).sum(axis=1)
-        self.most = float(norms.max(initial=0.0))
-        self.lift = np.sqrt(np.maximum(self.most - norms, 0.0))
-        self.nodes: list[tuple] = []  # (is leaf, entries, distance of entries to the routing point, routing row, covering radius)
-        self.root = self._build(np.arange(len(ids)), int(np.argmax(norms)) if len(ids) else -1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            norms = (vectors**2).sum(axis=1)
+            self.most = float(norms.max(initial=0.0))
+            self.lift = np.sqrt(np.maximum(self.most - norms, 0.0))
+            self.nodes: list[tuple] = []  # (is leaf, entries, distance of entries to the routing point, routing row, covering radius)
+            self.bounded = bool(np.isfinite(4 * self.most))  # else distances overflow and searches read every row
+            self.root = self._build(np.arange(len(ids)), int(np.argmax(norms)) if len(ids) else -1) if self.bounded else -1
         self._lay_out()
 
     def _distance(self, rows: np.ndarray, to: int) -> np.ndarray:
@@ -80,7 +99,7 @@ class MTree:
 
     def _lay_out(self) -> None:
         """Put the rows of a page next to each other, so that a visit reads one slice."""
-        if not len(self.ids):
+        if not self.nodes or not len(self.ids):
             return
         order = np.concatenate([n[1] for n in self.nodes if n[0]])
         place = np.empty(len(order), np.int64)
@@ -91,7 +110,7 @@ class MTree:
 
     def _build(self, rows: np.ndarray, routing: int) -> int:
         away = self._distance(rows, routing) if len(rows) else np.empty(0)
-        if len(rows) <= PAGE:
+        if len(rows) <= PAGE:  # a page: entries in order of their distance
             order = np.argsort(away, kind="stable")
             self.nodes.append((True, rows[order], away[order], routing, float(away.max(initial=0.0))))
             return len(self.nodes) - 1
@@ -107,27 +126,56 @@ class MTree:
         self.nodes.append((False, np.array(children), self._distance(routes, routing), routing, float(away.max())))
         return len(self.nodes) - 1
 
-    def search(self, query_id: int, q: np.ndarray, k: int, least: float | None = None) -> list[tuple[int, int]]:
+    def ball(self) -> tuple[np.ndarray, float]:
+        """The root's routing point and a radius (without the lifted component) that covers every vector."""
+        centre = self.x[self.nodes[self.root][3]] if self.nodes else np.zeros(self.x.shape[1])
+        with np.errstate(over="ignore"):
+            return centre, float(np.sqrt(((self.x - centre) ** 2).sum(axis=1)).max(initial=0.0))
+
+    def search(self, query_id: int, q: np.ndarray, k: int, least: int | None = None) -> list[tuple[int, int]]:
         """The best (score, vec_id) pairs, at most k, of score ``least`` or more."""
         if not len(self.ids):
             return []
-        base = float(q @ q) + self.most
+        exact = _exact(self.largest, float(np.abs(q).max(initial=0)), len(q))
+        with np.errstate(over="ignore"):
+            base = float(q @ q) + self.most
         slack = 1e-9 * (base + 1.0)
+        rounding = 1e-7 if exact else 1e-7 + 1e-6 * np.sqrt(base)  # of distances
+        bound, best = least, []  # best: a heap of (score, -vec_id)
 
         def radius() -> float:
             """No point beyond this distance can be among the best; the slack covers rounding."""
-            return np.inf if bound is None else np.sqrt(max(base - 2 * float(bound), 0.0) + slack) + 1e-7
-
-        exact = self.largest * float(np.abs(q).max(initial=0)) * max(len(q), 1) < 2**53
-
-        def products(lo: int, hi: int) -> np.ndarray:
-            return self.x[lo:hi] @ q if exact else _products(self.x[lo:hi], q)
+            return np.inf if bound is None else np.sqrt(max(base - 2 * float(bound), 0.0) + slack) + rounding
 
         def to(rows: np.ndarray) -> np.ndarray:
             return np.sqrt(np.maximum(base - 2 * (self.x[rows] @ q), 0.0))
 
-        bound, best = least, []  # best: a heap of (score, -vec_id)
+        def take(lo: int, hi: int) -> None:
+            """Score the rows of a page from lo to hi."""
+            nonlocal bound, reach
+            self.computed += hi - lo
+            scores, ids = self.x[lo:hi] @ q if exact else _products(self.x[lo:hi], q), self.ids[lo:hi]
+            good = ids != query_id
+            if bound is not None:
+                good &= (scores >= bound).astype(bool)
+            good = np.flatnonzero(good)
+            if exact and len(good) > k:  # of a page at most k count, and ties at the last of them
+                last = len(good) - k
+                good = good[scores[good] >= np.partition(scores[good], last)[last]]
+            for score, ident in zip(scores[good].tolist(), ids[good].tolist(), strict=True):
+                item = (int(score), -ident)
+                if len(best) < k:
+                    heapq.heappush(best, item)
+                elif item > best[0]:
+                    heapq.heapreplace(best, item)
+            if len(best) == k:
+                bound = best[0][0] if bound is None else max(bound, best[0][0])
+                reach = radius()
+
         reach = radius()
+        if not (self.bounded and np.isfinite(4 * base)):
+            take(0, len(self.ids))
+            return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
         start = float(to(np.array([self.nodes[self.root][3]]))[0])
         heap = [(max(0.0, start - self.nodes[self.root][4]), self.root, start)]
         while heap:
@@ -136,80 +184,106 @@ class MTree:
                 break
             leaf, entries, away, _, _ = self.nodes[at]
             if leaf:
-                lo, hi = np.searchsorted(away, [apart - reach - 1e-7, apart + reach + 1e-7])
-                first = entries[0] + lo if len(entries) else 0
-                self.computed += int(hi - lo)
-                scores, ids = products(first, first + hi - lo), self.ids[first : first + hi - lo]
-                good = np.arange(len(scores)) if bound is None else np.flatnonzero(scores >= bound)
-                if exact and len(good) > k + 1:  # of a page at most k and the query itself count, and ties at the last of them
-                    last = len(good) - k - 1
-                    good = good[scores[good] >= np.partition(scores[good], last)[last]]
-                for score, ident in zip(scores[good].tolist(), ids[good].tolist(), strict=True):
-                    if ident == query_id:
-                        continue
-                    item = (int(score), -ident)
-                    if len(best) < k:
-                        heapq.heappush(best, item)
-                    elif item > best[0]:
-                        heapq.heapreplace(best, item)
-                if len(best) == k:
-                    bound = best[0][0] if bound is None else max(bound, best[0][0])
-                    reach = radius()
+                lo, hi = np.searchsorted(away, [apart - reach - rounding, apart + reach + rounding]).tolist()
+                if hi > lo:
+                    take(int(entries[0]) + lo, int(entries[0]) + hi)
                 continue
             routes, radii = self.below[at]
-            open_ = np.flatnonzero(np.abs(apart - away) - radii <= reach + 1e-7)  # no distance computed for the others
+            open_ = np.flatnonzero(np.abs(apart - away) - radii <= reach + rounding)  # no distance computed for the others
             for c, d, r in zip(entries[open_].tolist(), to(routes[open_]).tolist(), radii[open_].tolist(), strict=True):
                 if d - r <= reach:
                     heapq.heappush(heap, (max(0.0, d - r), c, d))
         return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
 
 
-def _cells(rows: DataFrame, tree_rows: int) -> tuple[DataFrame, int]:
-    """The rows with tree, a number for the nearest pivot and, in large cells, a hash split; and how many trees there are."""
+def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector the number of its nearest pivot, and how far it is."""
+    width = max(x.shape[1], pivots.shape[1])
+    x, p = _widened(x, width), _widened(pivots, width)
+    with np.errstate(over="ignore", invalid="ignore"):
+        owner = ((p**2).sum(axis=1)[None, :] - 2 * (x @ p.T)).argmin(axis=1)
+        return owner, np.sqrt(((x - p[owner]) ** 2).sum(axis=1))
+
+
+def _split_cells(placed: DataFrame, large: DataFrame, tree_rows: int) -> DataFrame:
+    """The rows of the cells in ``large`` (cell, count) with sub, the number of the nearest of the cell's own pivots.
+
+    A cell's rows are dealt out in parts of about ``DEAL``, each of which meets the cell's pivots once.
+    """
+    wanted = F.least(F.ceil(F.col("count") / tree_rows), F.lit(PIVOTS))
+    share = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1 << 30)) / (1 << 30) < wanted / F.col("count")
+    rows = placed.join(large, "cell")
+    pivots = rows.where(share).select(F.col("cell").alias("p_cell"), F.col("v").alias("p_v"), F.explode(F.sequence(F.lit(0), F.floor(F.col("count") / DEAL).cast("int"))).alias("p_part"))
+    dealt = rows.select("cell", "vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.floor(F.col("count") / DEAL) + 1).cast("int").alias("part"))
+
+    def assign(mine: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(mine):
+            return pd.DataFrame({"cell": [], "vec_id": [], "v": [], "sub": []})
+        sub = np.zeros(len(mine), np.int32)
+        if len(own):
+            table = np.unique(_matrix(list(own.p_v)), axis=0)
+            for lo in range(0, len(mine), 4096):
+                sub[lo : lo + 4096] = _nearest(_matrix(list(mine.v.iloc[lo : lo + 4096])), table)[0]
+        return mine[["cell", "vec_id", "v"]].assign(sub=sub)
+
+    return dealt.groupBy("cell", "part").cogroup(pivots.groupBy("p_cell", "p_part")).applyInPandas(assign, "cell int, vec_id long, v array<double>, sub int")
+
+
+def _cells(rows: DataFrame, tree_rows: int, tables: Tables) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """The rows with cell (nearest pivot) and tree, and the pivots and covering radii of the cells."""
     wanted = min(PIVOTS, -(-rows.count() // tree_rows))
     pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, wanted)).collect()]
     table = _matrix(pivots)
 
-    @F.pandas_udf("int")
-    def nearest(v: pd.Series) -> pd.Series:
-        x = _matrix(list(v), table.shape[1])
-        p = np.pad(table, ((0, 0), (0, x.shape[1] - table.shape[1])))
-        return pd.Series(((p**2).sum(axis=1)[None, :] - 2 * (x @ p.T)).argmin(axis=1), dtype="int32")
-
-    placed = written(rows.withColumn("cell", nearest("v")) if pivots else rows.withColumn("cell", F.lit(0)), "mt-placed")
-    sizes = placed.groupBy("cell").count().orderBy("cell").collect()  # at most PIVOTS rows
-    numbered, n_trees = [], 0
-    for r in sizes:
-        parts = -(-r["count"] // tree_rows)
-        numbered.append((r.cell, n_trees, parts))
-        n_trees += parts
-    table_of_cells = placed.sparkSession.createDataFrame(numbered, "cell int, first int, parts int")
-    placed = placed.join(F.broadcast(table_of_cells), "cell")
-    return placed.select("vec_id", "v", (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("tree")), n_trees
+    @F.pandas_udf("struct<cell int, away double>")
+    def nearest(v: pd.Series) -> pd.DataFrame:
+        owner, away = _nearest(_matrix(list(v)), table)
+        return pd.DataFrame({"cell": owner.astype(np.int32), "away": away})
+
+    found = rows.withColumn("near", nearest("v")) if pivots else rows.withColumn("near", F.struct(F.lit(0).alias("cell"), F.lit(0.0).alias("away")))
+    placed = tables.written(found.select("vec_id", "v", "near.*"), "placed")
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("count"), F.max("away").alias("radius"))
+    radii = np.zeros(len(table))
+    for r in sizes.collect():  # at most PIVOTS rows
+        radii[r.cell] = np.inf if r.radius is None or np.isnan(r.radius) else r.radius
+    large = sizes.where(F.col("count") > tree_rows).select("cell", "count")
+    split = _split_cells(placed, F.broadcast(large), tree_rows)
+    whole = placed.join(F.broadcast(large), "cell", "left_anti").select("cell", "vec_id", "v", F.lit(0).alias("sub"))
+    cells = tables.written(split.unionByName(whole), "cells")
+    parts = cells.groupBy("cell", "sub").agg(F.ceil(F.count("*") / tree_rows).alias("parts"))
+    part = F.pmod(F.xxhash64("vec_id"), F.col("parts"))
+    number = F.shiftleft(F.col("cell").cast("long"), 44) + F.shiftleft(F.col("sub").cast("long"), 32) + part
+    return cells.join(parts, ["cell", "sub"]).select("vec_id", "v", "cell", number.alias("tree")), table, radii
 
 
 @dataclass
 class Forest:
-    """Vectors with the number of their tree (vec_id, v, tree), and the trees, one pickled tree a row (tree, index)."""
+    """Vectors with their cell and tree (vec_id, v, cell, tree), the trees, one pickled tree a row (tree, cell, root, radius, index),
+    and the pivot and covering radius of each cell."""
 
     placed: DataFrame
     trees: DataFrame
-    n_trees: int
+    pivots: np.ndarray
+    radii: np.ndarray
+    tables: Tables
 
 
 def build(rows: DataFrame, tree_rows: int = TREE_ROWS) -> Forest:
     """Index all quantised vectors (vec_id, v)."""
-    placed, n_trees = _cells(rows, tree_rows)
-    placed = written(placed, "mt-cells")
+    tables = Tables(rows.sparkSession, "m-trees")
+    rows = tables.written(rows, "vectors")
+    placed, pivots, radii = _cells(rows, tree_rows, tables)
+    placed = tables.written(placed, "forest")
 
     def plant(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
         tree = MTree(pdf.vec_id.to_numpy(np.int64), _matrix(list(pdf.v)))
-        tree.x = tree.x.astype(np.int32)
-        return pd.DataFrame({"tree": [pdf.tree.iloc[0]], "index": [pickle.dumps(tree)]})
+        root, radius = tree.ball()
+        tree.x = tree.x.astype(np.int32) if tree.largest < 1 << 31 else tree.x
+        return pd.DataFrame({"tree": [pdf.tree.iloc[0]], "cell": [pdf.cell.iloc[0]], "root": [root.tolist()], "radius": [radius], "index": [pickle.dumps(tree)]})
 
-    trees = placed.groupBy("tree").applyInPandas(plant, "tree int, index binary")
-    return Forest(placed, written(trees, "mt-trees"), n_trees)
+    trees = placed.groupBy("tree").applyInPandas(plant, "tree long, cell int, root array<double>, radius double, index binary")
+    return Forest(placed, tables.written(trees, "trees"), pivots, radii, tables)
 
 
 def _grown(blob: bytes) -> MTree:
@@ -218,38 +292,85 @@ def _grown(blob: bytes) -> MTree:
     return tree
 
 
-def _fitted(v, width: int) -> np.ndarray:
-    q = np.zeros(width)
-    q[: min(len(v), width)] = v[:width]
+def _fitted(v, tree: MTree) -> np.ndarray:
+    """The query at the tree's width; what lies beyond meets zeros only."""
+    q = np.zeros(tree.x.shape[1])
+    q[: len(v)] = v[: len(q)]
     return q
 
 
+def _may_reach(q: np.ndarray, centres: np.ndarray, radii: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether a vector within ``radii`` of ``centres`` can score ``least`` (nan: anything) with ``q``; all broadcast against each other.
+
+    The triangle inequality bounds the product by ``q.c + |q| r``; the slack covers rounding.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = np.sqrt((q**2).sum(axis=-1))
+        most = (q * centres).sum(axis=-1) + size * radii
+        slack = 1e-9 * (size * (np.sqrt((centres**2).sum(axis=-1)) + radii) + 1)
+        return ~(most + slack < least)  # nan and overflow rule nothing out
+
+
+def searched(forest: Forest, queries: DataFrame, floors: DataFrame) -> DataFrame:
+    """query_id, v, least and tree of every (query, tree) pair that bounds do not rule out, the query's own tree left out.
+
+    ``queries`` has query_id, v and tree; ``floors`` has query_id and least (k-th score in the query's own tree, or null).
+    """
+    pivots, radii = forest.pivots, forest.radii
+
+    @F.pandas_udf("array<int>")
+    def cells(v: pd.Series, least: pd.Series) -> pd.Series:
+        out = []
+        low = least.to_numpy(np.float64)
+        for lo in range(0, len(v), 16):
+            q = _matrix(list(v.iloc[lo : lo + 16]))
+            width = max(q.shape[1], pivots.shape[1])
+            good = _may_reach(_widened(q, width)[:, None, :], _widened(pivots, width)[None], radii[None], low[lo : lo + 16, None])
+            out += [np.flatnonzero(g).astype(np.int32) for g in good]
+        return pd.Series(out, index=v.index)
+
+    @F.pandas_udf("boolean")
+    def reaches(v: pd.Series, root: pd.Series, radius: pd.Series, least: pd.Series) -> pd.Series:
+        q, c = _matrix(list(v)), _matrix(list(root))
+        width = max(q.shape[1], c.shape[1])
+        return pd.Series(_may_reach(_widened(q, width), _widened(c, width), radius.to_numpy(np.float64), least.to_numpy(np.float64)), index=v.index)
+
+    asked = queries.join(floors, "query_id", "left").select("query_id", "v", "least", F.col("tree").alias("home"))
+    asked = asked.withColumn("cell", F.explode(cells("v", "least")))
+    met = asked.join(forest.trees.select("cell", "tree", "root", "radius"), "cell").where("tree <> home")
+    return met.where(reaches("v", "root", "radius", "least")).select("query_id", "v", "least", "tree")
+
+
 _HIT = "query_id long, vec_id long, score long"
+_LONG = 1 << 63
 
 
 def top_k(forest: Forest, is_query: Column, k: int = TOP) -> DataFrame:
-    """query_id, rank (from 1), vec_id and score of the k best candidates of every row that ``is_query`` picks."""
-    queries = forest.placed.where(is_query).select(F.col("vec_id").alias("query_id"), "v", "tree")
+    """query_id, rank (from 1), vec_id and score of the k best candidates of every query id among the rows that ``is_query`` picks."""
+    picked = forest.placed.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("v", "tree")).alias("own"))
+    queries = forest.tables.written(picked.select("query_id", "own.v", "own.tree"), "queries")
 
     def visit(trees: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         rows: list[tuple] = []
         if len(trees) and len(asked):
             tree = _grown(trees["index"].iloc[0])
-            least = asked["least"] if "least" in asked else pd.Series(np.nan, asked.index)
+            least = asked["least"] if "least" in asked else pd.Series(None, asked.index, dtype=object)
             for ident, v, low in zip(asked.query_id, asked.v, least, strict=True):
-                rows += [(ident, i, s) for s, i in tree.search(ident, _fitted(v, tree.x.shape[1]), k, None if pd.isna(low) else int(low))]
+                rows += [(ident, i, s) for s, i in tree.search(ident, _fitted(v, tree), k, None if pd.isna(low) else int(low))]
+        if any(not -_LONG <= s < _LONG for _, _, s in rows):
+            raise ValueError("a score among the best does not fit 64 bits")
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
-    home = forest.trees.groupBy("tree").cogroup(queries.groupBy("tree")).applyInPandas(visit, _HIT)
-    home = written(home, "mt-home")
+    home = forest.trees.select("tree", "index").groupBy("tree").cogroup(queries.groupBy("tree")).applyInPandas(visit, _HIT)
+    home = forest.tables.written(home, "home")
     floors = home.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("low"))
     floors = floors.select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("least"))
     n_blocks = max(1, -(-queries.count() // BLOCK))
     block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.lit(max(forest.n_trees - 1, 0))), lambda t: t != F.col("home"))
-    asked = queries.join(floors, "query_id", "left").withColumnRenamed("tree", "home").select("query_id", "v", "least", block.alias("block"), F.explode(others).alias("tree"))
-    copies = forest.trees.select("tree", "index", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-    away = copies.groupBy("tree", "block").cogroup(asked.groupBy("tree", "block")).applyInPandas(visit, _HIT)
+    asked = forest.tables.written(searched(forest, queries, floors).withColumn("block", block), "asked")
+    met = asked.select(F.col("tree").alias("at"), F.col("block").alias("of")).distinct()
+    copies = met.join(forest.trees.select(F.col("tree").alias("at"), "index"), "at")
+    away = copies.groupBy("at", "of").cogroup(asked.groupBy("tree", "block")).applyInPandas(visit, _HIT)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = home.unionByName(away).withColumn("rank", F.row_number().over(order).cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -178,9 +178,9 @@ SELECT doc_id, source, size, source_size, target, CAST(size * epochs + greatest(
 
 def _op8_sql() -> str:
     return f"""
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({mtree.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
-           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({mtree.SCALE} * CAST(x AS DOUBLE)) AS HUGEINT)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
            FROM v q JOIN v c ON q.vec_id % {mtree.QUERY_EVERY} = 0 AND q.vec_id <> c.vec_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= {mtree.TOP}"""

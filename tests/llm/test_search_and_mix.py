@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from larkspur.llm import mixing, mtree, urlrules
@@ -111,13 +113,89 @@ def test_search_against_brute_force(spark):
 
 def test_search_leaves_out_what_it_says(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 2.0]), (1, [0.5, -1.0]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, []), (7, [3.0]), (None, [1.0, 1.0]), (20, [1e30, 1.0]), (40, [-1.0, -1.0])]
+    rows = [(0, [1.0, 2.0]), (1, [0.5, -1.0]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, []), (7, [3.0]), (None, [1.0, 1.0]), (20, []), (40, [-1.0, -1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = found_by(mtree.build(mtree.quantised(df)), 20)
-    assert got == {0: [(7, 64 * 192), (1, 64 * 32 - 128 * 64), (40, -64 * 64 - 128 * 64)], 40: [(1, -64 * 32 + 64 * 64), (0, -64 * 64 - 64 * 128), (7, -64 * 192)]}
+    none = [(i, 0) for i in (0, 1, 6, 7, 20, 40)]
+    assert got[20] == [x for x in none if x[0] != 20]
+    assert got[0] == [(7, 64 * 192), (6, 0), (20, 0), (1, 64 * 32 - 128 * 64), (40, -64 * 64 - 128 * 64)]
+    assert got[40] == [(1, -64 * 32 + 64 * 64), (6, 0), (20, 0), (0, -64 * 64 - 64 * 128), (7, -64 * 192)]
     assert found_by(mtree.build(mtree.quantised(df.limit(0))), 5) == {}
 
 
+def test_large_finite_vectors_take_part(spark, tmp_path):
+    import duckdb
+
+    from larkspur.llm import queries
+
+    small = [(20, [1.0, 2.0]), (2, [2e7, 1.0]), (3, [3.0, 1.0]), (40, [-1e7, 1e7]), (5, [1e7 + 0.25, 1e7]), (6, [2.0**26, -(2.0**26)])]
+    spark.createDataFrame(small, "vec_id long, embedding array<double>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    rows = [(i, [int(x * 64) for x in v]) for i, v in small]
+    want = {q: sorted(((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in rows if i != q)) for q, v in rows if q % 20 == 0}
+    got = {}
+    for r in queries.op8_mtree_topk(spark, str(tmp_path)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    assert got == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    twin = con.execute(f"SELECT query_id, -score, vec_id FROM ({queries.oracle_sql()['op8_mtree_topk']}) ORDER BY query_id, rank").fetchall()
+    assert twin == [(q, s, i) for q in sorted(want) for s, i in want[q]]
+
+
+def test_huge_components_and_scores_beyond_a_long(spark):
+    big = float(2**24 - 1)
+    forest = mtree.build(mtree.quantised(spark.createDataFrame([(20, [big] * 20), (1, [big] * 20)], "vec_id long, embedding array<float>")))
+    with pytest.raises(PythonException, match="does not fit 64 bits"):
+        mtree.top_k(forest, F.col("vec_id") % 20 == 0).collect()
+    rows = [(20, [1.0, 0.0]), (1, [1e300, 1.0]), (2, [3.0, 1e200]), (3, [-5.0, 1.0])]  # squares overflow; scores of the first query fit but for one
+    tree = mtree.MTree(np.array([1, 2, 3]), np.array([r[1] for r in rows[1:]]))
+    assert not tree.bounded and tree.search(20, np.array([1.0, 0.0]), 3) == [(int(1e300), 1), (3, 2), (-5, 3)]
+    with pytest.raises(Exception, match="too large for scale"):
+        mtree.quantised(spark.createDataFrame([(1, [1.5e308])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_repeated_vector_ids(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).round(3).tolist()) for i in range(60)]
+    rows += [(20, rows[20][1])] * 30 + [(40, [9.0] * 4)] * 5 + [(7, rows[7][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    want = {}
+    for q in (0, 20, 40):
+        own = min(v for i, v in whole if i == q)
+        want[q] = [(i, -s) for s, i in sorted((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in whole if i != q)[:20]]
+    assert found_by(mtree.build(mtree.quantised(df), tree_rows=16), 20) == want
+
+
+def test_trees_are_ruled_out_before_anything_is_sent(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 6)) * 20
+    rows = [(i, (centres[i % 12] + rng.normal(size=6) * 0.2).tolist()) for i in range(2400)]
+    forest = mtree.build(mtree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), tree_rows=100)
+    n_trees = forest.trees.count()
+    queries = forest.placed.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v", "tree")
+    whole = [(i, np.floor(np.array(v) * 64).astype(int)) for i, v in rows]
+    want = brute_top(whole, [r for r in whole if r[0] % 20 == 0], 20)
+    floors = spark.createDataFrame([(q, v[-1][1]) for q, v in want.items()], "query_id long, least long")
+    pairs = mtree.searched(forest, queries, floors).count()
+    assert n_trees > 20 and 0 < pairs < 0.5 * n_trees * len(want)
+    assert found_by(forest, 20) == want
+
+
+def test_large_cells_are_split_by_distance(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "PIVOTS", 3)
+    monkeypatch.setattr(mtree, "DEAL", 200)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=3).round(2).tolist() if i % 3 else [1.0, 1.0, 1.0]) for i in range(1500)]
+    forest = mtree.build(mtree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), tree_rows=60)
+    sizes = [r["count"] for r in forest.placed.groupBy("tree").count().collect()]
+    assert sum(sizes) == 1500 and max(sizes) < 250 and len(sizes) > 9
+    subs = {(r.tree >> 44, r.tree >> 32 & 4095) for r in forest.placed.select("tree").distinct().collect()}
+    assert len(subs) > 3
+    whole = [(i, np.floor(np.array(v) * 64).astype(int)) for i, v in rows]
+    assert found_by(forest, 20) == brute_top(whole, [r for r in whole if r[0] % 20 == 0], 20)
+
+
 def test_bounds_save_work(monkeypatch):
     monkeypatch.setattr(mtree, "PAGE", 64)
     rng = np.random.default_rng(1)
