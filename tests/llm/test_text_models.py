@@ -147,34 +147,56 @@ def test_language_edge_cases(spark):
     assert langid.identify(empty, model).count() == 0
 
 
-ALPHABETS = ["abcdefghijklmnopqrstuvwxyz", "etaoin", "'stdlmrve", "!?.,'\"-", "0123456789", "éèêëñüößçA", "ab'sAB12!", "中文字符日本語", "éà̧o", "<|startoftext|>", "αβγΣσς", "İıKﬁ", "\u200b\u00ad\u0085\u00a0\u3000\x1c"]
+ALPHABETS = ["abcdefghijklmnopqrstuvwxyz", "etaoin", "'stdlmrve", "!?.,'\"-", "0123456789", "éèêëñüößçA", "ab'sAB12!", "中文字符日本語", "éà̧o", "<|startoftext|>", "αβγΣσς", "İıKﬁ", "\u200b\u00ad\u0085\u00a0\u3000\x1c", " \n\t", "абвгд", "각가나ᅡᆨᄀ", "কোৈাৌ", "ابتث"]
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_tree_concatenation_equals_the_library(seed):
-    rng, tok = random.Random(seed), Tokenizer.from_file(PATH)
-    for _ in range(60):
+@pytest.fixture(scope="module")
+def own_codec():
+    return bpe.Codec(PATH)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_tree_concatenation_equals_the_library(seed, own_codec):
+    rng, tok = random.Random(seed), own_codec.tokenizer
+    for _ in range(80):
         letters = "".join(rng.sample(ALPHABETS, rng.randrange(1, 4)))
         text = "".join(rng.choice(letters) for _ in range(rng.choice([300, 700, 1500])))
         at = rng.randrange(len(text))
-        text = text[:at] + rng.choice(["", "<|startoftext|>", "<|endoftext|>", "'re", "'s's"]) + text[at:]
-        tree = bpe.TreeEncoder(tok, leaf=rng.choice([32, 64, 256]))
+        text = text[:at] + rng.choice(["", "<|startoftext|>", "<|endoftext|>", "'re", "'s's", "the dog's tail ", "naïve café "]) + text[at:]
+        tree = bpe.TreeEncoder(own_codec, leaf=rng.choice([32, 64, 256]))
         assert tree.encode([text])[0].tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
-def test_joins_look_at_little_text():
+@pytest.mark.parametrize("letters", ["etaoinshrdlu", "абвгдежзийклмно", "中文字符日本語漢字", "가나다라마바사각", "αβγδεΣσς", "ابتثجح", "the cat sat on mat "])
+def test_joins_look_at_little_text(own_codec, letters):
     rng = random.Random(0)
-    text = "".join(rng.choice("etaoinshrdlu") for _ in range(20_000))
-    tree = bpe.TreeEncoder(Tokenizer.from_file(PATH))
-    tree.encode([text])
-    assert tree.rejoined < 2 * len(text)
+    text = "".join(rng.choice(letters) for _ in range(30_000))
+    tree = bpe.TreeEncoder(own_codec)
+    assert tree.encode([text])[0].tolist() == own_codec.tokenizer.encode(text, add_special_tokens=False).ids
+    assert tree.joins >= 7 and tree.rejoined < 0.5 * len(text)
+
+
+def test_long_documents_go_through_the_tree(small_dir):
+    import pyarrow.parquet as pq
+
+    texts = [t.encode() for t in pq.read_table(f"{small_dir.replace('0.001', '0.01')}/documents.parquet").column("text").to_pylist() if t]
+    codec = bpe.Codec(PATH)
+    list(codec.encode(texts))
+    assert codec.tree.joins > sum(len(t) > bpe.LONG for t in texts) > 10
+    assert codec.tree.rejoined < 0.2 * sum(len(t) for t in texts if len(t) > bpe.LONG)
+
+
+def test_other_kinds_of_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="tokenizer"):
+        bpe.Codec(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_codec_round_trip_with_edge_cases(spark):
     tok, rng = Tokenizer.from_file(PATH), random.Random(9)
     texts = [None, "", "  \n", "A b", "<|STARTOFTEXT|> a", "x<|startoftext|>y <|endoftext|>", "\u3000 a \u3000", "z" * 3000, "Don't  stop"]
-    texts += ["".join(rng.choice("".join(rng.sample(ALPHABETS, 3)) + "  \n\t") for _ in range(rng.choice([5, 60, 800]))) for _ in range(150)]
-    df = spark.createDataFrame([(i % 120, t, i) for i, t in enumerate(texts)], "doc_id long, text string, ids int")
+    texts += ["".join(rng.choice("".join(rng.sample(ALPHABETS, 3)) + "  \n\t") for _ in range(rng.choice([5, 60, 800, 9000]))) for _ in range(150)]
+    texts += ["\0" * 20_000, "ab" * 10_000, "a" * 9000 + " b" * 5000, " " * 30_000]
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, ids int")
     full = bpe.encode(df.select(df.ids.alias("doc_id"), "text"), PATH)
     for r in full.collect():
         want = tok.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
