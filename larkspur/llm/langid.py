@@ -4,6 +4,10 @@ Every labelled training text is counted whole, on the executors: a task adds up
 ``MAX_N``-grams for each language it meets, and Spark sums the vectors. The model (buckets x languages of log-probabilities,
 a size that does not grow with the rows) is broadcast, and each batch is scored with numpy: gather and segment sums.
 
+A broadcast matrix holds ``BLOCK`` languages at most (64 MB). More languages make several blocks, which are scored one after
+the other; best score and sum of likelihoods go from block to block, so the result is that of one matrix. Names of languages are held
+by the driver, so more than ``MAX_LANGUAGES`` different values of lang are refused.
+
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; so is everything if no language was learned.
 Rows without lang are not learned from; a null doc_id counts as held out. Long texts are scored in overlapping pieces whose
 sums are exact. Equal scores go to the language that sorts first. Repeated rows get equal results, other columns are
@@ -18,17 +22,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import sliced
+from larkspur.llm.scratch import sliced, written
 from larkspur.llm.toxicity import held_out
 
 BUCKETS, MAX_N = 1 << 15, 3
 SMOOTHING = 0.5
 UNKNOWN = "und"
 _PIECE = 1 << 18  # characters worked on at once
-_MANY = 64  # languages a task holds vectors for before it passes them on
+_MANY = 64  # languages a task holds vectors for before it passes them on, or the driver collects at once
+BLOCK, MAX_LANGUAGES = 512, 100_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -52,25 +58,42 @@ def _pieces(codes: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
         yield codes[lo : lo + _PIECE + MAX_N - 1], own
 
 
-def ngram_counts(codes: np.ndarray) -> np.ndarray:
-    """Counts of the 1- to MAX_N-grams of one text by bucket."""
+def ngram_counts(texts: list[np.ndarray]) -> np.ndarray:
+    """Counts of the 1- to MAX_N-grams of texts by bucket; no n-gram reaches from one text into the next."""
     total = np.zeros(BUCKETS, np.int64)
-    for piece, own in _pieces(codes):
-        for n in range(1, MAX_N + 1):
-            if len(piece) >= n:
-                total += np.bincount(_buckets(piece, n)[:own], minlength=BUCKETS)
+    if len(texts) == 1:
+        for piece, own in _pieces(texts[0]):
+            for n in range(1, MAX_N + 1):
+                if len(piece) >= n:
+                    total += np.bincount(_buckets(piece, n)[:own], minlength=BUCKETS)
+        return total
+    codes = np.concatenate(texts)
+    ends = np.cumsum([len(t) for t in texts])
+    starts = ends - [len(t) for t in texts]
+    for n in range(1, MAX_N + 1):
+        if len(codes) >= n:
+            at = _buckets(codes, n)
+            whole = np.ones(len(codes), bool)
+            for j in range(1, n):
+                whole[(ends - j)[ends - j >= starts]] = False
+            total += np.bincount(at[whole[: len(at)]], minlength=BUCKETS)
     return total
 
 
 @dataclass
 class NaiveBayes:
+    """One block of a model: its languages in order of name, and their log-probabilities of buckets and of themselves."""
+
     languages: list[str]
     log_prob: np.ndarray  # languages x buckets, float32
     log_prior: np.ndarray
 
-    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Best language and its posterior probability for each text."""
-        labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    def score(self, texts: list[str | None], before: list[tuple] | None = None) -> list[tuple[str | None, float, float]]:
+        """For each text the likeliest language, its log-likelihood, and the log of the sum of all likelihoods.
+
+        ``before`` holds the same of earlier blocks (languages that sort first). A text without a letter has (None, 0, 0).
+        """
+        out: list[tuple] = [(None, 0.0, 0.0)] * len(texts)
         rows = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
         batch: list[tuple[int, np.ndarray]] = []
         held = 0
@@ -81,9 +104,12 @@ class NaiveBayes:
             totals = self._totals([c for _, c in batch])
             best = totals.argmax(axis=0)
             top = totals[best, np.arange(len(batch))]
-            posterior = 1.0 / np.exp(totals - top).sum(axis=0)
-            for (i, _), b, p in zip(batch, best.tolist(), posterior.tolist(), strict=True):
-                labels[i], scores[i] = self.languages[b], p
+            every = top + np.log(np.exp(totals - top).sum(axis=0))
+            for (i, _), b, t, e in zip(batch, best.tolist(), top.tolist(), every.tolist(), strict=True):
+                out[i] = (self.languages[b], t, e)
+                if before is not None and before[i][0] is not None:
+                    lang, high, total = before[i]
+                    out[i] = ((lang, high) if high >= t else out[i][:2]) + (float(np.logaddexp(total, e)),)
             batch.clear()
 
         for i in rows:
@@ -94,7 +120,7 @@ class NaiveBayes:
                 settle()
                 held = 0
         settle()
-        return labels, scores
+        return out
 
     def _totals(self, texts: list[np.ndarray]) -> np.ndarray:
         totals = np.repeat(self.log_prior[:, None], len(texts), axis=1)
@@ -111,16 +137,17 @@ class NaiveBayes:
             if len(codes) < n:
                 continue
             at = _buckets(codes, n)
-            stop = np.maximum(np.minimum(ends - n + 1, len(at)), starts)  # n-grams do not cross texts
-            edges = np.stack([starts, stop], axis=1).ravel()
+            begin = np.minimum(starts, len(at))
+            stop = np.maximum(np.minimum(ends - n + 1, len(at)), begin)  # n-grams do not cross texts
+            edges = np.stack([begin, stop], axis=1).ravel()
             for k in range(len(self.languages)):
                 sums = np.concatenate([[0.0], np.cumsum(self.log_prob[k][at], dtype=np.float64)])
                 totals[k] += sums[edges[1::2]] - sums[edges[::2]]
         return totals
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> NaiveBayes:
-    """Count all labelled texts outside the held-out fold and bring the summed matrix to the driver."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[NaiveBayes]:
+    """Count all labelled texts outside the held-out fold; the model in blocks of languages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -143,53 +170,80 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                         yield from out()
                     sums[lang], docs_seen[lang] = np.zeros(BUCKETS, np.int64), 0
                 docs_seen[lang] += 1
-                held.setdefault(lang, []).append(_codes(text + "\0" * MAX_N))
-                if sum(map(len, held[lang][-1:])) > _PIECE or len(held[lang]) >= 64:
-                    sums[lang] += ngram_counts(np.concatenate(held.pop(lang)))
+                held.setdefault(lang, []).append(_codes(text))
+                if len(held[lang][-1]) > _PIECE or len(held[lang]) >= 64:
+                    sums[lang] += ngram_counts(held.pop(lang))
             for lang, rest in held.items():
                 sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 docs_seen.setdefault(lang, 0)
-                sums[lang] += ngram_counts(np.concatenate(rest))
+                sums[lang] += ngram_counts(rest)
         yield from out()
 
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     labelled = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     counted = labelled.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()
-    languages = sorted(found.lang.unique())
-    counts = np.zeros((len(languages), BUCKETS))
-    seen = np.ones(len(languages))
-    index = found.lang.map({x: i for i, x in enumerate(languages)}).to_numpy(dtype=np.int64, na_value=0)
-    bucket, n = found.bucket.to_numpy(np.int64), found.n.to_numpy(np.float64)
-    gram = bucket >= 0
-    counts[index[gram], bucket[gram]] = n[gram]
-    seen[index[~gram]] = n[~gram]
-    smooth = counts + SMOOTHING
-    log_prob = np.log(smooth / smooth.sum(axis=1, keepdims=True)) if len(languages) else counts
-    return NaiveBayes(languages, log_prob.astype(np.float32), np.log(seen / seen.sum()) if len(languages) else seen)
-
-
-def identify(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score of every row; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            labels, scores = shared.value.score(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
-
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
-
-
-def kept(docs: DataFrame, model: NaiveBayes, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a language of posterior ``least`` or more, with all their columns."""
-    where = docs.columns.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            labels, scores = shared.value.score(batch.column(where).to_pylist())
-            yield batch.filter(pa.array([label != UNKNOWN and score >= least for label, score in zip(labels, scores, strict=True)], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    counted = written(counted, "langid-counts")
+    found = counted.where("bucket < 0").select("lang", "n").limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    seen = dict(sorted((r.lang, r.n) for r in found))
+    languages, documents = list(seen), sum(seen.values())
+    blocks = []
+    for lo in range(0, len(languages), BLOCK):
+        names = languages[lo : lo + BLOCK]
+        log_prob = np.empty((len(names), BUCKETS), np.float32)
+        for at in range(0, len(names), _MANY):
+            some = names[at : at + _MANY]
+            part = counted.where((F.col("bucket") >= 0) & F.col("lang").isin(some)).groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+            got = {r.lang: (r["at"], r["n"]) for r in part.collect()}  # at most BUCKETS pairs a language
+            for k, name in enumerate(some, at):
+                counts = np.zeros(BUCKETS)
+                if name in got:
+                    counts[got[name][0]] = got[name][1]
+                log_prob[k] = np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * BUCKETS))
+        blocks.append(NaiveBayes(names, log_prob, np.log(np.array([seen[x] for x in names]) / documents)))
+    return blocks
+
+
+_FOUND = "lang string, top double, total double"
+_EMPTY = NaiveBayes([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
+
+
+def _with_best(docs: DataFrame, model: list[NaiveBayes], text_col: str, shown: str | None) -> DataFrame:
+    """doc (a struct of all columns of ``docs``, or only column ``shown``) with lang, top and total over all blocks.
+
+    Each block but the last leaves a written table.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    where, out = docs.columns.index(text_col), None if shown is None else docs.columns.index(shown)
+    whole = docs.schema.simpleString()
+    for k, block in enumerate(model or [_EMPTY]):
+        shared = rows.sparkSession.sparkContext.broadcast(block)
+        last = k == max(len(model), 1) - 1
+        part = out if last else None
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, first: bool = k == 0, part: int | None = part) -> Iterator[pa.RecordBatch]:
+            for batch in sliced(batches):
+                doc = batch.column(0)
+                before = None if first else list(zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True))
+                found = shared.value.score(pc.struct_field(doc, [where]).to_pylist(), before)
+                lang, top, total = zip(*found, strict=True) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays([doc if part is None else pc.struct_field(doc, [part]), pa.array(lang, pa.string()), pa.array(top, pa.float64()), pa.array(total, pa.float64())], ["doc", "lang", "top", "total"])
+
+        kind = whole if part is None else docs.schema.fields[part].dataType.simpleString()
+        rows = (rows if k == 0 else written(rows, "langid-block")).mapInArrow(run, f"doc {kind}, {_FOUND}")
+    return rows
+
+
+def identify(docs: DataFrame, model: list[NaiveBayes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, lang_pred and score (posterior of that language) of every row; no shuffle."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = _with_best(narrow, model, "text", "doc_id")
+    score = F.when(F.col("lang").isNull(), 0.0).otherwise(F.least(F.exp(F.col("top") - F.col("total")), F.lit(1.0)))
+    return found.select(F.col("doc").alias("doc_id"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"))
+
+
+def kept(docs: DataFrame, model: list[NaiveBayes], least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a language of posterior ``least`` or more, with all their columns (one struct on the way)."""
+    found = _with_best(docs, model, text_col, None)
+    return found.where(F.col("lang").isNotNull() & (F.exp(F.col("top") - F.col("total")) >= least)).select("doc.*")

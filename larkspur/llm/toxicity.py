@@ -2,15 +2,17 @@
 
 A sentence's score is the logistic of the weights of its words; a document is toxic with probability
 ``1 - (1 - leak) * prod(1 - sentence score)``. Weights, bias and leak are fitted to document labels only, by full-batch
-gradient steps on a sample of at most ``MAX_TRAIN`` labelled documents; sentence scores then say where the offence is.
+gradient steps on a sample of at most ``MAX_TRAIN`` labelled documents and ``MAX_TRAIN_BYTES`` of their text (whole documents:
+one that does not fit any more is left out of the sample); sentence scores then say where the offence is.
 
 Sentences end at ``.``, ``!``, ``?`` and line ends; words are runs of letters, ASCII case ignored. Features are the words
 and their starts of ``PREFIXES`` bytes, so endings that occur once still count by their stem. The vocabulary holds those found in
 at least ``MIN_DOCS`` sample documents, by 64-bit hash. Scoring is one pass without a shuffle.
 
 Edge cases: null, empty or wordless texts have no sentence and get the leak as their score, with null positions. A null
-doc_id counts as held out. Labels that are null are ignored; of repeated labels the largest counts. Without any usable label
-every score is 0. Repeated rows get equal scores; other columns are ignored; an empty table gives an empty result.
+doc_id counts as held out. Labels that are null are ignored; of repeated labels the largest counts, and of several rows of one
+id the fit reads the smallest text. Without any usable label every score is 0. Of equally scored sentences the first is the
+worst. Repeated rows get equal scores; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import sliced
+from larkspur.llm.scratch import sliced, written
 from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
 
-#: The documented bound of the training sample (documents), and the least number of them a vocabulary entry occurs in.
-MAX_TRAIN, MIN_DOCS = 6000, 3
+#: The documented bounds of the training sample (documents, bytes of text), and the least number of documents a vocabulary entry
+#: occurs in.
+MAX_TRAIN, MAX_TRAIN_BYTES, MIN_DOCS = 6000, 48 << 20, 3
 #: Lengths (bytes) of the word starts that count as features besides the word; occurrences worked off at once in a step.
 PREFIXES, PART = (4, 6), 1 << 20
 #: Gradient steps and their size; a word keeps a weight only if the unexplained labels of about PENALTY documents ask for it.
@@ -79,6 +82,50 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
+class Bags:
+    """Sample documents as bags of sentences: which vocabulary entries each sentence holds, and which sentences a document has."""
+
+    def __init__(self, documents: list, vocabulary: np.ndarray) -> None:
+        self.labels = np.array([d[0] for d in documents], bool)
+        self.size = len(vocabulary)
+        self.owner = np.repeat(np.arange(len(documents)), [len(d[2]) for d in documents])
+        self.first = np.searchsorted(self.owner, np.arange(len(documents)))
+        # Occurrences of vocabulary entries and their sentences, in parts: a step's tables stay small.
+        parts, open_, n_open = [], [], 0
+        for i, first in enumerate(self.first.tolist()):
+            _, hashes, firsts = documents[i]
+            documents[i] = None  # the driver holds each document in one form
+            place = np.searchsorted(firsts, np.arange(len(hashes)), "right") - 1 + first
+            at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+            known = vocabulary[at] == hashes
+            open_.append((at[known].astype(np.int32), np.broadcast_to(place.reshape(-1, *[1] * (hashes.ndim - 1)), hashes.shape)[known].astype(np.int32)))
+            n_open += len(open_[-1][0])
+            if n_open >= PART:
+                parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
+                open_, n_open = [], 0
+        if open_:
+            parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
+        self.parts = parts
+        self.spans = [(int(s.min()), int(s.max()) + 1) if len(s) else (0, 0) for _, s in parts]
+
+    def loss_and_gradient(self, w: np.ndarray) -> tuple[float, np.ndarray]:
+        """Mean log loss of the labels under noisy-or, and its gradient; ``w`` is the weights, the sentence bias and the raw leak."""
+        z = np.full(len(self.owner), w[-2])
+        for (at, sentence), (lo, hi) in zip(self.parts, self.spans, strict=True):
+            z[lo:hi] += np.bincount(sentence - lo, w[at], hi - lo)
+        quiet = np.clip(segment_sums(_softplus(z), self.first) + _softplus(w[-1]), 1e-9, 500.0)  # -log P(not toxic)
+        n = len(self.labels)
+        loss = float(np.where(self.labels, -np.log(-np.expm1(-quiet)), quiet).sum() / n)
+        pull = np.where(self.labels, -1.0 / np.expm1(quiet), 1.0) / n
+        slope = pull[self.owner] / (1.0 + np.exp(-z))
+        gradient = np.zeros_like(w)
+        for at, sentence in self.parts:
+            gradient[:-2] += np.bincount(at, slope[sentence], self.size)
+        gradient[-2] = slope.sum()
+        gradient[-1] = (pull / (1.0 + np.exp(-w[-1]))).sum()
+        return loss, gradient
+
+
 def fit(documents: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> MilModel:
     """Fit on (label, word hashes, index of each sentence's first word) of each sample document."""
     documents = [d for d in documents if len(d[1])]
@@ -91,40 +138,12 @@ def fit(documents: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> MilModel:
     if not len(vocabulary):
         vocabulary = seen[seen != 0]
     del seen, often
-    owner = np.repeat(np.arange(len(documents)), [len(d[2]) for d in documents])
-    doc_first = np.searchsorted(owner, np.arange(len(documents)))
-    # Occurrences of vocabulary entries and their sentences, in parts: a step's tables stay small.
-    parts, open_, n_open = [], [], 0
-    for i, first in enumerate(doc_first.tolist()):
-        _, hashes, firsts = documents[i]
-        documents[i] = None  # the driver holds each document in one form
-        place = np.searchsorted(firsts, np.arange(len(hashes)), "right") - 1 + first
-        at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-        known = vocabulary[at] == hashes
-        open_.append((at[known].astype(np.int32), np.broadcast_to(place.reshape(-1, *[1] * (hashes.ndim - 1)), hashes.shape)[known].astype(np.int32)))
-        n_open += len(open_[-1][0])
-        if n_open >= PART:
-            parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
-            open_, n_open = [], 0
-    if open_:
-        parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
-    spans = [(int(s.min()), int(s.max()) + 1) if len(s) else (0, 0) for _, s in parts]
-    n_sentences = len(owner)
+    bags = Bags(documents, vocabulary)
     w = np.zeros(len(vocabulary) + 2)
     w[-2], w[-1] = -6.0, -3.0  # sentence bias; leak on the scale of softplus
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z = np.full(n_sentences, w[-2])
-        for (at, sentence), (lo, hi) in zip(parts, spans, strict=True):
-            z[lo:hi] += np.bincount(sentence - lo, w[at], hi - lo)
-        quiet = segment_sums(_softplus(z), doc_first) + _softplus(w[-1])  # -log P(not toxic)
-        pull = np.where(labels, -1.0 / np.expm1(np.clip(quiet, 1e-9, 500.0)), 1.0) / len(labels)
-        slope = pull[owner] / (1.0 + np.exp(-z))
-        grad = np.zeros_like(w)
-        for at, sentence in parts:
-            grad[:-2] += np.bincount(at, slope[sentence], len(vocabulary))
-        grad[-2] = slope.sum()
-        grad[-1] = (pull / (1.0 + np.exp(-w[-1]))).sum()
+        _, grad = bags.loss_and_gradient(w)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         scale = RATE / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
         w -= scale * m / (1 - 0.9**step)
@@ -140,8 +159,22 @@ def training_rows(labels: DataFrame, id_col: str = "doc_id", label_col: str = "t
     return rows.orderBy(F.xxhash64("id"), "id").limit(limit)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = MAX_TRAIN) -> MilModel:
-    """Fit on the documents that :func:`training_rows` picks; only their word hashes travel to the driver."""
+def sample_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = MAX_TRAIN, limit_bytes: int = MAX_TRAIN_BYTES) -> DataFrame:
+    """y and text of the sample: the documents of :func:`training_rows`, in its order, as far as their texts fit ``limit_bytes``."""
+    sample = training_rows(labels, id_col, label_col, limit)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    picked = texts.join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text"))  # at most ``limit`` pairs of numbers
+    picked = written(picked.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")), "toxicity-sample")
+    fitting, held = [], 0
+    for r in picked.select("id", "bytes").orderBy(F.xxhash64("id"), "id").collect():  # at most ``limit`` rows
+        if held + r.bytes <= limit_bytes:
+            fitting.append(r.id)
+            held += r.bytes
+    return picked.where(F.col("id").isin(fitting)).select("y", "text")
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = MAX_TRAIN, limit_bytes: int = MAX_TRAIN_BYTES) -> MilModel:
+    """Fit on :func:`sample_texts`; only their word hashes (three of eight bytes a word) travel to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -153,9 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 out.append((hashes.tobytes(), first.astype(np.uint32).tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], ["y", "words", "firsts"])
 
-    sample = training_rows(labels, id_col, label_col, limit)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    picked = texts.join(F.broadcast(sample), "id").select("y", "text")  # at most ``limit`` pairs of numbers
+    picked = sample_texts(docs, labels, id_col, text_col, label_col, limit, limit_bytes)
     rows = iter(picked.mapInArrow(run, "y int, words binary, firsts binary").collect())  # used up, the iterator lets its list go
     return fit((r.y, np.frombuffer(r.words, np.uint64).reshape(-1, 1 + len(PREFIXES)), np.frombuffer(r.firsts, np.uint32).astype(np.int64)) for r in rows)
 

@@ -98,6 +98,83 @@ def test_toxicity_edge_cases(spark):
     assert {r.score for r in toxicity.score(odd, none).collect()} == {0.0}
 
 
+def brute_sentences(text):
+    """(byte span of first to last word, words) of each sentence of a text, by the book."""
+    import re
+
+    out, at, raw = [], 0, text.encode()
+    for piece in re.split(rb"(?<=[.!?\n\r])", raw):
+        found = [(m.start(), m.end()) for m in re.finditer(rb"[A-Za-z\x80-\xff]+", piece)]
+        if found:
+            out.append((at + found[0][0], at + found[-1][1], [piece[a:b].lower() for a, b in found]))
+        at += len(piece)
+    return out
+
+
+def features_of(word):
+    """The three hashes of a word, from the library's own hashing of that word alone (its own tests check hashing)."""
+    return textbytes.words(np.frombuffer(word, np.uint8), np.array([0, len(word)]), letters_only=True, prefixes=toxicity.PREFIXES)[0][0]
+
+
+def test_noisy_or_and_spans_against_plain_python(spark):
+    rng = random.Random(4)
+    words = ["alpha", "beta", "gammadelta", "épsilon", "zeta", "Theta"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", ". ", "! ", "?\n", ", ", "1"]) for _ in range(rng.randrange(1, 40))) for _ in range(120)] + ["", None, "?!", "alpha", "Alpha ALPHA. alpha"]
+    hashes = sorted({int(h) for w in words for h in features_of(w.lower().encode())} - {0})
+    weights = [rng.random() * 3 for _ in hashes]
+    model = toxicity.MilModel(np.array(hashes, np.uint64), np.array(weights), -2.5, 0.03)
+    table = dict(zip(hashes, weights, strict=True))
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        clean, worst = 1 - 0.03, (-np.inf, None, None)
+        found = brute_sentences(text or "")
+        for start, end, held in found:
+            z = sum(table.get(int(h), 0.0) for w in held for h in features_of(w)) - 2.5
+            clean *= 1 - 1 / (1 + np.exp(-z))
+            if z > worst[0] + 1e-9:
+                worst = (z, start, end)
+        assert abs(got[i].score - (1 - clean)) < 1e-9 and got[i].predicted == int(1 - clean >= 0.5)
+        assert (got[i].n_sentences, got[i].worst_start, got[i].worst_end) == (len(found), worst[1], worst[2])
+
+
+def test_gradient_against_differences():
+    rng = np.random.default_rng(0)
+    documents = []
+    for i in range(30):
+        n = int(rng.integers(3, 20))
+        documents.append((int(i % 3 == 0), rng.choice(np.arange(1, 15, dtype=np.uint64), (n, 3)), np.unique(np.append(0, rng.integers(0, n, 3)))))
+    vocabulary = np.arange(1, 12, dtype=np.uint64)
+    plain = [(y, [[int(h) - 1 for h in hashes[a:b].ravel() if h <= 11] for a, b in zip(first, [*first[1:], len(hashes)], strict=True)]) for y, hashes, first in documents]
+    bags = toxicity.Bags(list(documents), vocabulary)
+    w = np.append(rng.random(11), [-1.5, -2.0])
+
+    def loss(w):
+        total = 0.0
+        for y, sentences in plain:
+            clean = 1 / (1 + np.exp(w[-1]))  # exp(-softplus(raw leak))
+            for s in sentences:
+                clean /= 1 + np.exp(w[-2] + sum(w[k] for k in s))
+            total -= np.log(1 - clean) if y else np.log(clean)
+        return total / len(plain)
+
+    value, gradient = bags.loss_and_gradient(w)
+    assert abs(value - loss(w)) < 1e-9
+    for k in range(len(w)):
+        step = np.zeros_like(w)
+        step[k] = 1e-6
+        assert abs((loss(w + step) - loss(w - step)) / 2e-6 - gradient[k]) < 1e-6
+
+
+def test_sample_is_bounded_by_bytes(spark):
+    docs, labels = toxic_table(spark, 100)
+    odd = docs.unionByName(docs.withColumn("text", toxicity.F.repeat("text", toxicity.F.lit(50))))  # of two texts of an id the smaller is read
+    sizes = [len(r.text) for r in toxicity.sample_texts(odd, labels).collect()]
+    assert len(sizes) == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(100)) and max(sizes) < 1000
+    few = [len(r.text) for r in toxicity.sample_texts(odd, labels, limit_bytes=3000).collect()]
+    assert 0 < sum(few) <= 3000 and len(few) < len(sizes)
+    assert [len(r.text) for r in toxicity.sample_texts(odd, labels, limit=7).collect()] and len(toxicity.sample_texts(odd, labels, limit=7).collect()) == 7
+
+
 def test_toxicity_query(spark, small_dir):
     out = queries.op5_toxicity_mil(spark, small_dir).collect()
     assert len(out) == spark.read.parquet(f"{small_dir}/documents.parquet").count()
@@ -112,16 +189,75 @@ def test_language_query_and_held_out_accuracy(spark, small_dir):
     assert np.mean([out[d.doc_id].lang_pred == d.lang for d in held]) > 0.95
 
 
-def test_language_counts_against_brute_force(spark):
-    rows = [(i, t, lang) for i, (t, lang) in enumerate([("Hello there", "en"), ("Hola señor", "es"), ("hello", "en"), ("x", None), (None, "en")] * 6)]
+def brute_bucket(gram):
+    """Bucket of one n-gram (text in lower case), with plain integers."""
+    mask = (1 << 32) - 1
+    codes = [ord(c) for c in gram]
+    h = (codes[0] + len(gram) * 0x9E3779B1) & mask
+    for c in codes[1:]:
+        h = ((h ^ h >> 15) * 0x85EBCA6B + c) & mask
+    return ((h ^ h >> 15) * 0xC2B2AE35 & mask) >> 17
+
+
+def brute_grams(text):
+    low = text.lower()
+    return [low[i : i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1)]
+
+
+CORPUS = [("Hello there", "en"), ("Hola señor", "es"), ("hello", "en"), ("x", None), (None, "en"), ("Grüße, Jürgen! 12", "de"), ("ab", "tie_b"), ("ab", "tie_a")]
+
+
+def brute_model(rows):
+    """language: (documents, counts by bucket), learned as the contract says."""
+    model = {}
+    for i, text, lang in rows:
+        if text is not None and lang is not None and zlib.crc32(str(i).encode()) % 5:
+            n, counts = model.setdefault(lang, [0, {}])
+            model[lang][0] = n + 1
+            for g in brute_grams(text):
+                counts[brute_bucket(g)] = counts.get(brute_bucket(g), 0) + 1
+    return model
+
+
+@pytest.mark.parametrize("block", [512, 2, 1])
+def test_language_model_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    monkeypatch.setattr(langid, "_MANY", 2)
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(CORPUS * 7)]
     model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    used = [(t, lang) for i, t, lang in rows if t is not None and lang is not None and zlib.crc32(str(i).encode()) % 5]
-    assert model.languages == sorted({lang for _, lang in used})
-    for k, lang in enumerate(model.languages):
-        counts = sum((langid.ngram_counts(langid._codes(t)) for t, la in used if la == lang), np.zeros(langid.BUCKETS))
-        own = np.exp(model.log_prob[k])
-        assert (own.argsort()[-5:] >= 0).all() and counts.sum() > 0
-    assert model.score(["hello there", "señor hola", "123 .,", "", None])[0] == ["en", "es", "und", "und", "und"]
+    brute = brute_model(rows)
+    assert [x for b in model for x in b.languages] == sorted(brute)
+    assert all(len(b.languages) <= block for b in model)
+    log_prob = np.concatenate([b.log_prob for b in model])
+    documents = sum(n for n, _ in brute.values())
+    want = {}
+    for k, lang in enumerate(sorted(brute)):
+        n, counts = brute[lang]
+        total = sum(counts.values())
+        own = {b: np.log((counts.get(b, 0) + langid.SMOOTHING) / (total + langid.SMOOTHING * langid.BUCKETS)) for b in range(langid.BUCKETS)}
+        assert np.allclose(log_prob[k], [own[b] for b in range(langid.BUCKETS)], atol=1e-5)
+        want[lang] = (np.log(n / documents), own)
+    texts = ["hello there", "señor hola", "123 .,", "", None, "Jürgen", "ab", "xyzzy plugh", "h"]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        if not t or not any(c.isalpha() for c in t):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        scores = {lang: prior + sum(own[brute_bucket(g)] for g in brute_grams(t)) for lang, (prior, own) in want.items()}
+        high = max(scores.values())
+        posterior = {lang: np.exp(s - high) for lang, s in scores.items()}
+        assert abs(got[i].score - 1 / sum(posterior.values())) < 1e-4
+        assert scores[got[i].lang_pred] > high - 1e-4
+    # "tie_a" and "tie_b" learned equally often from equal texts: the first by name holds
+    equal = spark.createDataFrame([(i, "abc", f"tie_{'ab'[k]}") for k in range(2) for i in (1, 2, 3)], "doc_id long, text string, lang string")
+    tied = langid.identify(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), langid.train(equal)).first()
+    assert tied.lang_pred == "tie_a" and abs(tied.score - 0.5) < 1e-6
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(spark.createDataFrame([(i, "ab", f"l{i}") for i in range(20)], "doc_id long, text string, lang string"))
 
 
 def test_language_pieces_sum_exactly():
@@ -132,7 +268,7 @@ def test_language_pieces_sum_exactly():
     old, langid._PIECE = langid._PIECE, 700
     try:
         assert np.allclose(model._totals([langid._codes(text)]), whole)
-        assert (langid.ngram_counts(langid._codes(text)).sum()) == 3 * len(text) - 3
+        assert (langid.ngram_counts([langid._codes(text)]).sum()) == 3 * len(text) - 3
     finally:
         langid._PIECE = old
     two = model._totals([langid._codes("abc"), langid._codes("xyz")])
