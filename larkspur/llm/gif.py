@@ -5,8 +5,12 @@ clears; global and local palettes; interlaced rows; graphic-control delay, trans
 previous). Code positions depend only on how many codes follow a clear code, so a whole run of codes is cut out of the bit
 stream with numpy and only the string table is walked code by code.
 
-Edge cases: null media gives no frames and the error ``null``; broken or truncated media gives the frames before the
-fault and a text in ``error``. A canvas or frame of no pixels has an empty frame. Nulls in other columns pass through.
+Media are worked off frame by frame, so a row of any number of frames holds one canvas at a time. A canvas or a frame of more than
+``MAX_PIXELS`` pixels is refused, and a code stream is cut out and expanded only as far as its frame has pixels.
+
+Edge cases: null media gives no frames and the error ``null``; broken, truncated or oversized media gives the frames before the
+fault and a text in ``error``. A canvas or frame of no pixels has an empty frame. Repeated rows give equal results, a null id is
+kept, other columns pass through (:func:`media_digest`: unless they bear a result's name) and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from larkspur.llm.scratch import sliced
 WIDTH, FRAME_ROWS, DELAY_CS = 64, 256, 4
 PAD = 64
 MAX_CODE_BITS = 12
+#: Most pixels of a canvas or a frame (64 MB of RGBA), and bytes of frames that leave a task at once.
+MAX_PIXELS, FLUSH_BYTES = 1 << 24, 1 << 24
 _GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 
 
@@ -88,8 +94,8 @@ def lzw_encode(samples: bytes, min_size: int = 8) -> bytes:
     return out.astype("<u4").tobytes()[: total + 7 >> 3]
 
 
-def _expand(codes: np.ndarray, clear: int) -> bytes:
-    """The samples of the codes between two clear codes, without a loop over codes.
+def _expand(codes: np.ndarray, clear: int, limit: int) -> bytes:
+    """The samples of the codes between two clear codes, up to the code that reaches ``limit``, without a loop over codes.
 
     Entry k of the string table is the string of code k and the first sample of the next one, which stand side by side in
     the output; so a compound code copies from where its entry's code was written. Lengths and copies are chains of such
@@ -105,7 +111,9 @@ def _expand(codes: np.ndarray, clear: int) -> bytes:
     while (ahead := length[parent]).any():
         length, parent = length + ahead, parent[parent]
     length += 1
-    ends = np.cumsum(length, dtype=np.int32)
+    ends = np.cumsum(length, dtype=np.int64)
+    n = int(np.searchsorted(ends, limit)) + 1  # no code refers to a later one
+    codes, compound, origin, length, ends = codes[:n], compound[:n], origin[:n], length[:n], ends[:n].astype(np.int32)
     begins = ends - length
     source = np.arange(ends[-1], dtype=np.int32) - np.repeat(begins - begins[origin], length)
     while ((following := source[source]) != source).any():
@@ -119,12 +127,14 @@ def lzw_decode(stream: bytes, min_size: int, limit: int) -> bytes:
     """The samples of a code stream, at most ``limit``; raises ValueError on a code that no table entry explains."""
     if not 1 <= min_size <= 8:
         raise ValueError("LZW code size")
+    if not limit:
+        return b""
     clear, end = 1 << min_size, (1 << min_size) + 1
-    data = np.frombuffer(stream + b"\0\0\0", np.uint8).astype(np.int64)
+    data = np.frombuffer(stream + b"\0\0\0", np.uint8)
     total, at, made, out = 8 * len(stream), 0, 0, []
     held: list[np.ndarray] = []  # codes since the last clear code
+    since = 0  # how many they are
     while True:
-        since = sum(map(len, held))
         if since < _RUN:
             most = min(_RUN, since + (total - at) // (min_size + 1) + 1)  # codes that the rest of the stream can hold
             starts, widths = _STARTS[min_size][since:most] - _STARTS[min_size][since], _WIDTHS[min_size][since:most]
@@ -134,16 +144,16 @@ def lzw_decode(stream: bytes, min_size: int, limit: int) -> bytes:
         fit = int(np.searchsorted(at + starts + widths, total, "right"))
         starts, widths = at + starts[:fit], widths[:fit]
         byte = starts >> 3
-        codes = (data[byte] | data[byte + 1] << 8 | data[byte + 2] << 16) >> (starts & 7) & ((1 << widths) - 1)
+        codes = (data[byte].astype(np.int64) | data[byte + 1].astype(np.int64) << 8 | data[byte + 2].astype(np.int64) << 16) >> (starts & 7) & ((1 << widths) - 1)
         stops = np.flatnonzero((codes == clear) | (codes == end))
         n = int(stops[0]) if len(stops) else fit
         held.append(codes[:n])
-        ended = codes[n] == end if len(stops) else fit < room
+        since += n
+        ended = codes[n] == end if len(stops) else fit < room or made + since >= limit  # every code gives a sample or more
         if len(stops) or ended:
-            run = np.concatenate(held)
-            held = []
+            run, held, since = np.concatenate(held), [], 0
             if len(run):
-                out.append(_expand(run, clear))
+                out.append(_expand(run, clear, limit - made))
                 made += len(out[-1])
             if ended or made >= limit:
                 return b"".join(out)[:limit]
@@ -235,6 +245,8 @@ def _decode(data: bytes) -> Iterator[GifFrame]:
     at, shared = 13, None
     if flags & 0x80:
         shared, at = _palette(data, at, flags)
+    if width * height > MAX_PIXELS:
+        raise ValueError("canvas too large")
     canvas = np.zeros((height, width, 4), np.uint8)
     disposal, delay, transparent, number, clock = 0, 0, None, 0, 0
     while data[at] != 0x3B:
@@ -251,6 +263,8 @@ def _decode(data: bytes) -> Iterator[GifFrame]:
             raise ValueError("unknown block")
         left, top, w, h, flags = struct.unpack_from("<HHHHB", data, at)
         at += 9
+        if w * h > MAX_PIXELS:
+            raise ValueError("frame too large")
         colours = shared
         if flags & 0x80:
             colours, at = _palette(data, at, flags)
@@ -286,45 +300,64 @@ def _decode(data: bytes) -> Iterator[GifFrame]:
             raise ValueError("short frame")
 
 
-def _frames(data: bytes | None) -> tuple[list[GifFrame], str | None]:
+def _frames(data: bytes | None) -> Iterator[GifFrame | str]:
+    """The frames of a media value, one after the other, and at last the error's text if there is one."""
     if data is None:
-        return [], "null"
-    frames: list[GifFrame] = []
+        yield "null"
+        return
     try:
-        frames.extend(decode_gif(data))
+        yield from decode_gif(data)
     except ValueError as e:
-        return frames, str(e)
-    return frames, None
+        yield str(e)
+
+
+_TIMED = "frame int, start_ms long, delay_ms long, left int, top int, width int, height int, disposal int, transparent int"
+FRAME_SCHEMA = f"{_TIMED}, canvas_width int, canvas_height int, rgba binary, histogram array<long>, error string"
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+
+
+def _arrow_fields(schema: str) -> list[tuple[str, pa.DataType]]:
+    return [(name, _ARROW[kind]) for name, kind in (x.split() for x in schema.split(", "))]
 
 
-FRAME_SCHEMA = (
-    "frame int, start_ms long, delay_ms long, left int, top int, width int, height int, disposal int, transparent int, "
-    "canvas_width int, canvas_height int, rgba binary, histogram array<long>, error string"
-)
+def _timed(f: GifFrame) -> tuple:
+    return f.number, f.start_ms, f.delay_ms, f.left, f.top, f.width, f.height, f.disposal, f.transparent
 
 
 def gif_frames(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """One row for each frame (one with null frame and the error if there is none): id, timing, geometry, composited RGBA
-    pixels and the 64-bin colour histogram."""
+    """One row for each frame: id, timing, geometry, composited RGBA pixels and the 64-bin colour histogram.
+
+    Media with a fault have one more row, with a null frame and the error.
+    """
+    fields = _arrow_fields(FRAME_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
+            kind, ids, rows, size = batch.schema.field(0).type, [], [], 0
+
+            def out() -> pa.RecordBatch:
+                columns = [pa.array(ids, kind), *(pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True))]
+                return pa.RecordBatch.from_arrays(columns, ["id", *(n for n, _ in fields)])
+
             for ident, media in zip(batch.column(0), batch.column(1), strict=True):
-                frames, error = _frames(media.as_py())
-                rows = [(f.number, f.start_ms, f.delay_ms, f.left, f.top, f.width, f.height, f.disposal, f.transparent, f.canvas.shape[1], f.canvas.shape[0], f.canvas.tobytes(), f.histogram().tolist(), error) for f in frames] or [(*[None] * 13, error)]
-                columns = [pa.array([ident.as_py()] * len(rows), batch.schema.field(0).type)]
-                columns += [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _FRAME_TYPES, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", *_FRAME_NAMES])
+                for f in _frames(media.as_py()):
+                    if isinstance(f, str):
+                        rows.append((*[None] * 13, f))
+                    else:
+                        rows.append((*_timed(f), f.canvas.shape[1], f.canvas.shape[0], f.canvas.tobytes(), f.histogram().tolist(), None))
+                        size += f.canvas.size
+                    ids.append(ident.as_py())
+                    if size > FLUSH_BYTES:
+                        yield out()
+                        ids, rows, size = [], [], 0
+            if rows:
+                yield out()
 
     kind = dict(df.dtypes)[id_col]
     narrow = df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"))
     return narrow.mapInArrow(run, f"id {kind}, {FRAME_SCHEMA}").withColumnRenamed("id", id_col)
 
 
-_FRAME_NAMES = [x.split()[0] for x in FRAME_SCHEMA.split(", ")]
-_FRAME_TYPES = [{"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}[x.split()[1]] for x in FRAME_SCHEMA.split(", ")]
-
-
 def payload_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes (UTF-8 length, null text: 0) and media: the text, zero-padded to a positive multiple of 64, as a GIF."""
 
@@ -341,31 +374,55 @@ def payload_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return narrow.mapInArrow(run, "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
+_SUMS = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, duration_ms long, histogram array<long>, feature string, error string"
+_FRAME_TYPE = pa.list_(pa.struct([*_arrow_fields(_TIMED), ("histogram", pa.list_(pa.int64()))]))
+
+
+def _digest(data: bytes | None) -> tuple:
+    """What one stored media value decodes to, from its frames one by one."""
+    whole, tail, n_bytes, error = hashlib.sha256(), b"", 0, None
+    grey, colours, timed, size = np.zeros(16, np.int64), np.zeros(64, np.int64), [], "0x0"
+    for f in _frames(data):
+        if isinstance(f, str):
+            error = f
+            continue
+        samples = f.canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0].tobytes()
+        whole.update(samples)
+        n_bytes += len(samples)
+        tail = (tail + samples[-PAD:])[-PAD:]
+        histogram = f.histogram()
+        grey += f.grey_histogram()
+        colours += histogram
+        timed.append((*_timed(f), histogram.tolist()))
+        size = f"{f.canvas.shape[1]}x{f.canvas.shape[0]}"
+    feature = f"{len(timed)}@{size}:" + ",".join(map(str, grey.tolist()))
+    media = data or b""
+    sums = (n_bytes, whole.hexdigest(), zlib.crc32(tail), len(media), hashlib.sha256(media).hexdigest(), len(timed), sum(t[2] for t in timed), colours.tolist(), feature, error)
+    return *sums, [dict(zip(_FRAME_NAMES, t, strict=True)) for t in timed]
+
+
+_FRAME_NAMES = [n for n, _ in _arrow_fields(_TIMED)] + ["histogram"]
+
+
 def media_digest(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """Adds to each row what its stored media decodes to: the samples' digests, frame count, duration, histogram and feature.
+    """Adds to each row what its stored media decodes to: the samples' digests, the feature, and ``frames``, the timed frames with
+    their geometry and colour histograms (:func:`gif_frames` has their pixels).
 
-    The samples are the red channel of every frame's rectangle, read from the composited canvas.
+    The samples are the red channel of every frame's rectangle, read from the composited canvas. Input columns that bear the name of a
+    result are replaced.
     """
-    added = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, duration_ms long, histogram array<long>, feature string, error string"
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string()]
-
-    def digest(data: bytes | None) -> tuple:
-        frames, error = _frames(data)
-        samples = b"".join(f.canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0].tobytes() for f in frames)
-        grey = sum((f.grey_histogram() for f in frames), np.zeros(16, np.int64)).tolist()
-        colours = sum((f.histogram() for f in frames), np.zeros(64, np.int64)).tolist()
-        size = f"{frames[0].canvas.shape[1]}x{frames[0].canvas.shape[0]}" if frames else "0x0"
-        feature = f"{len(frames)}@{size}:" + ",".join(map(str, grey))
-        tail = zlib.crc32(samples[-PAD:])
-        return (len(samples), hashlib.sha256(samples).hexdigest(), tail, len(data or b""), hashlib.sha256(data or b"").hexdigest(), len(frames), sum(f.delay_ms for f in frames), colours, feature, error)
+    fields = [*_arrow_fields(_SUMS), ("frames", _FRAME_TYPE)]
+    taken = {n for n, _ in fields}
+    media = media.select([F.col(f"`{c}`") for c in media.columns if c == media_col or c not in taken])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             where = batch.schema.get_field_index(media_col)
-            rows = [digest(x.as_py()) for x in batch.column(where)]
-            kept = [batch.column(i) for i in range(batch.num_columns) if i != where]
-            found = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays([*kept, *found], [*(n for n in batch.schema.names if n != media_col), *(x.split()[0] for x in added.split(", "))])
+            rows = [_digest(x.as_py()) for x in batch.column(where)]
+            kept = [i for i in range(batch.num_columns) if i != where]
+            found = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)] if rows else [pa.array([], t) for _, t in fields]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *found], [*(batch.schema.names[i] for i in kept), *(n for n, _ in fields)])
 
     others = [f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema if f.name != media_col]
-    return media.mapInArrow(run, ", ".join([*others, added]))
+    timed = ", ".join(f"{n}: {k}" for n, k in (x.split() for x in _TIMED.split(", ")))
+    return media.mapInArrow(run, ", ".join([*others, _SUMS, f"frames array<struct<{timed}, histogram: array<long>>>"]))

@@ -40,6 +40,69 @@ def literal_stream(samples, size):
     return int(bits, 2).to_bytes(n, "little")
 
 
+def plain_decode(stream, size):
+    """LZW by the book: bit after bit, one table entry after the other."""
+    bits = "".join(f"{b:08b}"[::-1] for b in stream)
+    clear, end, at, width = 1 << size, (1 << size) + 1, 0, size + 1
+    table, before, out = {}, None, bytearray()
+    while at + width <= len(bits):
+        code = int(bits[at : at + width][::-1], 2)
+        at += width
+        if code == end:
+            break
+        if code == clear:
+            table, before, width = {i: bytes([i]) for i in range(clear)}, None, size + 1
+            continue
+        if before is None:
+            entry = table[code]
+        else:
+            entry = table[code] if code in table else before + before[:1]
+            if len(table) + 2 < 4096:
+                table[len(table) + 2] = before + entry[:1]
+                if len(table) + 2 == 1 << width and width < 12:
+                    width += 1
+        out += entry
+        before = entry
+    return bytes(out)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.binary(min_size=1, max_size=2000), st.integers(2, 8), st.integers(1, 4))
+def test_streams_against_a_plain_decoder(data, size, repeat):
+    samples = bytes(b & (1 << size) - 1 for b in data) * repeat
+    stream = gif.lzw_encode(samples, size)
+    assert plain_decode(stream, size) == samples
+    for limit in (1, len(samples) // 2, len(samples), len(samples) + 9):
+        assert gif.lzw_decode(stream, size, limit) == samples[:limit]
+
+
+def deferred_stream(n):
+    """A full string table and then ``n`` codes of twelve bits without a clear code."""
+    codes = [256, 0, *range(258, 4096), *[4095] * n]
+    widths = [9, *gif._WIDTHS[8][: len(codes) - 1].tolist()]
+    widths += [12] * (len(codes) - len(widths))
+    bits, at = 0, 0
+    for c, w in zip(codes, widths, strict=True):
+        bits |= c << at
+        at += w
+    return bits.to_bytes(-(-at // 8), "little")
+
+
+def test_full_tables_without_clear_codes():
+    stream = deferred_stream(50)
+    want = plain_decode(stream, 8)
+    assert len(want) > 50 * 3000 and gif.lzw_decode(stream, 8, len(want)) == want
+    assert gif.lzw_decode(deferred_stream(60_000), 8, 16) == bytes(16)  # would expand to 230 MB
+
+
+@pytest.mark.parametrize("data", [struct.pack("<6sHHBBB", b"GIF89a", 65535, 65535, 0x80, 0, 0) + bytes(29), struct.pack("<6sHHBBB", b"GIF89a", 4, 4, 0x80, 0, 0) + bytes(6) + b"\x2c" + struct.pack("<HHHHB", 0, 0, 65535, 65535, 0) + b"\x02\0"])
+def test_oversized_media_are_an_error(spark, data):
+    df = spark.createDataFrame([(1, data), (2, gif.encode_gif(bytes(64)))], "doc_id long, media binary")
+    out = {r.doc_id: r for r in gif.media_digest(df).collect()}
+    assert "too large" in out[1].error and out[1].n_frames == 0 and out[2].error is None
+    assert {(r.doc_id, r.error) for r in gif.gif_frames(df, "doc_id", "media").collect()} == {(1, out[1].error), (2, None)}
+
+
 def frame(left, top, w, h, samples, disposal=0, transparent=None, delay=10, palette=None, interlaced=False):
     packed = disposal << 2 | (transparent is not None)
     out = b"\x21\xf9\x04" + struct.pack("<BHB", packed, delay, transparent or 0) + b"\0"
@@ -127,4 +190,17 @@ def test_query_on_all_documents(spark, small_dir):
         payload = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
         assert r.payload_sha256 == hashlib.sha256(payload).hexdigest()
         assert sum(map(int, r.feature.split(":")[1].split(","))) == len(payload)
+        assert r.n_frames == len(r.frames) == -(-r.payload_bytes // (gif.WIDTH * gif.FRAME_ROWS))
+        assert [f.start_ms for f in r.frames] == [40 * i for i in range(r.n_frames)]
+        assert sum(f.height for f in r.frames) * gif.WIDTH == len(payload)
+        assert [sum(c) for c in zip(*(f.histogram for f in r.frames), strict=True)] == list(r.histogram)
     assert np.sum([r.n_frames for r in out]) >= len(out)
+
+
+def test_clashing_columns_and_many_frames(spark, monkeypatch):
+    monkeypatch.setattr(gif, "FLUSH_BYTES", 50)
+    data = image(*[frame(0, 0, 2, 2, [i % 4] * 4) for i in range(30)])
+    df = spark.createDataFrame([(1, data, "x", 7)], "doc_id long, media binary, feature string, other int")
+    row = gif.media_digest(df).first()
+    assert row.other == 7 and row.n_frames == 30 and row.feature != "x" and row.duration_ms == 3000
+    assert [r.frame for r in gif.gif_frames(df, "doc_id", "media").orderBy("frame").collect()] == list(range(30))
