@@ -1,12 +1,13 @@
 """URL filters as a sort-merge range join of canonical host keys with nested rules.
 
 A host is reversed label by label (``a.example.net`` is ``net.example.a.``), so a rule for a host and all its subdomains is
-the interval of keys that start with the rule's key. Urls are sorted by key inside each partition and swept together with
-the sorted rules; a stack holds the rules whose interval is open, every one nested in the one below. The innermost rule whose
-path begins the url's path decides.
+the interval of keys that start with the rule's key. Urls are sorted by key inside each partition and swept once together with
+the sorted hosts of rules; a stack holds the hosts whose interval is open, every one nested in the one below, and lives on from batch to
+batch. From the innermost host on, the longest path that begins the url's path decides. The paths of a host are sorted too, and
+each knows the longest other one that it starts with, so a search costs a bisection and the nesting depth.
 
 A partition sweeps on its own, so pages are not shuffled and a host that holds a third of them stays spread as it was read.
-The rules go to every task, behind a check of their number; past ``MAX_SWEPT`` rules they are joined by host key instead,
+The rules are broadcast, behind a check of their number; past ``MAX_SWEPT`` rules they are joined by host key instead,
 one key for each parent domain of a host, followed by an aggregation.
 
 Edge cases: a url that is null or has no ``://`` has empty host and path; it fits a rule only if the rule's host is empty too.
@@ -16,6 +17,7 @@ the verdict that sorts first holds. Repeated pages each get a row; an empty tabl
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,19 +55,55 @@ def _key(host: str) -> str:
     return ".".join(reversed(host.split("."))) + "."
 
 
-def sweep(keys: list[str], paths: list[str], rules: list[tuple[str, str, str, str]]) -> list[int]:
-    """For sorted url keys the index of the winning rule, or -1; ``rules`` are (key, path, ...) sorted by key, then path."""
-    out, stack, following = [], [], 0
-    for key, path in zip(keys, paths, strict=True):
-        while following < len(rules) and rules[following][0] <= key:
-            while stack and not rules[following][0].startswith(rules[stack[-1]][0]):
+class HostRules:
+    """The rules of one host key: sorted paths, the rules' numbers, and for each path the longest other one that begins it (or -1)."""
+
+    def __init__(self, key: str, rules: list[tuple[str, int]]) -> None:
+        self.key = key
+        self.paths = [path for path, _ in rules]
+        self.numbers = [number for _, number in rules]
+        self.outer, nested = [], []
+        for i, path in enumerate(self.paths):
+            while nested and not path.startswith(self.paths[nested[-1]]):
+                nested.pop()
+            self.outer.append(nested[-1] if nested else -1)
+            nested.append(i)
+
+    def find(self, path: str) -> int:
+        """The number of the rule with the longest path that begins ``path``, or -1."""
+        i = bisect_right(self.paths, path) - 1
+        while i >= 0 and not path.startswith(self.paths[i]):
+            i = self.outer[i]
+        return self.numbers[i] if i >= 0 else -1
+
+
+def by_host(rules: list[tuple[str, str]]) -> list[HostRules]:
+    """Host rules in order of key from (key, path) of each rule."""
+    placed: dict[str, list[tuple[str, int]]] = {}
+    for number, (key, path) in enumerate(rules):
+        placed.setdefault(key, []).append((path, number))
+    return [HostRules(key, sorted(placed[key])) for key in sorted(placed)]
+
+
+class Sweep:
+    """One pass over sorted url keys and sorted host rules."""
+
+    def __init__(self, hosts: list[HostRules]) -> None:
+        self.hosts, self.stack, self.following = hosts, [], 0
+
+    def winners(self, keys: list[str], paths: list[str]) -> list[int]:
+        """The number of the winning rule of each url, or -1; keys must not sort before those of earlier calls."""
+        out, stack, hosts = [], self.stack, self.hosts
+        for key, path in zip(keys, paths, strict=True):
+            while self.following < len(hosts) and hosts[self.following].key <= key:
+                while stack and not hosts[self.following].key.startswith(stack[-1].key):
+                    stack.pop()
+                stack.append(hosts[self.following])
+                self.following += 1
+            while stack and not key.startswith(stack[-1].key):
                 stack.pop()
-            stack.append(following)
-            following += 1
-        while stack and not key.startswith(rules[stack[-1]][0]):
-            stack.pop()
-        out.append(next((i for i in reversed(stack) if path.startswith(rules[i][1])), -1))
-    return out
+            out.append(next((found for host in reversed(stack) if (found := host.find(path)) >= 0), -1))
+        return out
 
 
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT, max_swept: int = MAX_SWEPT) -> DataFrame:
@@ -78,15 +116,17 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     parsed = pages.select(F.col(id_col).alias("page"), url_host(url_col).alias("host"), url_path(url_col).alias("path")).withColumn("key", host_key(F.col("host")))
     if len(found) > max_swept:
         return _joined(parsed, usable, id_col, default)
-    # Sorted by UTF-8 bytes, the order of Spark's strings; an equal key comes with the shorter path first.
-    ordered = sorted(((_key(r.host), r.path, r.host + r.path, r.verdict) for r in found), key=lambda r: (r[0].encode(), len(r[1]), r[1].encode()))
+    # Python orders text by code point, which is the order of Spark's UTF-8 strings.
+    shared = pages.sparkSession.sparkContext.broadcast((by_host([(_key(r.host), r.path) for r in found]), [r.host + r.path for r in found], [r.verdict for r in found]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hosts, names, verdicts = shared.value
+        sweep = Sweep(hosts)
         for batch in batches:
-            won = sweep(batch.key.tolist(), batch.path.tolist(), ordered)
-            names = pd.Series([ordered[i][2] if i >= 0 else None for i in won], dtype=object, index=batch.index)
-            verdicts = pd.Series([ordered[i][3] if i >= 0 else default for i in won], dtype=object, index=batch.index)
-            yield batch[["page", "host", "path"]].assign(rule=names, verdict=verdicts)
+            won = sweep.winners(batch.key.tolist(), batch.path.tolist())
+            rule = pd.Series([names[i] if i >= 0 else None for i in won], dtype=object, index=batch.index)
+            verdict = pd.Series([verdicts[i] if i >= 0 else default for i in won], dtype=object, index=batch.index)
+            yield batch[["page", "host", "path"]].assign(rule=rule, verdict=verdict)
 
     kind = dict(pages.dtypes)[id_col]
     swept = parsed.sortWithinPartitions("key").mapInPandas(run, f"page {kind}, host string, path string, rule string, verdict string")

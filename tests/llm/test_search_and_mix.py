@@ -48,6 +48,30 @@ def test_url_rules_against_brute_force(spark):
     assert urlrules.judge(pages.limit(0), table).count() == 0
 
 
+def test_one_sweep_over_all_batches(spark):
+    """Small Arrow batches, many nested hosts and paths: every host is pushed once a partition, and results stay right."""
+    rng = random.Random(9)
+    labels, steps = ["a", "b", "c"], ["x/", "y/", "xy/", ""]
+    rules = {(".".join(rng.choice(labels) for _ in range(rng.randrange(1, 4))), "/" + "".join(rng.choice(steps) for _ in range(rng.randrange(4)))) for _ in range(150)}
+    rules = [(rng.choice(["allow", "block"]), h, p) for h, p in sorted(rules)]
+    urls = [f"s://{'.'.join(rng.choice(labels) for _ in range(rng.randrange(1, 5)))}/{''.join(rng.choice(steps) for _ in range(rng.randrange(5)))}" for _ in range(500)]
+    urls += urls[:50]  # repeated pages each get a row
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").coalesce(2)
+    equal = [("block", "z", "/"), ("allow", "z", "/")]  # of equal rules the verdict that sorts first holds
+    table = spark.createDataFrame([*rules, *equal], "verdict string, host string, path string")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")
+    try:
+        got = {r.page_id: (r.rule, r.verdict) for r in urlrules.judge(pages.union(spark.createDataFrame([(-1, "s://q.z/")], pages.schema)), table).collect()}
+    finally:
+        spark.conf.unset(name)
+    assert got == {i: brute_rule(*brute_parse(u), rules) for i, u in enumerate(urls)} | {-1: ("z/", "allow")}
+    sweep = urlrules.Sweep(urlrules.by_host([(urlrules._key(h), p) for _, h, p in rules]))
+    keys = sorted((urlrules._key(brute_parse(u)[0]), brute_parse(u)[1]) for u in urls)
+    parts = [sweep.winners([k for k, _ in keys[i : i + 7]], [p for _, p in keys[i : i + 7]]) for i in range(0, len(keys), 7)]
+    assert sweep.following <= len(sweep.hosts) and sum(map(len, parts)) == len(urls)
+
+
 def test_targets(spark):
     def targets(sizes):
         df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, source_size long")
