@@ -116,7 +116,7 @@ WITH templates(license_id, text) AS (VALUES
   {rows}),
 t AS (SELECT license_id, unnest({shingled}, recursive := true) FROM (SELECT license_id, {words} AS w FROM templates)),
 sizes AS (SELECT license_id, count(*) AS n_all, count(DISTINCT s) AS n_template FROM t GROUP BY license_id),
-shapes AS (SELECT *, CASE WHEN n_all <= 1 THEN 2 WHEN n_all <= 3 THEN 4 WHEN n_all <= 6 THEN 8 WHEN n_all <= 12 THEN 16 WHEN n_all <= 24 THEN 32 WHEN n_all <= 48 THEN 64 ELSE 128 END AS w FROM sizes),
+shapes AS (SELECT *, CASE WHEN n_all <= 1 THEN 2 WHEN n_all <= 3 THEN 4 WHEN n_all <= 6 THEN 8 WHEN n_all <= 12 THEN 16 WHEN n_all <= 24 THEN 32 WHEN n_all <= 48 THEN 64 WHEN n_all <= 96 THEN 128 WHEN n_all <= 192 THEN 256 WHEN n_all <= 384 THEN 512 END AS w FROM sizes),
 d AS (SELECT doc_id, unnest({shingled}, recursive := true) FROM (SELECT doc_id, {words} AS w FROM documents)),
 hits AS (SELECT DISTINCT d.doc_id, d.pos, d.s, x.license_id, x.n_template, x.w, greatest(1, x.w // 4) AS stride
          FROM d JOIN (SELECT DISTINCT license_id, s FROM t) k ON d.s = k.s JOIN shapes x ON x.license_id = k.license_id),

@@ -202,6 +202,28 @@ def test_license_scan_against_brute_force(spark):
         license.scan(df, license.template_table(spark, [("short", "too few words")]))
 
 
+def test_whole_licence_texts_in_groups(spark, monkeypatch):
+    """Templates of thousands of words beside short ones, more templates than a group holds, and very long texts."""
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(4000)}" for _ in range(9000)]
+    templates = [("long-a", " ".join(words[:2500])), ("long-b", " ".join(words[3000:8200])), ("short", " ".join(words[8500:8540])), ("tiny", "one two three four five")]
+    broken = [w if rng.random() > 0.03 else "zzz" for w in words[:2500]]
+    filler = [f"f{rng.randrange(10**6)}" for _ in range(30_000)]
+    texts = [" ".join(filler + words[:2500] + filler), " ".join(filler[:7] + broken), " ".join(words[3000:8200]), " ".join(words[3000:5000]), " ".join(words), "x one two three four five y", "x" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: b for i, t in enumerate(texts) if (b := brute_license(t, templates))}
+    assert want[0] == {"long-a": want[0]["long-a"]} and {"long-a"} == set(want[1]) and set(want[4]) == {"long-a", "long-b", "short"} and 3 not in want
+    for group in (1000, 2):
+        monkeypatch.setattr(license, "GROUP", group)
+        got = {}
+        for r in license.scan(df, license.template_table(spark, templates)).collect():
+            got.setdefault(r.doc_id, {})[r.license_id] = r.matched
+        assert got == want
+    assert license.scan(df, license.template_table(spark, templates).limit(0)).count() == 0
+    with pytest.raises(ValueError, match="one name"):
+        license.scan(df, license.template_table(spark, [templates[0], templates[0]]))
+
+
 def test_license_plan_is_native(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = license.scan(df, license.template_table(spark))._jdf.queryExecution().executedPlan().toString()
