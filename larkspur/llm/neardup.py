@@ -175,7 +175,7 @@ def _node_sets(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
 
     texts = docs.select(F.xxhash64(F.col(text_col).cast("binary")).alias("text_key"), F.col(text_col).cast("binary").alias("text"))
     made = texts.mapInArrow(run, "set_key binary, items binary")
-    return wanted.select("node", "set_key").join(made, "set_key").dropDuplicates(["node"]).select("node", "items")
+    return wanted.select("node", "set_key").join(made, "set_key").dropDuplicates(["set_key"]).select("node", "items")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
