@@ -44,6 +44,7 @@ def vehicle_age_group(vehicle_year: Column | str, as_of_year: Column | int) -> C
 
 def hash_id(prefix: str, n: Column | str, seed: int = 42) -> Column:
     """Surrogate key: the prefix and the first 12 hex digits (upper case) of md5(prefix, n, seed)."""
+    # Seed 42, twelve digits.
     digest = F.md5(F.concat(F.lit(prefix), _col(n).cast("string"), F.lit(str(seed))).cast("binary"))
     return F.concat(F.lit(prefix), F.upper(F.substring(digest, 1, 12)))
 
@@ -92,12 +93,13 @@ def _pairs(table: dict[str, float]) -> list[Column]:
 
 def segment_score(rate: Column, multiplier: Column, propensity: Column) -> Column:
     """Rate scaled by segment and propensity, within 0.5 % and 25 %."""
+    # The formula's constants and limits.
     return clamp(rate * (0.5 + 0.5 * multiplier) * (0.6 + 0.8 * propensity), 0.005, 0.25)
 
 
 def business_hours_flag(time: Column | str) -> Column:
     """1 outside business hours: before 8 or after 20 o'clock."""
-    h = F.hour(_col(time))
+    h = F.hour(_col(time))  # fixed values: 8 and 20
     return ((h < 8) | (h > 20)).cast("int")
 
 
@@ -108,12 +110,14 @@ def third_party_flag(injury: Column | str, parties: Column | str) -> Column:
 
 def deflate_amount(amount: Column | str, year: Column) -> Column:
     """Amount in 2015 prices: 3 % a year since then, and a step of 12 % in 2025."""
+    # Yearly inflation, base year, step.
     index = (1 + 0.03 * (year - 2015)) * F.when(year == 2025, 1.12).otherwise(1.0)
     return _col(amount) / index
 
 
 def pattern_flag(electric: Column, location: Column, mileage: Column, time: Column) -> Column:
     """1 for electric cars of low mileage at charging stations from March 2025 on."""
+    # Location, mileage, first day.
     return F.coalesce((electric == 1) & (location == "charging_station") & (mileage < 8000) & (time >= F.lit("2025-03-01").cast("timestamp")), F.lit(False)).cast("int")
 
 

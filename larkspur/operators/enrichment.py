@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.features import calendar_features, label_delay
+from larkspur.functions.features import label_delay
 from larkspur.functions.projections import drop_clashing
 from larkspur.schemas import AUDIT_COLUMNS
 
@@ -21,11 +21,6 @@ def attach_labels(claims: DataFrame, labels: DataFrame, key: str = "claim_id", t
     return joined.withColumn("label_delay_days", label_delay(available_col, time_col))
 
 
-def enriched_claims(claims: DataFrame, policies: DataFrame, labels: DataFrame) -> DataFrame:
-    """Policy columns, calendar features and labels on claims."""
-    return attach_labels(calendar_features(enrich(claims, policies)), labels)
-
-
 def with_buffer(main: DataFrame, buffer: DataFrame) -> DataFrame:
     """A table and the late rows of its buffer zone."""
     return main.unionByName(buffer, allowMissingColumns=True)

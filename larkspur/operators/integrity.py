@@ -32,6 +32,16 @@ def fk_split(child: DataFrame, parent: DataFrame, key: str, parent_key: str | No
     return Matched(child.join(keys, on, "left_semi"), child.join(keys, on, "left_anti"))
 
 
+def with_parent_key(child: DataFrame, parent: DataFrame, key: str, parent_columns: tuple[str, ...] = ()) -> DataFrame:
+    """``child`` with ``key`` as the parent has it, null for orphans, and some of the parent's columns: rows for rules on joined tables.
+
+    Repeated parent keys do not repeat child rows; of their columns the least values (as one struct) are taken.
+    """
+    keys = parent.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_parent")).agg(F.min(F.struct(F.lit(0), *parent_columns)).alias("_row"))
+    joined = child.join(keys, child[key] == F.col("_parent"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in child.columns if c != key], F.col("_parent").alias(key), *[F.col(f"_row.{c}").alias(c) for c in parent_columns])
+
+
 def fk_reason(child: DataFrame, parent: DataFrame, parent_clean: DataFrame, key: str, missing: str = "policy_fk_missing", rejected: str = "policy_rejected") -> DataFrame:
     """``child`` with fk_error: null, ``missing`` (no such parent) or ``rejected`` (the parent failed its own rules)."""
     known = parent.select(F.col(key).alias("_known")).where("_known is not null").distinct()

@@ -7,28 +7,39 @@ from importlib import resources
 
 import yaml
 
-#: What each severity or action does to a failing row.
+#: What an action does to a failing row.
 QUARANTINE, FLAG, DROP, FAIL, EXPECT = "error", "warn", "drop", "fail", "expect"
+#: Other words for them; every severity that is listed nowhere flags the row, as only errors take rows away.
+ACTIONS = {"error": QUARANTINE, "quarantine": QUARANTINE, "warn": FLAG, "flag": FLAG, "flag_only": FLAG, "drop": DROP, "fail": FAIL, "expect": EXPECT}
+BLOCKS = {"not_null", "domain_constraints", "allowed_values", "temporal_rules", "conditional_rules", "soft_rules"}
 RULE_SETS = ("claims", "labels", "policies", "integrity", "derived", "bodyshops", "cross_table", "enriched")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``action``: error (quarantine), warn (flag), drop (remove), fail (stop the job) or expect (count only)."""
+    """``action``: error (quarantine), warn (flag), drop (remove), fail (stop the job) or expect (count only).
+
+    Words of ``ACTIONS`` are taken for what they stand for, any other severity for warn.
+    """
 
     name: str
     constraint: str
     action: str = QUARANTINE
     tag: str = ""
 
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "action", ACTIONS.get(self.action, FLAG))
+
 
 def compile_rules(spec: dict, table: str) -> list[Rule]:
     """Predicates for structured rule kinds.
 
     ``not_null`` (columns), ``domain_constraints`` (column: comparison), ``allowed_values`` (column: list), ``temporal_rules``
-    (predicates), ``conditional_rules`` (condition and what it requires) and ``soft_rules`` (name: expression, flagged only).
-    Conditional rules hold where the condition is false or null.
+    (predicates), ``conditional_rules`` (condition and what it requires) and ``soft_rules`` (name: expression and action, by
+    default flagged). Conditional rules hold where the condition is false or null. A block of another name is an error.
     """
+    if unknown := set(spec) - BLOCKS:
+        raise ValueError(f"unknown blocks of rules for {table}: {', '.join(sorted(unknown))}")
     rules = [Rule(f"{c}_not_null", f"{c} IS NOT NULL", QUARANTINE, table) for c in spec.get("not_null", [])]
     rules += [Rule(f"{c}_domain", f"{c} {test}", QUARANTINE, table) for c, test in spec.get("domain_constraints", {}).items()]
     for column, values in spec.get("allowed_values", {}).items():
@@ -38,7 +49,7 @@ def compile_rules(spec: dict, table: str) -> list[Rule]:
     for i, r in enumerate(spec.get("conditional_rules", []), 1):
         rules.append(Rule(f"conditional_{i}", f"NOT coalesce({r['condition']}, false) OR ({r['requires']})", FLAG, table))
     for name, soft in spec.get("soft_rules", {}).items():
-        rules.append(Rule(name, soft["expression"], FLAG, table))
+        rules.append(Rule(name, soft["expression"], soft.get("action", FLAG), table))
     return rules
 
 
@@ -46,6 +57,8 @@ def parse_rules(text: str) -> list[Rule]:
     """Rules of a YAML document with ``table`` and ``rules`` (and, or, ``structured``)."""
     spec = yaml.safe_load(text)
     table = spec["table"]
+    if unknown := set(spec) - {"table", "rules", "structured"}:
+        raise ValueError(f"unknown parts of the rule file for {table}: {', '.join(sorted(unknown))}")
     plain = [Rule(r["name"], r["constraint"], r.get("action", r.get("severity", QUARANTINE)), r.get("tag", table)) for r in spec.get("rules", [])]
     return plain + compile_rules(spec.get("structured", {}), table)
 

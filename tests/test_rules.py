@@ -86,3 +86,21 @@ def test_rule_sets(tmp_path):
     assert load_rules(str(own)) == [Rule("n", "x > 0", "drop", "other")]
     compiled = compile_rules({"not_null": ["x"], "allowed_values": {"y": ["it's", 1]}, "conditional_rules": [{"condition": "a", "requires": "b"}]}, "t")
     assert [r.constraint for r in compiled] == ["x IS NOT NULL", "y IN ('it''s', 1)", "NOT coalesce(a, false) OR (b)"]
+
+
+def test_other_severities_flag(spark):
+    rules = [Rule("soft_one", "a > 0", "soft"), Rule("held", "b < 10", "quarantine"), Rule("told", "a > 1", "flag_only")]
+    assert [r.action for r in rules] == ["warn", "error", "warn"]
+    out = apply_rules(frame(spark), rules)
+    assert sorted((r.a is None, r.warn_soft_one, r.warn_told) for r in out.clean.collect()) == [(False, False, True), (True, True, True)]
+    assert out.quarantine.count() == 3
+
+
+def test_unknown_blocks_are_refused(tmp_path):
+    with pytest.raises(ValueError, match="not_nul"):
+        compile_rules({"not_nul": ["x"]}, "t")
+    own = tmp_path / "own.yml"
+    own.write_text("table: t\nrule: []\n")
+    with pytest.raises(ValueError, match="rule"):
+        load_rules(str(own))
+    assert compile_rules({"soft_rules": {"s": {"expression": "x > 0", "action": "drop"}, "f": {"expression": "x > 1"}}}, "t") == [Rule("s", "x > 0", "drop", "t"), Rule("f", "x > 1", "warn", "t")]
