@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,11 +28,16 @@ def stream_json(spark: SparkSession, path: str, schema: T.StructType | str, max_
     return reader.option("recursiveFileLookup", True).json(path)
 
 
-def infer_schema(spark: SparkSession, path: str, store: str, sampling_ratio: float = 0.1) -> T.StructType:
-    """The schema of a JSON landing folder: inferred from a sample at first, then read back from the table at ``store``."""
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
-    if fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs):
+def infer_schema(spark: SparkSession, path: str, store: str, sampling_ratio: float = 1.0) -> T.StructType:
+    """The schema of a JSON landing folder: inferred at first, from all records unless a ratio is given, then read back from ``store``.
+
+    A field that occurs only in records outside a sample would be lost for good, so sampling is for the caller to ask for.
+    """
+    try:
         return T.StructType.fromJson(json.loads(spark.read.text(store, wholetext=True).first()[0]))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     found = spark.read.option("recursiveFileLookup", True).option("samplingRatio", sampling_ratio).json(path).schema
     spark.createDataFrame([(found.json(),)], "value string").coalesce(1).write.text(store)
     return found

@@ -24,15 +24,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def export_json(df: DataFrame, path: str, time_col: str, files_a_month: int = 1) -> None:
-    """JSON lines in one folder a month, sorted by time inside each file; private columns are left out.
+def export_json(df: DataFrame, path: str, time_col: str, rows_a_file: int = 1_000_000) -> None:
+    """JSON lines in one folder a month, sorted by time inside each file; private columns are left out. Null fields are written.
 
-    ``files_a_month`` spreads a large month over several tasks. Null fields are written.
+    Rows are dealt out by ranges of month, time and content, so a month of any size is spread over as many tasks as it fills, and
+    files of a month follow each other in time.
     """
     dated = public_columns(df).withColumns({"year": F.date_format(time_col, "yyyy"), "month": F.date_format(time_col, "MM")})
-    spread = dated.withColumn("_part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in public_columns(df).columns]), F.lit(files_a_month)))
-    placed = spread.repartition("year", "month", "_part").drop("_part").sortWithinPartitions("year", "month", time_col)
-    placed.write.mode("overwrite").option("ignoreNullFields", False).partitionBy("year", "month").json(path)
+    spread = dated.withColumn("_part", F.xxhash64(*[F.col(f"`{c}`") for c in public_columns(df).columns]))
+    order = ("year", "month", time_col, "_part")
+    placed = spread.repartitionByRange(*order).sortWithinPartitions(*order).drop("_part")
+    writer = placed.write.mode("overwrite").option("ignoreNullFields", False).option("maxRecordsPerFile", rows_a_file)
+    writer.partitionBy("year", "month").json(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,9 +24,9 @@ def batch_bronze(spark: SparkSession, landing: str, schema: StructType | str, pa
     return bronze(read_json(spark, landing, schema), partitions)
 
 
-def stream_bronze(spark: SparkSession, landing: str, schema: StructType | str, table: str, checkpoint: str, partition_by: list[str] | None = None, max_files: int = 1, available_now: bool = True) -> StreamingQuery:
-    """Append new landing files to a bronze table; one checkpoint a stream."""
-    rows = bronze(stream_json(spark, landing, schema, max_files), partitions=True)
+def stream_bronze(spark: SparkSession, landing: str, schema: StructType | str, table: str, checkpoint: str, partition_by: list[str] | None = None, max_files: int = 1, available_now: bool = True, glob: str | None = None) -> StreamingQuery:
+    """Append new landing files to a bronze table; one checkpoint a stream. ``glob`` selects folders."""
+    rows = bronze(stream_json(spark, landing, schema, max_files, glob), partitions=True)
     return stream_append(rows, table, checkpoint, partition_by, available_now=available_now)
 
 
@@ -62,10 +60,12 @@ def stream_silver(source: DataFrame, rules: list[Rule], clean: str, quarantine:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
-        checked = apply_rules(kept, rules)
-        checked.clean.write.mode("overwrite").parquet(f"{clean}/batch_id={batch_id}")
-        checked.quarantine.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        kept.unpersist()
+        try:
+            checked = apply_rules(kept, rules)
+            checked.clean.write.mode("overwrite").parquet(f"{clean}/batch_id={batch_id}")
+            checked.quarantine.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
 
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -85,8 +85,3 @@ def stream_alerts(claims: DataFrame, reference: DataFrame, key: str, risky) -> D
     """Claims of a stream, joined to a static reference table, for which ``risky`` holds."""
     return claims.join(reference, key).where(risky)
 
-
-def drained(make: Callable[[str, str], StreamingQuery], spark: SparkSession, table: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
-    """Run one bounded stream to its end and read its table; TimeoutError if a given time is up before."""
-    run_streams([make(table, checkpoint)], timeout)
-    return spark.read.option("recursiveFileLookup", False).parquet(table)

@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from larkspur import schemas
 from larkspur.functions.projections import cast_columns, sample_rows, with_path_partitions
 from larkspur.sources import readers, writers
@@ -49,14 +52,51 @@ def test_overwrite_and_empty_tables(spark, tmp_path):
     assert readers.read_table(spark, path).schema == schemas.QUARANTINE
 
 
+def test_inferred_schema_sees_every_record(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "a.json").write_text('{"x": 1}\n' * 500 + '{"x": 1, "rare": "y"}\n')
+    assert set(readers.infer_schema(spark, str(landing), str(tmp_path / "s")).fieldNames()) == {"x", "rare"}
+
+
 def test_export_is_sorted_inside_a_month(spark, tmp_path):
-    rows = [(i, dt.datetime(2024, 1 + i % 2, 28 - i)) for i in range(20)]
-    writers.export_json(spark.createDataFrame(rows, "i int, t timestamp"), str(tmp_path / "e"), "t")
+    rows = [(i, dt.datetime(2024, 1 + i % 2, 1 + i % 27)) for i in range(400)]
+    writers.export_json(spark.createDataFrame(rows, "i int, t timestamp"), str(tmp_path / "e"), "t", rows_a_file=30)
     files = sorted((tmp_path / "e").glob("year=2024/month=*/*.json"))
-    assert len(files) == 2
+    assert len(files) >= 14 and sum(len(f.read_text().splitlines()) for f in files) == 400  # a month is no single task and no single file
     for f in files:
         times = [line.split('"t":"')[1] for line in f.read_text().splitlines()]
-        assert times == sorted(times)
+        assert times == sorted(times) and len(times) <= 30
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from larkspur.sources import workdir
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app-1"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workdir.shared_dir(Session())
+
+
+def test_scratch_is_cleared(spark):
+    from larkspur.sources import workdir
+
+    path = workdir.new_dir(spark, "x")
+    spark.range(3).write.parquet(path)
+    workdir.remove(spark, path)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
 
 
 def test_samples(spark):
