@@ -44,3 +44,17 @@ def test_entry_without_optional_parts():
 
     code = "import sys; sys.modules['corpus_pipeline'] = None; sys.modules['larkspur.llm'] = None; import __spark_entry__ as e; assert len(e.queries()) > 50 and 'pipeline' not in e.queries()"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
+
+
+def test_only_absence_of_the_optional_parts_is_forgiven(tmp_path):
+    """A broken dependency of them is an error."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import sys; sys.modules['tokenizers'] = None; import __spark_entry__"
+    root = Path(__file__).resolve().parents[1]
+    if not (root / "corpus_pipeline.py").exists():
+        pytest.skip("the optional parts are gone")
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode and "tokenizers" in done.stderr
