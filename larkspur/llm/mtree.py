@@ -250,7 +250,7 @@ def _cells(rows: DataFrame, tree_rows: int, tables: Tables) -> tuple[DataFrame,
     split = _split_cells(placed, F.broadcast(large), tree_rows)
     whole = placed.join(F.broadcast(large), "cell", "left_anti").select("cell", "vec_id", "v", F.lit(0).alias("sub"))
     cells = tables.written(split.unionByName(whole), "cells")
-    parts = cells.groupBy("cell", "sub").agg(F.ceil(F.count("*") / tree_rows).alias("parts"))
+    parts = tables.written(cells.groupBy("cell", "sub").agg(F.ceil(F.count("*") / tree_rows).alias("parts")), "parts")
     part = F.pmod(F.xxhash64("vec_id"), F.col("parts"))
     number = F.shiftleft(F.col("cell").cast("long"), 44) + F.shiftleft(F.col("sub").cast("long"), 32) + part
     return cells.join(parts, ["cell", "sub"]).select("vec_id", "v", "cell", number.alias("tree")), table, radii
