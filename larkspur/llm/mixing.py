@@ -12,6 +12,9 @@ Targets: sources in code-point order, null last, have the weights 5, 2, 1, 5, ..
 ``MAX_REPEATS`` times its source's size; the excess is shared by weight among the others until none is above. In order of
 size per weight the first sources are the capped ones, so one prefix sum over the source table finds the level.
 
+Targets and cuts are windows over the table of sources, one short row each; the rows of documents meet in no window but a source's
+one slice.
+
 Edge cases: a null or empty text has size 0, takes 0 words and is copied with the complete epochs. A null doc_id hashes like
 the empty string. Equal keys go by doc_id, then size; fully equal rows are interchangeable. A null quality counts as 1. Without any
 word all targets are 0. An empty table gives an empty result; columns of the input named like results are replaced.

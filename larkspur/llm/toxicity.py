@@ -30,7 +30,7 @@ from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
 
 #: The documented bounds of the training sample (documents, bytes of text), and the least number of documents a vocabulary entry
 #: occurs in.
-MAX_TRAIN, MAX_TRAIN_BYTES, MIN_DOCS = 6000, 48 << 20, 3
+MAX_TRAIN, MAX_TRAIN_BYTES, MIN_DOCS = 6000, 32 << 20, 3
 #: Lengths (bytes) of the word starts that count as features besides the word; occurrences worked off at once in a step.
 PREFIXES, PART = (4, 6), 1 << 20
 #: Gradient steps and their size; a word keeps a weight only if the unexplained labels of about PENALTY documents ask for it.

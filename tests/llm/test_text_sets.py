@@ -247,3 +247,14 @@ def test_snapshots_against_brute_force(spark):
     assert {c: (out[c].n_turns, out[c].n_equal) for c in out if c is not None} == {min(v): (len(k), len(v)) for k, v in want.items()}
     assert out[None].rendered == "<|im_start|>user\nnull id<|im_end|>\n"
     assert chat.collapse(df.limit(0)).count() == 0
+
+
+def test_long_conversations_and_marks_in_texts(spark):
+    """Prefixes around the length of a run of the fold, and turns that hold the marks themselves."""
+    turns = [(i, "user" if i % 2 else None, f"t{i % 7} <|im_end|>") for i in range(300)]
+    lengths = [1, 63, 64, 65, 128, 129, 299, 300, 300]
+    rows = [(c, *t) for c, n in enumerate(lengths) for t in turns[:n]] + [(20, *t) for t in [*turns[:150], (150, "user", "other")]]
+    out = chat.collapse(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()
+    assert sorted((r.conv_id, r.n_turns, r.n_equal) for r in out) == [(7, 300, 2), (20, 151, 1)]
+    whole = next(r.rendered for r in out if r.conv_id == 7)
+    assert whole == "".join(f"<|im_start|>{role or ''}\n{text}<|im_end|>\n" for _, role, text in turns)
