@@ -22,6 +22,8 @@ word all targets are 0. An empty table gives an empty result; columns of the inp
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,9 +88,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     joined = keyed.join(F.broadcast(cuts) if few else cuts, F.col("source").eqNullSafe(F.col("t_source")))
     split = F.coalesce(F.col("slice") == F.col("end.slice"), F.lit(False))
     clear = joined.where(~split).withColumn("rest", F.when(F.coalesce(F.col("slice") > F.col("end.slice"), F.lit(False)), 0).otherwise(F.col("size")))
-    inside = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)  # one slice
-    crossed = joined.where(split).withColumn("prior", F.col("end.before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    crossed = crossed.withColumn("rest", F.greatest(F.lit(0), F.least("size", F.col("budget") - F.col("prior")))).drop("prior")
+    # Inside the split slice, rows of one key, id and size are one group: groups before the budget's end are taken whole, and only the
+    # rows of the one group in which a budget ends are numbered. So an id (or null) that very many rows share is no single task.
+    same = ["source", "key", "id", "size"]
+    groups = joined.where(split).groupBy(*same).agg(F.count("*").alias("n"), F.min("end.before").alias("before"))
+    inside = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)  # groups of one slice
+    groups = groups.withColumn("prior", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0)))
+    groups = groups.select(*[F.col(c).alias(f"g_{c}") for c in same], "n", "prior")
+    placed = joined.where(split).join(groups, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in same])).drop(*[f"g_{c}" for c in same])
+    last = (F.col("prior") < F.col("budget")) & (F.col("prior") + F.col("size") * F.col("n") > F.col("budget"))
+    ready = placed.where(~last).withColumn("rest", F.when(F.col("prior") < F.col("budget"), F.col("size")).otherwise(F.lit(0).cast("long")))
+    number = F.row_number().over(Window.partitionBy("source").orderBy("key")) - 1  # of equal rows
+    left = F.col("budget") - F.col("prior") - F.col("size") * number
+    crossed = ready.unionByName(placed.where(last).withColumn("rest", F.greatest(F.lit(0), F.least(F.col("size"), left)))).drop("n", "prior")
     # Copies for a table of documents: complete epochs, and the drawn ones once more (the crossing one if half of it is taken).
     copies = F.col("epochs") + (2 * F.col("rest") >= F.greatest(F.col("size"), F.lit(1))).cast("long")
     kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("size", "source_size", "target", "taken", "copies")]

@@ -6,7 +6,7 @@ of entries under a routing point, with a covering radius and every entry's dista
 their least possible distance and leaves out, by the stored distances and the triangle inequality alone, whatever cannot reach
 the k-th best. Scores are integer products, so bounds only decide what is computed and never what is returned.
 
-In Spark the index is a forest: vectors go to the nearest of a bounded sample of pivots, and a cell of more than about
+In Spark the index is a forest: vectors go to the nearest of a bounded sample of pivots, and those of a cell of more than twice
 ``TREE_ROWS`` rows to the nearest of a sample of its own pivots. What is still larger holds (nearly) equal vectors and is split by
 a hash, so a vector that a third of all rows share fills many trees instead of one task. Every tree is one row.
 
@@ -246,11 +246,11 @@ def _cells(rows: DataFrame, tree_rows: int, tables: Tables) -> tuple[DataFrame,
     radii = np.zeros(len(table))
     for r in sizes.collect():  # at most PIVOTS rows
         radii[r.cell] = np.inf if r.radius is None or np.isnan(r.radius) else r.radius
-    large = sizes.where(F.col("count") > tree_rows).select("cell", "count")
+    large = sizes.where(F.col("count") > 2 * tree_rows).select("cell", "count")
     split = _split_cells(placed, F.broadcast(large), tree_rows)
     whole = placed.join(F.broadcast(large), "cell", "left_anti").select("cell", "vec_id", "v", F.lit(0).alias("sub"))
     cells = tables.written(split.unionByName(whole), "cells")
-    parts = tables.written(cells.groupBy("cell", "sub").agg(F.ceil(F.count("*") / tree_rows).alias("parts")), "parts")
+    parts = tables.written(cells.groupBy("cell", "sub").agg(F.ceil(F.count("*") / (2 * tree_rows)).alias("parts")), "parts")
     part = F.pmod(F.xxhash64("vec_id"), F.col("parts"))
     number = F.shiftleft(F.col("cell").cast("long"), 44) + F.shiftleft(F.col("sub").cast("long"), 32) + part
     return cells.join(parts, ["cell", "sub"]).select("vec_id", "v", "cell", number.alias("tree")), table, radii

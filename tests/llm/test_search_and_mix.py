@@ -102,6 +102,17 @@ def test_mix_meets_targets_and_repeats(spark, monkeypatch):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_of_rows_without_ids(spark):
+    """All rows of one source share a key: they form one group of the split slice, and the budget still ends where it should."""
+    df = spark.createDataFrame([(None, "s", "w w w")] * 500 + [(i, "t", "w w w") for i in range(100)] + [(None, "t", "w")] * 7, "doc_id long, source string, text string")
+    out = mixing.mix(df).collect()
+    for source in ("s", "t"):
+        rows = [r for r in out if r.source == source]
+        assert abs(sum(r.taken for r in rows) - rows[0].target) <= 0.5
+    taken = sorted(r.taken for r in out if r.source == "s")
+    assert len(out) == 607 and len(set(taken)) <= 3 and sum(0 < t % 3 for t in taken) <= 1
+
+
 def test_quality_weights_draw_earlier(spark):
     df = spark.createDataFrame([(i, "a" if i % 2 else "b", "w w w w") for i in range(4000)], "doc_id long, source string, text string")
     out = mixing.mix(df, quality=F.when(F.col("doc_id") % 4 < 2, 4.0).otherwise(1.0)).where("source = 'b'").collect()
