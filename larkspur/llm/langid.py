@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import sliced, written
+from larkspur.llm.scratch import Tables, sliced, written
 from larkspur.llm.toxicity import held_out
 
 BUCKETS, MAX_N = 1 << 15, 3
@@ -182,7 +182,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     labelled = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     counted = labelled.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    counted = written(counted, "langid-counts")
+    tables = Tables(docs.sparkSession, "langid")
+    counted = tables.written(counted, "counts")
     found = counted.where("bucket < 0").select("lang", "n").limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -202,6 +203,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     counts[got[name][0]] = got[name][1]
                 log_prob[k] = np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * BUCKETS))
         blocks.append(NaiveBayes(names, log_prob, np.log(np.array([seen[x] for x in names]) / documents)))
+    tables.clear()
     return blocks
 
 

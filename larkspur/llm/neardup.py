@@ -396,17 +396,20 @@ def _block_meetings(blocked: DataFrame, sets: DataFrame, tables: Tables, percent
 
 def node_links(docs: DataFrame, nodes: DataFrame, text_col: str, tables: Tables, percent: int = PERCENT, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """node and label of all nodes with a confirmed link; ``nodes`` has node, set_key, text_key, size and bands."""
-    members = _members(nodes, tables)
-    wanted = tables.written(members.select("node").distinct().join(nodes, "node").select("node", "set_key", "text_key"), "wanted")
-    sets = tables.written(_node_sets(docs, wanted, text_col), "sets")
+    own = Tables(docs.sparkSession, "node-links")
+    members = _members(nodes, own)
+    wanted = own.written(members.select("node").distinct().join(nodes, "node").select("node", "set_key", "text_key"), "wanted")
+    sets = own.written(_node_sets(docs, wanted, text_col), "sets")
     near = members.where(f"leader <> node and 100 * least(size, leader_size) >= {percent} * greatest(size, leader_size)")
     first = near.groupBy(F.col("node").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
-    edges = tables.written(_confirmed(first, sets, percent), "links")
-    labels = components(edges, tables)
-    left = tables.written(_second_sweep(_with_label(members, labels), percent, small, block), "open")
+    edges = own.written(_confirmed(first, sets, percent), "links")
+    labels = components(edges, own)
+    left = own.written(_second_sweep(_with_label(members, labels), percent, small, block), "open")
     blocked = left.where("block is not null").select("bucket", "block", F.col("a").alias("node"), "label", "size")
-    more = _confirmed(left.where("block is null").select("a", "b").distinct(), sets, percent).unionByName(_block_meetings(blocked, sets, tables, percent))
-    return components(edges.unionByName(tables.written(more, "links")), tables)
+    more = _confirmed(left.where("block is null").select("a", "b").distinct(), sets, percent).unionByName(_block_meetings(blocked, sets, own, percent))
+    labels = tables.written(components(edges.unionByName(own.written(more, "links")), own), "labels")
+    own.clear()
+    return labels
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, percent: int, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:

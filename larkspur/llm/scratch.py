@@ -36,6 +36,10 @@ class Tables:
         for df in frames:
             remove(self.spark, df.scratch_path)
 
+    def clear(self) -> None:
+        """Delete all tables of this run."""
+        remove(self.spark, self.base)
+
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a scratch table of its own, read back."""

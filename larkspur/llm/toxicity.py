@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import sliced, written
+from larkspur.llm.scratch import Tables, sliced
 from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
 
 #: The documented bounds of the training sample (documents, bytes of text), and the least number of documents a vocabulary entry
@@ -159,12 +159,13 @@ def training_rows(labels: DataFrame, id_col: str = "doc_id", label_col: str = "t
     return rows.orderBy(F.xxhash64("id"), "id").limit(limit)
 
 
-def sample_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = MAX_TRAIN, limit_bytes: int = MAX_TRAIN_BYTES) -> DataFrame:
+def sample_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = MAX_TRAIN, limit_bytes: int = MAX_TRAIN_BYTES, tables: Tables | None = None) -> DataFrame:
     """y and text of the sample: the documents of :func:`training_rows`, in its order, as far as their texts fit ``limit_bytes``."""
+    tables = tables or Tables(docs.sparkSession, "toxicity")
     sample = training_rows(labels, id_col, label_col, limit)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     picked = texts.join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text"))  # at most ``limit`` pairs of numbers
-    picked = written(picked.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")), "toxicity-sample")
+    picked = tables.written(picked.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")), "sample")
     fitting, held = [], 0
     for r in picked.select("id", "bytes").orderBy(F.xxhash64("id"), "id").collect():  # at most ``limit`` rows
         if held + r.bytes <= limit_bytes:
@@ -186,8 +187,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 out.append((hashes.tobytes(), first.astype(np.uint32).tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], ["y", "words", "firsts"])
 
-    picked = sample_texts(docs, labels, id_col, text_col, label_col, limit, limit_bytes)
+    tables = Tables(docs.sparkSession, "toxicity")
+    picked = sample_texts(docs, labels, id_col, text_col, label_col, limit, limit_bytes, tables)
     rows = iter(picked.mapInArrow(run, "y int, words binary, firsts binary").collect())  # used up, the iterator lets its list go
+    tables.clear()
     return fit((r.y, np.frombuffer(r.words, np.uint64).reshape(-1, 1 + len(PREFIXES)), np.frombuffer(r.firsts, np.uint32).astype(np.int64)) for r in rows)
 
 
