@@ -47,7 +47,12 @@ def written(df: DataFrame, what: str) -> DataFrame:
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut (without a copy) to at most ``rows`` rows, so that what is made of long texts fits a Python worker."""
+    """Arrow batches cut (without a copy) to at most ``rows`` rows, so that what is made of long texts fits a Python worker.
+
+    After each batch the worker gives back to the system what Arrow holds but does not use.
+    """
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
+        del batch
+        pa.default_memory_pool().release_unused()

@@ -17,7 +17,7 @@ worst. Repeated rows get equal scores; other columns are ignored; an empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -85,28 +85,22 @@ def _softplus(z: np.ndarray) -> np.ndarray:
 class Bags:
     """Sample documents as bags of sentences: which vocabulary entries each sentence holds, and which sentences a document has."""
 
-    def __init__(self, documents: list, vocabulary: np.ndarray) -> None:
-        self.labels = np.array([d[0] for d in documents], bool)
-        self.size = len(vocabulary)
-        self.owner = np.repeat(np.arange(len(documents)), [len(d[2]) for d in documents])
+    def __init__(self, documents: list, size: int) -> None:
+        """From (label, vocabulary entry of each occurrence, its sentence in the document, number of sentences) of each document."""
+        self.labels, self.size = np.array([d[0] for d in documents], bool), size
+        self.owner = np.repeat(np.arange(len(documents)), [d[3] for d in documents])
         self.first = np.searchsorted(self.owner, np.arange(len(documents)))
-        # Occurrences of vocabulary entries and their sentences, in parts: a step's tables stay small.
-        parts, open_, n_open = [], [], 0
+        # Occurrences in parts, so a step's tables stay small.
+        self.parts, open_, n_open = [], [], 0
         for i, first in enumerate(self.first.tolist()):
-            _, hashes, firsts = documents[i]
+            _, at, place, _ = documents[i]
             documents[i] = None  # the driver holds each document in one form
-            place = np.searchsorted(firsts, np.arange(len(hashes)), "right") - 1 + first
-            at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-            known = vocabulary[at] == hashes
-            open_.append((at[known].astype(np.int32), np.broadcast_to(place.reshape(-1, *[1] * (hashes.ndim - 1)), hashes.shape)[known].astype(np.int32)))
-            n_open += len(open_[-1][0])
-            if n_open >= PART:
-                parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
+            open_.append((at, place + np.int32(first)))
+            n_open += len(at)
+            if n_open >= PART or i == len(documents) - 1:
+                self.parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
                 open_, n_open = [], 0
-        if open_:
-            parts.append(tuple(map(np.concatenate, zip(*open_, strict=True))))
-        self.parts = parts
-        self.spans = [(int(s.min()), int(s.max()) + 1) if len(s) else (0, 0) for _, s in parts]
+        self.spans = [(int(s.min()), int(s.max()) + 1) if len(s) else (0, 0) for _, s in self.parts]
 
     def loss_and_gradient(self, w: np.ndarray) -> tuple[float, np.ndarray]:
         """Mean log loss of the labels under noisy-or, and its gradient; ``w`` is the weights, the sentence bias and the raw leak."""
@@ -126,19 +120,21 @@ class Bags:
         return loss, gradient
 
 
-def fit(documents: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> MilModel:
-    """Fit on (label, word hashes, index of each sentence's first word) of each sample document."""
-    documents = [d for d in documents if len(d[1])]
+def located(hashes: np.ndarray, first: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vocabulary entry and sentence of every occurrence in one document, from word hashes and the index of each sentence's first word."""
+    place = np.searchsorted(first, np.arange(len(hashes)), "right") - 1
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    known = vocabulary[at] == hashes
+    return at[known].astype(np.int32), np.broadcast_to(place.reshape(-1, *[1] * (hashes.ndim - 1)), hashes.shape)[known].astype(np.int32)
+
+
+def fit(documents: list[tuple[int, np.ndarray, np.ndarray, int]], vocabulary: np.ndarray) -> MilModel:
+    """Fit on what :class:`Bags` takes; the list is used up."""
     labels = np.array([d[0] for d in documents], bool)
-    if not labels.any() or labels.all():
+    if not len(vocabulary) or not labels.any() or labels.all():
         rate = float(labels.mean()) if len(labels) else 0.0
         return MilModel(np.empty(0, np.uint64), np.empty(0), -np.inf, min(rate, 0.999))
-    seen, often = np.unique(np.concatenate([np.unique(d[1]) for d in documents]), return_counts=True)
-    vocabulary = seen[(often >= min(MIN_DOCS, max(1, len(documents) // 50))) & (seen != 0)]
-    if not len(vocabulary):
-        vocabulary = seen[seen != 0]
-    del seen, often
-    bags = Bags(documents, vocabulary)
+    bags = Bags(documents, len(vocabulary))
     w = np.zeros(len(vocabulary) + 2)
     w[-2], w[-1] = -6.0, -3.0  # sentence bias; leak on the scale of softplus
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -174,24 +170,52 @@ def sample_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return picked.where(F.col("id").isin(fitting)).select("y", "text")
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = MAX_TRAIN, limit_bytes: int = MAX_TRAIN_BYTES) -> MilModel:
-    """Fit on :func:`sample_texts`; only their word hashes (three of eight bytes a word) travel to the driver."""
+def _sentences_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word hashes and sentence starts of each text in column 1."""
+    data, offsets = buffer_of(batch.column(1))
+    for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        hashes, first, _, _ = sentences(data[lo:hi], np.array([0, hi - lo]))
+        yield hashes, first
+
+
+def vocabulary_of(texts: DataFrame) -> np.ndarray:
+    """Sorted hashes of the words and word starts that are in ``MIN_DOCS`` texts or more (fewer in a small sample), counted by Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            data, offsets = buffer_of(batch.column(1))
-            out = []
-            for i in range(batch.num_rows):
-                part = data[offsets[i] : offsets[i + 1]]
-                hashes, first, _, _ = sentences(part, np.array([0, len(part)]))
-                out.append((hashes.tobytes(), first.astype(np.uint32).tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], ["y", "words", "firsts"])
+            for hashes, _ in _sentences_of(batch):
+                if len(hashes):
+                    mine = np.unique(np.append(hashes.ravel(), np.uint64(0)))  # 0, which no word has, counts the texts with words
+                    yield pa.RecordBatch.from_arrays([pa.array(mine.view(np.int64))], ["h"])
 
+    counted = texts.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    n_texts = counted.where("h = 0").collect()
+    need = min(MIN_DOCS, max(1, n_texts[0].n // 50)) if n_texts else 1
+    often = counted.where((F.col("n") >= need) & (F.col("h") != 0)).select("h").collect()
+    return np.sort(np.array([r.h for r in often], np.int64).view(np.uint64))
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = MAX_TRAIN, limit_bytes: int = MAX_TRAIN_BYTES) -> MilModel:
+    """Fit on :func:`sample_texts`; the driver gets the vocabulary, and eight bytes for each occurrence of an entry."""
     tables = Tables(docs.sparkSession, "toxicity")
     picked = sample_texts(docs, labels, id_col, text_col, label_col, limit, limit_bytes, tables)
-    rows = iter(picked.mapInArrow(run, "y int, words binary, firsts binary").collect())  # used up, the iterator lets its list go
+    vocabulary = vocabulary_of(picked)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            out = []
+            for y, (hashes, first) in zip(batch.column(0).to_pylist(), _sentences_of(batch), strict=True):
+                if len(hashes) and len(shared.value):
+                    at, place = located(hashes, first, shared.value)
+                    out.append((y, at.tobytes(), place.tobytes(), len(first)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.int64()), strict=True)], ["y", "at", "place", "n"])
+
+    rows = iter(picked.mapInArrow(run, "y int, at binary, place binary, n long").collect())  # used up, the iterator lets its list go
+    documents = [(r.y, np.frombuffer(r["at"], np.int32), np.frombuffer(r.place, np.int32), r.n) for r in rows]
     tables.clear()
-    return fit((r.y, np.frombuffer(r.words, np.uint64).reshape(-1, 1 + len(PREFIXES)), np.frombuffer(r.firsts, np.uint32).astype(np.int64)) for r in rows)
+    return fit(documents, vocabulary)
 
 
 def _scored(docs: DataFrame, model: MilModel, id_col: str, text_col: str, schema: str, emit) -> DataFrame:

@@ -145,7 +145,7 @@ def test_gradient_against_differences():
         documents.append((int(i % 3 == 0), rng.choice(np.arange(1, 15, dtype=np.uint64), (n, 3)), np.unique(np.append(0, rng.integers(0, n, 3)))))
     vocabulary = np.arange(1, 12, dtype=np.uint64)
     plain = [(y, [[int(h) - 1 for h in hashes[a:b].ravel() if h <= 11] for a, b in zip(first, [*first[1:], len(hashes)], strict=True)]) for y, hashes, first in documents]
-    bags = toxicity.Bags(list(documents), vocabulary)
+    bags = toxicity.Bags([(y, *toxicity.located(hashes, first, vocabulary), len(first)) for y, hashes, first in documents], len(vocabulary))
     w = np.append(rng.random(11), [-1.5, -2.0])
 
     def loss(w):
@@ -165,6 +165,13 @@ def test_gradient_against_differences():
         assert abs((loss(w + step) - loss(w - step)) / 2e-6 - gradient[k]) < 1e-6
 
 
+def test_vocabulary_counts_documents(spark):
+    texts = ["alpha beta. alpha", "beta gamma", "alpha", None, "", "12 !"] + ["delta beta"] * 200
+    got = toxicity.vocabulary_of(spark.createDataFrame([(0, t) for t in texts], "y int, text string").withColumn("text", toxicity.F.col("text").cast("binary")))
+    want = {int(h) for w in (b"beta", b"delta") for h in features_of(w)} - {0}  # in three texts or more
+    assert got.tolist() == sorted(want)
+
+
 def test_sample_is_bounded_by_bytes(spark):
     docs, labels = toxic_table(spark, 100)
     odd = docs.unionByName(docs.withColumn("text", toxicity.F.repeat("text", toxicity.F.lit(50))))  # of two texts of an id the smaller is read
