@@ -116,9 +116,10 @@ def quality_of(labels: DataFrame, id_col: str = "doc_id", label_col: str = "qual
 def mixed_copies(docs: DataFrame, quality: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; ``quality`` is what :func:`quality_of` returns.
 
-    A row travels as one struct, so its columns may have any names.
+    A row travels as one struct, so its columns may have any names. Rows meet their weights in a merge join at every size; there may be
+    as many weights as rows, so neither side is broadcast.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("words"))
-    weighed = written(rows.join(quality, F.col("id") == F.col("q_id"), "left").drop("q_id"), "mix-weighed")
+    weighed = written(rows.join(quality.hint("merge"), F.col("id") == F.col("q_id"), "left").drop("q_id"), "mix-weighed")
     mixed = mix(weighed, "id", "source", size_col="words", quality=F.col("quality_weight"))
     return mixed.select("doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
