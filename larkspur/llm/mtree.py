@@ -270,10 +270,10 @@ class Forest:
 
 def build(rows: DataFrame, tree_rows: int = TREE_ROWS) -> Forest:
     """Index all quantised vectors (vec_id, v)."""
-    tables = Tables(rows.sparkSession, "m-trees")
-    rows = tables.written(rows, "vectors")
-    placed, pivots, radii = _cells(rows, tree_rows, tables)
+    tables, passing = Tables(rows.sparkSession, "m-trees"), Tables(rows.sparkSession, "m-tree-cells")
+    placed, pivots, radii = _cells(passing.written(rows, "vectors"), tree_rows, passing)
     placed = tables.written(placed, "forest")
+    passing.clear()
 
     def plant(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
