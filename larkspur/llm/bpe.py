@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larkspur.llm.scratch import sliced
+from larkspur.llm.scratch import sliced, small_batches
 
 #: Texts above LONG bytes go through the tree; characters of a leaf.
 LONG, LEAF = 8192, 4096
@@ -330,7 +330,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     ["id", "n_tokens", "ids", "decoded"],
                 )
 
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_tokens long, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
@@ -346,5 +346,5 @@ def encode_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 n, a, b = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

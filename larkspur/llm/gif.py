@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import sliced
+from larkspur.llm.scratch import sliced, small_batches
 
 #: A payload becomes frames of WIDTH samples by at most FRAME_ROWS rows, shown for DELAY_CS hundredths of a second each.
 WIDTH, FRAME_ROWS, DELAY_CS = 64, 256, 4
@@ -354,7 +354,7 @@ def gif_frames(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
                 yield out()
 
     kind = dict(df.dtypes)[id_col]
-    narrow = df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"))
+    narrow = small_batches(df).select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"))
     return narrow.mapInArrow(run, f"id {kind}, {FRAME_SCHEMA}").withColumnRenamed("id", id_col)
 
 
@@ -370,7 +370,7 @@ def payload_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 media.append(encode_gif(raw + bytes(max(PAD, -(-len(raw) // PAD) * PAD) - len(raw))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
@@ -425,4 +425,4 @@ def media_digest(media: DataFrame, id_col: str = "doc_id", media_col: str = "med
 
     others = [f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema if f.name != media_col]
     timed = ", ".join(f"{n}: {k}" for n, k in (x.split() for x in _TIMED.split(", ")))
-    return media.mapInArrow(run, ", ".join([*others, _SUMS, f"frames array<struct<{timed}, histogram: array<long>>>"]))
+    return small_batches(media).mapInArrow(run, ", ".join([*others, _SUMS, f"frames array<struct<{timed}, histogram: array<long>>>"]))

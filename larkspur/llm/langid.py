@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import Tables, sliced, written
+from larkspur.llm.scratch import Tables, sliced, small_batches, written
 from larkspur.llm.toxicity import held_out
 
 BUCKETS, MAX_N = 1 << 15, 3
@@ -179,7 +179,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 sums[lang] += ngram_counts(rest)
         yield from out()
 
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
+    labelled = small_batches(docs).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     labelled = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     counted = labelled.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     tables = Tables(docs.sparkSession, "langid")
@@ -216,7 +216,7 @@ def _with_best(docs: DataFrame, model: list[NaiveBayes], text_col: str, shown: s
 
     Each block but the last leaves a written table.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     where, out = docs.columns.index(text_col), None if shown is None else docs.columns.index(shown)
     whole = docs.schema.simpleString()
     for k, block in enumerate(model or [_EMPTY]):

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import Tables, sliced
+from larkspur.llm.scratch import Tables, sliced, small_batches
 from larkspur.llm.textbytes import buffer_of, mix64, row_slices, words
 
 SHINGLE_WORDS = 5
@@ -138,7 +138,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 )
 
     row = F.lit(None) if row_col is None else F.col(row_col)
-    narrow = docs.select(row.cast("long").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("binary")).alias("text_key"), F.col(text_col).cast("binary").alias("text"))
+    narrow = small_batches(docs).select(row.cast("long").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("binary")).alias("text_key"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, "row long, doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>")
 
 
@@ -449,4 +449,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_set = ties.where("set_key is not null").groupBy("set_key").agg(F.min(rank).alias("first"))
     chosen = by_set.join(labelled.select("set_key", "label"), "set_key").groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     stay = tables.written(chosen.unionByName(found.where("n_shingles = 0").select("row")), "stay")
-    return keyed.join(stay, "row", "left_semi").select("doc.*")
+    return keyed.join(stay.hint("merge"), "row", "left_semi").select("doc.*")  # as many survivors as rows, perhaps: never broadcast

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larkspur.sources.workdir import new_dir, remove, shared_dir
 
-__all__ = ["Tables", "shared_dir", "sliced", "written"]
+__all__ = ["Tables", "shared_dir", "sliced", "small_batches", "written"]
+
+ARROW_ROWS_CONF, ARROW_ROWS_DEFAULT, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 10_000, 1000
 
 
 class Tables:
@@ -46,6 +48,18 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return Tables(df.sparkSession, what).written(df, what)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, for a pass of its long texts through Python workers.
+
+    A session that leaves the rows of an Arrow batch at Spark's default gets ``ARROW_ROWS`` from here on: the value counts when a plan
+    runs, which for a lazy result is later than any place where it could be put back. A value that the session chose stays.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(ARROW_ROWS_CONF, str(ARROW_ROWS_DEFAULT))) == ARROW_ROWS_DEFAULT:
+        conf.set(ARROW_ROWS_CONF, str(ARROW_ROWS))
+    return df
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut (without a copy) to at most ``rows`` rows, so that what is made of long texts fits a Python worker.
 

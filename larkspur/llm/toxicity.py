@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import Tables, sliced
+from larkspur.llm.scratch import Tables, sliced, small_batches
 from larkspur.llm.textbytes import buffer_of, row_slices, segment_sums, words
 
 #: The documented bounds of the training sample (documents, bytes of text), and the least number of documents a vocabulary entry
@@ -231,7 +231,7 @@ def _scored(docs: DataFrame, model: MilModel, id_col: str, text_col: str, schema
                 z = fitted.bias + segment_sums(fitted.word_weights(hashes), first)
                 yield emit(batch.column(0).slice(lo, hi - lo), part, inner, rows, spans, z, fitted.leak)
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, schema)
 
 
@@ -281,7 +281,7 @@ def kept(docs: DataFrame, model: MilModel, below: float = 0.5, text_col: str = "
                 scores[lo:hi] = _noisy_or(z, rows, hi - lo, fitted.leak)
             yield batch.filter(pa.array(scores < below))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def locate(docs: DataFrame, model: MilModel, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
