@@ -155,7 +155,10 @@ def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
 
 
 def _node_sets(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
-    """node and full set (little-endian 64-bit integers) of the nodes in ``wanted`` (node, set_key, text_key)."""
+    """node and full set (little-endian 64-bit integers) of the nodes in ``wanted`` (node, set_key, text_key); nodes may share a set.
+
+    The last step is by (set_key, node), which the join has dealt by set_key already.
+    """
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, "text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +178,7 @@ def _node_sets(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
 
     texts = docs.select(F.xxhash64(F.col(text_col).cast("binary")).alias("text_key"), F.col(text_col).cast("binary").alias("text"))
     made = texts.mapInArrow(run, "set_key binary, items binary")
-    return wanted.select("node", "set_key").join(made, "set_key").dropDuplicates(["set_key"]).select("node", "items")
+    return wanted.select("node", "set_key").join(made, "set_key").dropDuplicates(["set_key", "node"]).select("node", "items")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
