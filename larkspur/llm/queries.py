@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, chat, gif, langid, license, mixing, mtree, neardup, toxicity, urlrules
+from larkspur.llm import bpe, chat, clusters, decontaminate, divergence, gif, langid, license, mixing, mtree, neardup, toxicity, urlrules
 from larkspur.llm.scratch import written
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,8 +69,20 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(clusters.quantised(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_skyband_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_gif_media, op2_snapshot_collapse, op3_license_scan, op4_circulant_minhash, op5_toxicity_mil, op6_url_rules, op7_source_mix, op8_mtree_topk, op9_langid_bayes, op10_bpe_tree)
+    made = (op1_gif_media, op2_snapshot_collapse, op3_license_scan, op4_circulant_minhash, op5_toxicity_mil, op6_url_rules, op7_source_mix, op8_mtree_topk, op9_langid_bayes, op10_bpe_tree, op11_positional_index, op12_simplex_clusters, op13_skyband_audit)
     return {f.__name__: f for f in made}
 
 
@@ -82,6 +94,9 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_rules": _op6_sql(),
         "op7_source_mix": _op7_sql(),
         "op8_mtree_topk": _op8_sql(),
+        "op11_positional_index": _op11_sql(),
+        "op12_simplex_clusters": _op12_sql(),
+        "op13_skyband_audit": _op13_sql(),
     }
 
 
@@ -184,3 +199,69 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_tr
            FROM v q JOIN v c ON q.vec_id % {mtree.QUERY_EVERY} = 0 AND q.vec_id <> c.vec_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= {mtree.TOP}"""
+
+
+def _op11_sql() -> str:
+    words = r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+    width = decontaminate.WIDTH
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {words} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(w), {width}) AS n, array_to_string(w[i + 1:i + {width}], ' ') AS x
+            FROM (SELECT *, unnest(range(0, greatest(len(w) - {width}, 0) + 1)) AS i FROM b WHERE len(w) > 0)),
+places AS (SELECT r, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS MATERIALIZED (SELECT r, i, windows.n, item_id FROM (SELECT r, i, n, array_to_string(w[i + 1:i + n], ' ') AS x FROM places) p JOIN windows ON p.n = windows.n AND p.x = windows.x),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
+
+
+def _op12_sql() -> str:
+    steps = []
+    for i in range(clusters.ROUNDS + 1):
+        steps.append(f"""
+s{i} AS MATERIALIZED (
+  SELECT r, vec_id, cluster, distance, v FROM (
+    SELECT d.*, row_number() OVER (PARTITION BY r ORDER BY distance, cluster) AS place FROM (
+      SELECT r, vec_id, v, k AS cluster, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance FROM vectors, c{i}) d)
+  WHERE place = 1)""")
+        steps.append(f"""
+m{i} AS (SELECT cluster, j, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM s{i}) GROUP BY cluster, j),
+c{i + 1} AS MATERIALIZED (
+  SELECT k, coalesce(x, c) AS c FROM c{i} LEFT JOIN (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x FROM m{i} GROUP BY cluster) ON cluster = k)""")
+    last = clusters.ROUNDS
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({clusters.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {clusters.WIDTH} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS INTEGER) AS k, v AS c
+  FROM (SELECT v, sha256('{clusters.SEED}:' || CAST(vec_id AS VARCHAR)) AS h FROM vectors ORDER BY h NULLS LAST, v LIMIT {clusters.K})),{",".join(steps[:-1])}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM s{last} JOIN c{last} ON cluster = k"""
+
+
+def _op13_sql() -> str:
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x60\x7B-\x7F]+')"
+    share = f"CASE WHEN v > 0 THEN CAST(1 + CAST({{n}} + {divergence.SMOOTH} AS HUGEINT) * {divergence.UNIT} // ({{total}} + {divergence.SMOOTH} * v) AS BIGINT) ELSE 0 END"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {words} AS w FROM documents),
+o AS MATERIALIZED (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS whole FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+langs AS (SELECT d.lang, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total FROM (SELECT DISTINCT lang FROM d) d
+          LEFT JOIN (SELECT lang, count(*) AS v, sum(whole) AS lang_total FROM kept GROUP BY lang) k ON k.lang = d.lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT x.lang, x.source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) x
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) t ON t.lang = x.lang AND t.source = x.source),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {share.format(n="coalesce(n, 0)", total="total")} AS p, {share.format(n="whole", total="lang_total")} AS q
+  FROM g JOIN langs ON langs.lang = g.lang JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+every AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM every)
+SELECT lang, source, part, item, value, CAST(place AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR place <= {divergence.TOP}"""
