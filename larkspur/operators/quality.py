@@ -58,14 +58,29 @@ def to_dlq(df: DataFrame, name: Column | str, rules: list[Rule] | None = None, s
     if rules is None:
         facts = {"error_severity": F.lit(severity), "error_constraint": F.lit(constraint), "error_source_table": F.lit(source)}
     else:
-        facts = {}
-        for column, field in (("error_severity", "action"), ("error_constraint", "constraint"), ("error_source_table", "tag")):
-            facts[column] = F.coalesce(*[F.when(named == r.name, getattr(r, field)) for r in rules], F.lit(None).cast("string"))
+        facts = _facts(named, rules)
     if keep_columns:
         return df.withColumns({"error_rule": named, **facts, "error_timestamp": F.current_timestamp()})
-    columns = columns or df.columns
-    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
-    return df.select(record.alias("record_json"), named.alias("error_rule"), *[v.alias(k) for k, v in facts.items()], F.current_timestamp().alias("error_timestamp"))
+    return df.select(_record(columns or df.columns), named.alias("error_rule"), *[v.alias(k) for k, v in facts.items()], F.current_timestamp().alias("error_timestamp"))
+
+
+def _facts(named: Column, rules: list[Rule]) -> dict[str, Column]:
+    """Severity, constraint and source of the rule of that name: one lookup in a literal map."""
+    fields = {"error_severity": "action", "error_constraint": "constraint", "error_source_table": "tag"}
+    if not rules:
+        return {k: F.lit(None).cast("string") for k in fields}
+    entries = [x for r in rules for x in (F.lit(r.name), F.struct(*[F.lit(getattr(r, f)).alias(f) for f in fields.values()]))]
+    found = F.try_element_at(F.create_map(*entries), named)
+    return {k: found[f] for k, f in fields.items()}
+
+
+def _record(columns: list[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"}).alias("record_json")
+
+
+def dead_letter_columns(name: Column, rules: list[Rule], columns: list[str]) -> list[Column]:
+    """The fields of a dead letter (quarantine schema) as columns."""
+    return [_record(columns), name.alias("error_rule"), *[v.alias(k) for k, v in _facts(name, rules).items()], F.current_timestamp().alias("error_timestamp")]
 
 
 def apply_rules(df: DataFrame, rules: list[Rule], on_null: str = "fail", all_failures: bool = False) -> Checked:

@@ -16,22 +16,23 @@ def _micros(time: str) -> Column:
     return F.unix_micros(F.col(time).cast("timestamp"))
 
 
-def _span(time: str, seconds: int) -> Column:
+def span_of(time: str, seconds: int) -> Column:
+    """Number of the span of time a row lies in."""
     return F.floor(_micros(time) / (seconds * 1_000_000))
 
 
 def as_of_join(events: DataFrame, versions: DataFrame, key: str, event_time: str, version_time: str, tie: str | None = None, prefix: str = "v_", span_seconds: int = SPAN_SECONDS) -> DataFrame:
     """Every event with the columns (prefixed) of the latest version of its key at or before its time; null if there is none.
 
-    Versions of equal time go by ``tie`` (the largest wins). Events of a null key or time stay unmatched. The last version
+    Versions of equal time go by ``tie``, then by their whole row (the largest wins). Events of a null key or time stay unmatched. The last version
     of every key and span is carried forward by a window over spans, so a window over rows never spans a whole key.
     """
     columns = [c for c in versions.columns if c != key]
     packed = F.struct(F.col(version_time).alias("_t"), *([F.col(tie).alias("_tie")] if tie else []), F.struct(*[F.col(c) for c in columns]).alias("_row"))
     known = versions.where(F.col(key).isNotNull() & F.col(version_time).isNotNull())
-    known = known.select(F.col(key).alias("_k"), F.col(version_time).alias("_at"), packed.alias("_v"), _span(version_time, span_seconds).alias("_s"))
+    known = known.select(F.col(key).alias("_k"), F.col(version_time).alias("_at"), packed.alias("_v"), span_of(version_time, span_seconds).alias("_s"))
     asked = events.select(F.struct(*[F.col(f"`{c}`") for c in events.columns]).alias("_e"), F.col(key).alias("_k"), F.col(event_time).alias("_at"))
-    whole = asked.where("_k is not null and _at is not null").withColumn("_s", _span("_at", span_seconds))
+    whole = asked.where("_k is not null and _at is not null").withColumn("_s", span_of("_at", span_seconds))
     rest = asked.where("_k is null or _at is null").select("_e", F.lit(None).cast(known.schema["_v"].dataType).alias("_v"))
     # One row for each key and span: the span's last version, carried to every later span that has rows of the key.
     ends = known.groupBy("_k", "_s").agg(F.max("_v").alias("_last")).unionByName(whole.groupBy("_k", "_s").agg(F.lit(None).alias("_last")), allowMissingColumns=True)
@@ -40,7 +41,7 @@ def as_of_join(events: DataFrame, versions: DataFrame, key: str, event_time: str
     carried = ends.withColumn("_in", F.last("_last", ignorenulls=True).over(before)).select("_k", "_s", "_in")
     rows = known.select("_k", "_s", "_at", F.lit(0).alias("_side"), "_v", F.lit(None).cast(whole.schema["_e"].dataType).alias("_e"))
     rows = rows.unionByName(whole.select("_k", "_s", "_at", F.lit(1).alias("_side"), F.lit(None).cast(known.schema["_v"].dataType).alias("_v"), "_e"))
-    inside = Window.partitionBy("_k", "_s").orderBy("_at", "_side", *([F.col("_v._tie")] if tie else [])).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_k", "_s").orderBy("_at", "_side", F.col("_v")).rowsBetween(Window.unboundedPreceding, 0)
     latest = rows.withColumn("_now", F.last("_v", ignorenulls=True).over(inside)).where("_side = 1")
     found = latest.join(carried, ["_k", "_s"], "left").select("_e", F.coalesce("_now", "_in").alias("_v")).unionByName(rest)
     return found.select("_e.*", *[F.col(f"_v._row.`{c}`").alias(f"{prefix}{c}") for c in columns])
@@ -50,14 +51,15 @@ def trailing_count(df: DataFrame, key: str, time_col: str, days: int = 365, name
     """Rows of the same key in the ``days`` days up to and including the row's time, ties and the row itself included.
 
     Time is cut into spans of the window's length; each row also goes, as context, into the next span, so a window partition
-    is a key's rows of two spans at most.
+    is a key's rows of two spans at most. Rows without a time count 0 and are counted by none; ``exclude_current`` leaves the row itself out.
     """
     micros, width = _micros(time_col), days * 86_400 * 1_000_000
     rows = df.withColumns({"_us": micros, "_s": F.floor(micros / width), "_own": F.lit(True)})
     after = rows.select("_us", (F.col("_s") + 1).alias("_s"), F.lit(False).alias("_own"), F.col(key)).where(F.col("_us").isNotNull())
     both = rows.unionByName(after, allowMissingColumns=True)
     frame = Window.partitionBy(key, "_s").orderBy("_us").rangeBetween(-width, 0)
-    counted = both.withColumn(name, F.count("_us").over(frame) - int(exclude_current)).where("_own")
+    own = F.when(F.col("_us").isNotNull(), int(exclude_current)).otherwise(0)
+    counted = both.withColumn(name, F.count("_us").over(frame) - own).where("_own")
     return counted.drop("_us", "_s", "_own")
 
 

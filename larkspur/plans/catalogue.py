@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larkspur import schemas
 from larkspur.functions import features, projections
-from larkspur.operators import enrichment, integrity, quality, reports, scoring, temporal
+from larkspur.operators import enrichment, history, integrity, quality, replay, reports, scoring, split, temporal
 from larkspur.operators.rules import DROP, FAIL, Rule, contract_rules, load_contract, load_rules, with_action
 from larkspur.plans import medallion, views
 from larkspur.plans.views import with_views
@@ -486,11 +486,98 @@ def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     medallion.ingest_streams(spark, zones, max_files=1000)
     medallion.build_silver(spark, zones)
     marks = {"claims": "timestamp >= '1998-01-01'", "labels": "is_fraud = 1", "policies": "warn_region_type_valid", "claims_enriched": "is_fraud is not null"}
-    parts = [readers.read_table(spark, zones.at("silver", name)).agg(F.count("*").alias("n"), F.count_if(F.expr(mark)).alias("n_marked")).select(F.lit(name).alias("part"), "n", "n_marked") for name, mark in marks.items()]
-    rejected = readers.read_table(spark, zones.at("silver", "quarantine")).groupBy("error_source_table").agg(F.count("*").alias("n"), F.count_distinct("error_rule").alias("n_marked"))
+    parts = [medallion.read_silver(spark, zones, name).agg(F.count("*").alias("n"), F.count_if(F.expr(mark)).alias("n_marked")).select(F.lit(name).alias("part"), "n", "n_marked") for name, mark in marks.items()]
+    rejected = medallion.read_silver(spark, zones, "quarantine").groupBy("error_source_table").agg(F.count("*").alias("n"), F.count_distinct("error_rule").alias("n_marked"))
     return quality.quarantine_union(*parts, rejected.select(F.concat(F.lit("quarantine/"), "error_source_table").alias("part"), "n", "n_marked"))
 
 
+# ---------------------------------------------------------------- one scan, several sinks; history; replay
+
+
+@registered(
+    with_views(
+        f"SELECT 'clean' AS part, CAST(source_key AS VARCHAR) AS item, CAST(warn_valid_claim_channel AS BIGINT) AS n FROM (SELECT source_key, NOT coalesce({_WARN['valid_claim_channel']}, false) AS warn_valid_claim_channel FROM claims WHERE {_first_failure(_CLAIM_RULES)} IS NULL)"
+        f" UNION ALL SELECT 'quarantine/' || error_rule, CAST(source_key AS VARCHAR), 1 FROM (SELECT source_key, {_first_failure(_CLAIM_RULES)} AS error_rule FROM claims) WHERE error_rule IS NOT NULL"
+        + "".join(f" UNION ALL SELECT 'metrics/{part}', '{r.name}', count(*) FILTER ({test}) FROM claims" for r in _CLAIM_RULES for part, test in (("n_pass", r.constraint), ("n_fail", f"NOT ({r.constraint})"), ("n_null", f"({r.constraint}) IS NULL"))),
+        "claims",
+    )
+)
+def dq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows, dead letters and the counts of all rules from one scan and one write."""
+    made = split.split_write(views.claims(spark, sf_dir), _CLAIM_RULES, new_dir(spark, "split"))
+    clean = made.clean.select(F.lit("clean").alias("part"), F.col("source_key").cast("string").alias("item"), F.col("warn_valid_claim_channel").cast("long").alias("n"))
+    rejected = made.quarantine.select(F.concat(F.lit("quarantine/"), "error_rule").alias("part"), F.get_json_object("record_json", "$.source_key").alias("item"), F.lit(1).cast("long").alias("n"))
+    counts = made.metrics.select(F.expr("stack(3, 'metrics/n_pass', rule, n_pass, 'metrics/n_fail', rule, n_fail, 'metrics/n_null', rule, n_null) AS (part, item, n)"))
+    return clean.unionByName(rejected).unionByName(counts)
+
+
+#: Observations of a value by user; it is coarse, so that some change nothing, and the last of equal times holds.
+_OBSERVED = "SELECT user_id AS policy_id, ts AS policy_updated_at, max(CAST(floor(value / 40) AS INTEGER)) AS premium FROM events WHERE event_type <> 'purchase' GROUP BY 1, 2"
+_HISTORY = f"""observed AS ({_OBSERVED}),
+changes AS (SELECT * FROM (SELECT *, lag(premium) OVER w AS prior, row_number() OVER w AS place FROM observed WINDOW w AS (PARTITION BY policy_id ORDER BY policy_updated_at)) WHERE place = 1 OR premium IS DISTINCT FROM prior),
+history AS (SELECT policy_id, premium, policy_updated_at AS valid_from, lead(policy_updated_at) OVER (PARTITION BY policy_id ORDER BY policy_updated_at) AS valid_to FROM changes)"""
+
+
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.table(spark, sf_dir, "events").where("event_type <> 'purchase'")
+    return rows.groupBy(F.col("user_id").alias("policy_id"), F.col("ts").alias("policy_updated_at")).agg(F.max(F.floor(F.col("value") / 40).cast("int")).alias("premium"))
+
+
+def _loaded_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, the second of which arrives last."""
+    path, observed = new_dir(spark, "history"), _observed(spark, sf_dir)
+    day = F.dayofmonth("policy_updated_at")
+    for load in (day < 10, day >= 20, (day >= 10) & (day < 20)):
+        table = history.update_history(spark, path, observed.where(load), "policy_id", "policy_updated_at", buckets=8, span_seconds=5 * 86_400)
+    return table
+
+
+@registered(f"WITH {_HISTORY} SELECT policy_id, premium, valid_from, valid_to FROM history")
+def policy_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity intervals from three loads of observations, a late one among them."""
+    return _loaded_history(spark, sf_dir).where(history.CHANGE).select("policy_id", "premium", "valid_from", "valid_to")
+
+
+@registered(
+    f"""WITH {_HISTORY}
+SELECT event_id, p.policy_id, coalesce(h.premium, f.premium) AS premium, coalesce(h.valid_from, f.valid_from) AS valid_from, coalesce(h.valid_to, f.valid_to) AS valid_to, h.policy_id IS NULL AND f.policy_id IS NOT NULL AS is_backfilled
+FROM (SELECT event_id, user_id AS policy_id, ts FROM events WHERE event_type = 'purchase') p LEFT JOIN history h ON h.policy_id = p.policy_id AND p.ts >= h.valid_from AND (h.valid_to IS NULL OR p.ts < h.valid_to)
+LEFT JOIN (SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY policy_id ORDER BY valid_from) = 1) f ON f.policy_id = p.policy_id AND h.policy_id IS NULL"""
+)
+def enrich_by_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the values valid at their time; before the first version that one holds, marked."""
+    rows = history.enrich_as_of(views.events(spark, sf_dir), _loaded_history(spark, sf_dir).drop("policy_updated_at"), "policy_id", "timestamp", backfill=True, span_seconds=5 * 86_400)
+    return rows.select("event_id", "policy_id", "premium", "valid_from", "valid_to", "is_backfilled")
+
+
+@registered(
+    with_views(
+        """, p AS (SELECT policy_id, policy_id % 3 AS arrives FROM policies WHERE policy_id IS NOT NULL), c AS (SELECT source_key, claims.policy_id, claimed_amount_eur, arrives, source_key % 2 AS load FROM claims LEFT JOIN p ON p.policy_id = claims.policy_id)
+SELECT 'first' AS part, source_key, claimed_amount_eur FROM c WHERE load = 0 AND arrives = 0
+UNION ALL SELECT 'second', source_key, claimed_amount_eur FROM c WHERE load = 0 AND arrives = 1 OR load = 1 AND arrives <= 1
+UNION ALL SELECT 'open after first', source_key, NULL FROM c WHERE load = 0 AND (arrives IS NULL OR arrives > 0)
+UNION ALL SELECT 'open after second', source_key, NULL FROM c WHERE arrives IS NULL OR arrives > 1""",
+        "claims", "policies",
+    ).replace("\n, p AS", ",\np AS")
+)
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of claims; policies that arrive with the second release orphans of the first, each once. The second load runs twice."""
+    ledger = replay.Ledger(spark, new_dir(spark, "ledger"))
+    claims, policies = views.claims(spark, sf_dir), views.policies(spark, sf_dir)
+    parts = []
+    for run, (name, load, arrived) in enumerate((("first", 0, 0), ("second", 1, 1), ("second", 1, 1))):
+        known = policies.where(F.col("policy_id") % 3 <= arrived)
+        rows = replay.load_with_replay(ledger, claims.where(F.col("source_key") % 2 == load), known, "policy_id", name, "claims")
+        waiting = ledger.open().select(F.get_json_object("record_json", "$.source_key").cast("long").alias("source_key"), F.lit(None).cast("double").alias("claimed_amount_eur"), "n")
+        waiting = waiting.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("n", "copy")
+        stored = rows.select(F.lit(name).alias("part"), "source_key", "claimed_amount_eur").unionByName(waiting.withColumn("part", F.lit(f"open after {name}")))
+        path = new_dir(spark, "replay")
+        stored.write.parquet(path)
+        if run != 1:  # what the repeated load gives is what counts
+            parts.append(spark.read.parquet(path))
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------------- integrity and enrichment
 
 
@@ -619,6 +706,12 @@ def flag_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- temporal
 
 
+@registered(with_views("SELECT source_key, CASE WHEN timestamp IS NULL THEN 0 ELSE count(timestamp) OVER (PARTITION BY policy_id ORDER BY timestamp RANGE BETWEEN INTERVAL 365 DAYS PRECEDING AND CURRENT ROW) - 1 END AS n_before FROM claims", "claims"))
+def trailing_count_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the row itself; rows without a time count 0."""
+    return temporal.trailing_count(views.claims(spark, sf_dir), "policy_id", "timestamp", name="n_before", exclude_current=True).select("source_key", "n_before")
+
+
 @registered("SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL 365 DAYS PRECEDING AND CURRENT ROW) AS prior_claims_12m FROM orders")
 def trailing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal.trailing_count(views.table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate").select("o_orderkey", "prior_claims_12m")

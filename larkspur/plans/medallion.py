@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 
 from larkspur import schemas
 from larkspur.functions.features import calendar_features
-from larkspur.functions.projections import cast_columns, with_audit
+from larkspur.functions.projections import cast_columns, drop_clashing, with_audit
 from larkspur.operators import integrity
-from larkspur.operators.enrichment import attach_labels, enrich, with_buffer
-from larkspur.operators.quality import apply_rules, quarantine_union
+from larkspur.operators.enrichment import attach_labels, with_buffer
+from larkspur.operators.history import enrich_as_of, update_history
+from larkspur.operators.quality import dead_letter_columns, quarantine_union, to_dlq
 from larkspur.operators.reports import partition_counts, table_counts, trainable_count
 from larkspur.operators.rules import Rule, load_rules
+from larkspur.operators.split import CLEAN, REJECTED, Split, split_write, stored_split, written_split
 from larkspur.sources import readers, writers
 from larkspur.streaming.streams import run_streams, stream_bronze
 
@@ -55,34 +57,65 @@ def ingest_streams(spark: SparkSession, zones: Zones, tables: tuple[str, ...] =
     run_streams(running, timeout)
 
 
-def _bronze(spark: SparkSession, zones: Zones, name: str, audit: bool = True) -> DataFrame:
-    """A bronze table with year and month as text; empty if nothing was ingested yet."""
-    fields = [T.StructField(c, T.TimestampType() if c == "ingestion_timestamp" else T.StringType()) for c in schemas.AUDIT_COLUMNS]
+def _bronze(spark: SparkSession, zones: Zones, name: str) -> DataFrame:
+    """A bronze table with year and month as text; empty, with its columns, if nothing was ingested yet."""
+    audit = [T.StructField(c, T.TimestampType() if c == "ingestion_timestamp" else T.StringType()) for c in schemas.AUDIT_COLUMNS]
     if name in STREAMED:
-        return spark.read.schema(T.StructType([*STREAMED[name][0].fields, *fields])).format(zones.fmt).load(zones.at("bronze", name))
-    return readers.read_table(spark, zones.at("bronze", name), zones.fmt)
+        schema, typed = T.StructType([*STREAMED[name][0].fields, *audit]), True
+    else:  # a CSV's own columns; without a file those of the policies
+        schema, typed = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schemas.POLICIES), *audit[:2]]), False
+    found = readers.read_if_there(spark, zones.at("bronze", name), schema if typed else None, zones.fmt)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def read_silver(spark: SparkSession, zones: Zones, name: str) -> DataFrame:
+    """The clean rows of a silver table, or the quarantine, the rule metrics or the policy history."""
+    if name in ("quarantine", "rule_metrics", "policy_history"):
+        return readers.read_table(spark, zones.at("silver", name))
+    return stored_split(spark, zones.at("silver", name)).clean
+
+
+def _unrepeated(df: DataFrame, columns: list[str], rule: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """One row for each value of ``columns``, and its repetitions as dead letters."""
+    split = integrity.unique_key(df.withColumn("_key", F.struct(*columns)), "_key", [c for c in df.columns])
+    return split.matched.drop("_key"), to_dlq(split.orphans.drop("_key"), rule, constraint=f"{', '.join(columns)} occur once", source=source)
+
+
+def latest_label(labels: DataFrame, key: str = "claim_id", available: str = "label_available_date") -> DataFrame:
+    """The label of each claim that became available last; labels are revised, so an earlier one no longer holds."""
+    rest = [c for c in labels.columns if c not in (key, available)]
+    newest = labels.groupBy(key).agg(F.max(F.struct(available, *rest)).alias("_row"))
+    return newest.select(key, *[F.col(f"_row.`{c}`").alias(c) for c in (available, *rest)])
 
 
 def build_silver(spark: SparkSession, zones: Zones, rules: dict[str, list[Rule]] | None = None) -> None:
-    """Typed, checked and enriched tables: claims, labels, policies, claims_enriched and quarantine.
+    """Typed, checked and enriched tables (claims, labels, policies, claims_enriched), policy_history, quarantine and rule_metrics.
 
-    Clean tables are stored first and read back, so rules run once for each table and once for its quarantine.
+    Each bronze table is scanned once: clean rows, dead letters and the counts of all rules come from one write. Claims get the policy
+    version that was valid at their time (before a policy's first version: that one, marked ``is_backfilled``) and the latest label. Rows in =
+    clean rows + dead letters; claims = enriched claims + orphans; repeated label rows and policy versions are dead letters. A policy without a
+    version time counts as known since 1970.
     """
     rules = rules or {name: load_rules(name) for name in ("claims", "labels", "policies")}
     raw = {"claims": with_buffer(_bronze(spark, zones, "claims"), _bronze(spark, zones, "claims_buffer")), "labels": _bronze(spark, zones, "labels"), "policies": _bronze(spark, zones, "policies")}
-    rejected = []
-    for name, df in raw.items():
-        checked = apply_rules(cast_columns(df, schemas.TYPED[name]), rules[name])
-        writers.write_table(checked.clean, zones.at("silver", name), zones.fmt)
-        rejected.append(checked.quarantine)
-    clean = {name: readers.read_table(spark, zones.at("silver", name), zones.fmt) for name in raw}
-    policies = integrity.unique_key(clean["policies"], "policy_id", ["policy_updated_at"]).matched
-    split = integrity.fk_split(clean["claims"], policies, "policy_id")
-    labels = integrity.unique_key(clean["labels"], "claim_id", ["label_available_date"]).matched
-    enriched = attach_labels(calendar_features(enrich(split.matched, policies)), labels)
-    writers.write_table(enriched, zones.at("silver", "claims_enriched"), zones.fmt)
-    rejected.append(split.quarantine("policy_fk_missing", "policy_id", "claims_enriched"))
-    writers.write_table(quarantine_union(*rejected), zones.at("silver", "quarantine"), zones.fmt)
+    split = {name: split_write(cast_columns(df, schemas.TYPED[name]), rules[name], zones.at("silver", name)) for name, df in raw.items()}
+    claims = split["claims"].clean
+    dated = split["policies"].clean.withColumn("policy_updated_at", F.coalesce("policy_updated_at", F.lit("1970-01-01").cast("timestamp")))
+    policies, again = _unrepeated(dated, ["policy_id", "policy_updated_at"], "policy_version_repeated", "policies")
+    labels, twice = _unrepeated(split["labels"].clean, ["claim_id", "label_available_date"], "label_repeated", "labels")
+    versions = drop_clashing(policies, claims, ["policy_id"], "policy_", tuple(schemas.AUDIT_COLUMNS))
+    history = update_history(spark, zones.at("silver", "policy_history"), versions, "policy_id", "policy_updated_at")
+    known = policies.select(F.col("policy_id").alias("_parent")).distinct()
+    enriched = enrich_as_of(claims, history, "policy_id", "timestamp", backfill=True).withColumnRenamed("valid_from", "policy_valid_from").withColumnRenamed("valid_to", "policy_valid_to")
+    labelled = attach_labels(calendar_features(enriched), latest_label(labels))
+    with_parent = labelled.join(known, F.col("policy_id") == F.col("_parent"), "left")
+    outcome = F.when(F.col("_parent").isNull(), REJECTED).otherwise(CLEAN)
+    letter = F.struct(*dead_letter_columns(F.lit("policy_fk_missing"), [Rule("policy_fk_missing", "policy_id has a parent", tag="claims_enriched")], claims.columns))
+    target = zones.at("silver", "claims_enriched")
+    joined = Split(spark, target, written_split(with_parent, outcome, letter, labelled.columns, target))
+    writers.write_table(quarantine_union(*(s.quarantine for s in split.values()), again, twice, joined.quarantine), zones.at("silver", "quarantine"))
+    counted = [s.metrics.select(F.lit(name).alias("table_name"), "*") for name, s in split.items()]
+    writers.write_table(quarantine_union(*counted), zones.at("silver", "rule_metrics"))
 
 
 def bronze_checks(spark: SparkSession, zones: Zones) -> dict[str, DataFrame]:

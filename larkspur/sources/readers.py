@@ -46,3 +46,14 @@ def infer_schema(spark: SparkSession, path: str, store: str, sampling_ratio: flo
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A stored table; ``fmt`` is any installed format."""
     return spark.read.format(fmt).load(path)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str = "parquet") -> DataFrame | None:
+    """A stored table, or None if there is nothing at ``path`` yet; any other failure is raised."""
+    reader = spark.read.format(fmt)
+    try:
+        return (reader.schema(schema) if schema is not None else reader).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return None
