@@ -67,6 +67,19 @@ def apply_foreign_keys(tables: dict[str, DataFrame], foreign_keys: dict[str, dic
     return tables, quarantine_union(*rejected)
 
 
+def mark_repeated(df: DataFrame, columns: list[str], name: str = "_repeated", salts: int = 64) -> DataFrame:
+    """``df`` with a flag: false for the first row (in the order of all columns) of each value of ``columns``, true for the others.
+
+    Rows are numbered in ``salts`` parts of each value and then the first rows of the parts, so a value of very many rows is no single task.
+    """
+    order = [F.col(f"`{c}`") for c in df.columns]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    part = salted.withColumn("_place", F.row_number().over(Window.partitionBy(*columns, "_salt").orderBy(*order)))
+    heads = part.withColumn("_group", F.when(F.col("_place") == 1, -1).otherwise(F.col("_salt")))
+    first = F.row_number().over(Window.partitionBy(*columns, "_group").orderBy(*order)) == 1
+    return heads.withColumn(name, (F.col("_place") > 1) | ~first).drop("_salt", "_place", "_group")
+
+
 def unique_key(df: DataFrame, key: str, order_by: list[str] | None = None, salts: int = 64) -> Matched:
     """First row of each key (matched) and its repetitions (orphans), so that a join on the key cannot multiply rows.
 

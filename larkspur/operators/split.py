@@ -7,15 +7,17 @@ are observed in the same pass. A rule of action *fail* stops the job before anyt
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.projections import dedupe_columns
-from larkspur.operators.quality import DROPPED, FAILED, dead_letter_columns, tag_rules
-from larkspur.operators.rules import FLAG, QUARANTINE, Rule
+from larkspur.operators.integrity import mark_repeated
+from larkspur.operators.quality import DROPPED, FAILED, dead_letter_columns, fails, tag_rules
+from larkspur.operators.rules import DROP, FLAG, QUARANTINE, Rule
 from larkspur.schemas import QUARANTINE as QUARANTINE_SCHEMA
 
 OUTCOME, CLEAN, REJECTED = "outcome", "clean", "quarantine"
@@ -54,13 +56,14 @@ class Split:
         return self.spark.createDataFrame(list(self.counts), METRICS)
 
 
-def written_split(rows: DataFrame, outcome: Column, dead_letter: Column, clean_columns: list[str], path: str) -> T.StructType:
-    """Write ``rows`` partitioned by ``outcome``; null is neither and goes. Rejected rows keep their dead letter only, clean rows no letter."""
+def written_split(rows: DataFrame, outcome: Column, dead_letter: Column, clean_columns: list[str], path: str, some_go: bool = False) -> T.StructType:
+    """Write ``rows`` partitioned by ``outcome``; with ``some_go`` a null outcome is neither and goes. Rejected rows keep their dead letter only, clean rows no letter."""
     kept = [F.when(F.col(OUTCOME) == CLEAN, F.col(f"`{c}`")).alias(c) for c in clean_columns]
     letter = F.when(F.col(OUTCOME) == REJECTED, dead_letter).alias(_DEAD)
     if OUTCOME in clean_columns:
         raise ValueError(f"a column may not be called {OUTCOME}")
-    out = rows.withColumn(OUTCOME, outcome).where(F.col(OUTCOME).isNotNull()).select(*kept, letter, OUTCOME)
+    out = rows.withColumn(OUTCOME, outcome)
+    out = (out.where(F.col(OUTCOME).isNotNull()) if some_go else out).select(*kept, letter, OUTCOME)
     out.write.mode("overwrite").partitionBy(OUTCOME).parquet(path)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema if f.name in clean_columns])
     # Readers skip the folder; without any row it is all that tells the columns.
@@ -80,18 +83,26 @@ def observed(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Observation |
     return df.observe(seen, *counts), seen
 
 
-def split_write(df: DataFrame, rules: list[Rule], path: str, on_null: str = "fail") -> Split:
+def split_write(df: DataFrame, rules: list[Rule], path: str, on_null: str = "fail", once: Rule | None = None) -> Split:
     """Evaluate ``rules`` over one scan of ``df`` and store clean rows (with warn flags) and dead letters below ``path``.
 
     Outcomes and records are those of ``quality.apply_rules``, counts those of ``quality.rule_metrics``. Rows of action *drop* are in neither folder.
+    ``once`` is a rule whose constraint lists columns: of the rows that pass all others and agree in these, the first is clean and the rest fail it.
     """
     df = dedupe_columns(df)
+    columns = df.columns
+    if once is not None:
+        bad = [fails(r, on_null) for r in rules if r.action in (QUARANTINE, DROP)]
+        whole = df.withColumn("_ok", ~reduce(Column.__or__, bad, F.lit(False)))
+        df = mark_repeated(whole, [*(c.strip() for c in once.constraint.split(",")), "_ok"]).drop("_ok")
+        rules = [*rules, replace(once, constraint="NOT _repeated")]
     watched, seen = observed(df, rules)
     tagged = tag_rules(watched, rules, on_null)
     errors = [r for r in rules if r.action == QUARANTINE]
     flags = [f"warn_{r.name}" for r in rules if r.action == FLAG]
     outcome = F.when(~F.col(DROPPED), F.when(F.col(FAILED).isNull(), CLEAN).otherwise(REJECTED))
-    schema = written_split(tagged, outcome, F.struct(*dead_letter_columns(F.col(FAILED), errors, df.columns)), [*df.columns, *flags], path)
+    some_go = on_null == "drop" or any(r.action == DROP for r in rules)
+    schema = written_split(tagged, outcome, F.struct(*dead_letter_columns(F.col(FAILED), errors, columns)), [*columns, *flags], path, some_go)
     got = seen.get if seen is not None else {}
     counts = tuple((r.name, int(got[f"p{i}"]), int(got[f"f{i}"]), int(got[f"n{i}"])) for i, r in enumerate(rules))
     return Split(df.sparkSession, path, schema, counts)

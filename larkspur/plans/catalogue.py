@@ -14,7 +14,7 @@ from larkspur.operators import enrichment, history, integrity, quality, replay,
 from larkspur.operators.rules import DROP, FAIL, Rule, contract_rules, load_contract, load_rules, with_action
 from larkspur.plans import medallion, views
 from larkspur.plans.views import with_views
-from larkspur.sources import readers, writers
+from larkspur.sources import evolving, readers, writers
 from larkspur.sources.workdir import new_dir
 from larkspur.streaming import streams
 
@@ -474,7 +474,7 @@ UNION ALL SELECT 'quarantine/' || source_table, count(*), count(DISTINCT error_r
 )
 def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole route: landing files (JSON by month, CSV) to bronze streams, buffer zone included, to silver and quarantine."""
-    zones = medallion.Zones(new_dir(spark, "zones"))
+    zones = medallion.Zones(new_dir(spark, "zones"), buckets=8)
     claims = views.claims(spark, sf_dir)
     claims = claims.select(*[(F.col(f.name).cast(f.dataType) if f.name in claims.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schemas.CLAIMS])
     late = F.coalesce(F.col("timestamp") >= "1998-01-01", F.lit(False))
@@ -494,6 +494,32 @@ def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- one scan, several sinks; history; replay
 
 
+@registered(ORACLES["dq_metrics"])
+def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every rule on a stream: what the batches observed adds up to the counts over all rows."""
+    landing, base = _landed(spark, views.claims(spark, sf_dir).select(*_LANDED_NAMES), "claims-landing"), new_dir(spark, "checked")
+    source = spark.readStream.schema(_LANDED_CLAIMS).option("maxFilesPerTrigger", 4).parquet(landing)
+    streams.run_streams([streams.stream_checked(source, _CLAIM_RULES, base, f"{base}/progress")])
+    return streams.checked_metrics(spark, base).groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("n_pass", "n_fail", "n_null")])
+
+
+@registered(
+    "SELECT event_id, event_id % 3 + 1 AS load, CASE event_id % 3 WHEN 0 THEN CAST(event_id * 2 AS VARCHAR) WHEN 1 THEN CAST(event_id AS VARCHAR) ELSE event_type END AS value, CASE WHEN event_id % 3 > 0 THEN event_type END AS kind, "
+    "CASE WHEN event_id % 3 = 2 THEN user_id END AS who FROM events"
+)
+def stream_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of a landing folder: the second brings a field, the third one inside a struct and another type. No value is lost."""
+    events, base = views.table(spark, sf_dir, "events"), new_dir(spark, "evolving")
+    value = (F.col("event_id") * 2, F.col("event_id"), F.col("event_type"))
+    for load in range(3):
+        more = [[], [F.col("event_type").alias("kind")], [F.col("event_type").alias("kind"), F.struct(F.struct(F.col("user_id").alias("id")).alias("by")).alias("more")]][load]
+        part = events.where(F.col("event_id") % 3 == load).select("event_id", F.lit(load + 1).alias("load"), value[load].alias("value"), *more)
+        part.write.json(f"{base}/landing/load{load}")
+        streams.run_streams([evolving.stream_evolving(spark, f"{base}/landing", f"{base}/schemas", f"{base}/table", f"{base}/progress")])
+    rows = evolving.read_evolved(spark, f"{base}/schemas", f"{base}/table")
+    return rows.select("event_id", "load", "value", "kind", F.col("more.by.id").alias("who"))
+
+
 @registered(
     with_views(
         f"SELECT 'clean' AS part, CAST(source_key AS VARCHAR) AS item, CAST(warn_valid_claim_channel AS BIGINT) AS n FROM (SELECT source_key, NOT coalesce({_WARN['valid_claim_channel']}, false) AS warn_valid_claim_channel FROM claims WHERE {_first_failure(_CLAIM_RULES)} IS NULL)"

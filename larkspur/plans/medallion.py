@@ -18,7 +18,7 @@ from larkspur.functions.projections import cast_columns, drop_clashing, with_aud
 from larkspur.operators import integrity
 from larkspur.operators.enrichment import attach_labels, with_buffer
 from larkspur.operators.history import enrich_as_of, update_history
-from larkspur.operators.quality import dead_letter_columns, quarantine_union, to_dlq
+from larkspur.operators.quality import dead_letter_columns, quarantine_union
 from larkspur.operators.reports import partition_counts, table_counts, trainable_count
 from larkspur.operators.rules import Rule, load_rules
 from larkspur.operators.split import CLEAN, REJECTED, Split, split_write, stored_split, written_split
@@ -28,10 +28,11 @@ from larkspur.streaming.streams import run_streams, stream_bronze
 
 @dataclass(frozen=True)
 class Zones:
-    """Folders of one installation; ``fmt`` is the table format."""
+    """Folders of one installation; ``fmt`` is the table format of bronze, ``buckets`` the folders of the policy history."""
 
     base: str
     fmt: str = "parquet"
+    buckets: int = 64
 
     def at(self, zone: str, table: str) -> str:
         return f"{self.base.rstrip('/')}/{zone}/{table}"
@@ -75,10 +76,8 @@ def read_silver(spark: SparkSession, zones: Zones, name: str) -> DataFrame:
     return stored_split(spark, zones.at("silver", name)).clean
 
 
-def _unrepeated(df: DataFrame, columns: list[str], rule: str, source: str) -> tuple[DataFrame, DataFrame]:
-    """One row for each value of ``columns``, and its repetitions as dead letters."""
-    split = integrity.unique_key(df.withColumn("_key", F.struct(*columns)), "_key", [c for c in df.columns])
-    return split.matched.drop("_key"), to_dlq(split.orphans.drop("_key"), rule, constraint=f"{', '.join(columns)} occur once", source=source)
+#: Tables whose rows must differ in some columns.
+ONCE = {"labels": Rule("label_repeated", "claim_id, label_available_date", tag="labels"), "policies": Rule("policy_version_repeated", "policy_id, policy_updated_at", tag="policies")}
 
 
 def latest_label(labels: DataFrame, key: str = "claim_id", available: str = "label_available_date") -> DataFrame:
@@ -98,13 +97,12 @@ def build_silver(spark: SparkSession, zones: Zones, rules: dict[str, list[Rule]]
     """
     rules = rules or {name: load_rules(name) for name in ("claims", "labels", "policies")}
     raw = {"claims": with_buffer(_bronze(spark, zones, "claims"), _bronze(spark, zones, "claims_buffer")), "labels": _bronze(spark, zones, "labels"), "policies": _bronze(spark, zones, "policies")}
-    split = {name: split_write(cast_columns(df, schemas.TYPED[name]), rules[name], zones.at("silver", name)) for name, df in raw.items()}
-    claims = split["claims"].clean
-    dated = split["policies"].clean.withColumn("policy_updated_at", F.coalesce("policy_updated_at", F.lit("1970-01-01").cast("timestamp")))
-    policies, again = _unrepeated(dated, ["policy_id", "policy_updated_at"], "policy_version_repeated", "policies")
-    labels, twice = _unrepeated(split["labels"].clean, ["claim_id", "label_available_date"], "label_repeated", "labels")
+    typed = {name: cast_columns(df, schemas.TYPED[name]) for name, df in raw.items()}
+    typed["policies"] = typed["policies"].withColumn("policy_updated_at", F.coalesce("policy_updated_at", F.lit("1970-01-01").cast("timestamp")))
+    split = {name: split_write(df, rules[name], zones.at("silver", name), once=ONCE.get(name)) for name, df in typed.items()}
+    claims, labels, policies = (split[name].clean for name in ("claims", "labels", "policies"))
     versions = drop_clashing(policies, claims, ["policy_id"], "policy_", tuple(schemas.AUDIT_COLUMNS))
-    history = update_history(spark, zones.at("silver", "policy_history"), versions, "policy_id", "policy_updated_at")
+    history = update_history(spark, zones.at("silver", "policy_history"), versions, "policy_id", "policy_updated_at", zones.buckets)
     known = policies.select(F.col("policy_id").alias("_parent")).distinct()
     enriched = enrich_as_of(claims, history, "policy_id", "timestamp", backfill=True).withColumnRenamed("valid_from", "policy_valid_from").withColumnRenamed("valid_to", "policy_valid_to")
     labelled = attach_labels(calendar_features(enriched), latest_label(labels))
@@ -113,7 +111,7 @@ def build_silver(spark: SparkSession, zones: Zones, rules: dict[str, list[Rule]]
     letter = F.struct(*dead_letter_columns(F.lit("policy_fk_missing"), [Rule("policy_fk_missing", "policy_id has a parent", tag="claims_enriched")], claims.columns))
     target = zones.at("silver", "claims_enriched")
     joined = Split(spark, target, written_split(with_parent, outcome, letter, labelled.columns, target))
-    writers.write_table(quarantine_union(*(s.quarantine for s in split.values()), again, twice, joined.quarantine), zones.at("silver", "quarantine"))
+    writers.write_table(quarantine_union(*(s.quarantine for s in split.values()), joined.quarantine), zones.at("silver", "quarantine"))
     counted = [s.metrics.select(F.lit(name).alias("table_name"), "*") for name, s in split.items()]
     writers.write_table(quarantine_union(*counted), zones.at("silver", "rule_metrics"))
 

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from larkspur.sources.workdir import exists
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header. With a schema, unparsable fields become null; without one, all columns are text."""
@@ -49,11 +51,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str = "parquet") -> DataFrame | None:
-    """A stored table, or None if there is nothing at ``path`` yet; any other failure is raised."""
+    """A stored table, or None if there is nothing at ``path`` yet."""
+    if not exists(spark, path):
+        return None
     reader = spark.read.format(fmt)
-    try:
-        return (reader.schema(schema) if schema is not None else reader).load(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return None
+    return (reader.schema(schema) if schema is not None else reader).load(path)

@@ -30,6 +30,12 @@ def new_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, wherever it is stored."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever it is stored."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

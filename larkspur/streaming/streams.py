@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from larkspur.functions.projections import with_audit, with_path_partitions
 from larkspur.operators.quality import apply_rules
 from larkspur.operators.rules import Rule
+from larkspur.operators.split import METRICS, Split, split_write
 from larkspur.sources.readers import read_json, stream_json
 from larkspur.sources.writers import stream_append
 
@@ -70,6 +71,31 @@ def stream_silver(source: DataFrame, rules: list[Rule], clean: str, quarantine:
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_checked(source: DataFrame, rules: list[Rule], path: str, checkpoint: str) -> StreamingQuery:
+    """Rules of every action on a stream, with their counts: each micro-batch is one scan and one write.
+
+    A batch's rows (``rows``: clean and dead letters) and counts (``metrics``) are folders of their own, which a repeated batch replaces, so counts
+    add up to those of a batch run over the same rows. A rule of action *fail* ends the stream before anything of the batch is visible; a
+    restart begins with that batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        made = split_write(batch, rules, f"{path}/rows/batch_id={batch_id}")
+        made.metrics.coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics/batch_id={batch_id}")
+
+    return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def checked_rows(spark: SparkSession, path: str, schema: StructType) -> Split:
+    """Both outcomes of all batches of :func:`stream_checked`; ``schema`` is that of clean rows."""
+    return Split(spark, f"{path}/rows", schema)
+
+
+def checked_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """rule, n_pass, n_fail, n_null and batch_id of all batches."""
+    return spark.read.schema(f"{METRICS}, batch_id long").parquet(f"{path}/metrics")
+
+
 def stream_attach_labels(claims: DataFrame, labels: DataFrame, key: str = "claim_id", time_col: str = "timestamp", label_time: str = "label_available_date", late: str = "1 day", max_delay: str = "90 days") -> DataFrame:
     """Left-outer interval join of two streams: a label belongs to its claim if it comes within ``max_delay``.
 
