@@ -182,6 +182,12 @@ def test_sample_is_bounded_by_bytes(spark):
     assert [len(r.text) for r in toxicity.sample_texts(odd, labels, limit=7).collect()] and len(toxicity.sample_texts(odd, labels, limit=7).collect()) == 7
 
 
+def test_labels_of_other_documents_leave_the_sample_whole(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, toxic int")
+    assert toxicity.sample_texts(docs, labels, limit=60).count() == docs.where(~toxicity.held_out()).count()
+
+
 def test_toxicity_query(spark, small_dir):
     out = queries.op5_toxicity_mil(spark, small_dir).collect()
     assert len(out) == spark.read.parquet(f"{small_dir}/documents.parquet").count()
