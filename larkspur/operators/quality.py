@@ -113,7 +113,10 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def observe_rules(df: DataFrame, rules: list[Rule], name: str = "rules") -> tuple[DataFrame, object]:
-    """``df`` unchanged with an observation that counts every rule's failures while some other action runs."""
+    """``df`` unchanged with an observation that counts every rule's failures while some other action runs.
+
+    Spark cannot serialize the tasks of its classifiers in a session that has used an observation; ``split.split_write`` counts without.
+    """
     from pyspark.sql import Observation
 
     seen = Observation(name)
