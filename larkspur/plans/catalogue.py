@@ -16,7 +16,7 @@ from larkspur.plans import medallion, views
 from larkspur.plans.views import with_views
 from larkspur.sources import evolving, readers, writers
 from larkspur.sources.workdir import new_dir
-from larkspur.streaming import streams
+from larkspur.streaming import stateful, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1017,3 +1017,26 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = new_dir(spark, "alerts")
     streams.run_streams([writers.stream_append(alerts, table, f"{table}-progress")])
     return spark.read.schema("source_key long, claimed_amount_eur double, region_type string").parquet(table)
+
+
+@registered(with_views("SELECT p.event_id, p.policy_id, v.version_id AS v_version_id, v.policy_updated_at AS v_policy_updated_at, v.premium AS v_premium FROM purchases p ASOF LEFT JOIN versions v ON p.policy_id = v.policy_id AND p.timestamp >= v.policy_updated_at", "versions", "purchases"))
+def stream_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As-of join of two streams in two loads, days of which overlap, and a closing row; every load is a restart from the checkpoint."""
+    folders, table = [new_dir(spark, "events-landing"), new_dir(spark, "versions-landing")], new_dir(spark, "as-of")
+    sources = [(views.events(spark, sf_dir), "timestamp"), (views.versions(spark, sf_dir), "policy_updated_at")]
+    late = F.pmod(F.xxhash64("policy_id"), F.lit(3)) == 0  # keys whose rows of four days come with the second load
+    for n in (0, 1, 2):
+        for (rows, time), folder in zip(sources, folders):
+            second = F.dayofmonth(time) > F.when(late, 11).otherwise(15)
+            if n == 2:
+                rows = spark.createDataFrame([(-1, -1, None, None)], "a long, b long, c timestamp, d double").toDF("event_id", "policy_id", "timestamp", "amount") if time == "timestamp" else spark.createDataFrame([(-1, None, -1, None)], "policy_id long, policy_updated_at timestamp, version_id long, premium double")
+                rows = rows.withColumn(time, F.lit("2100-01-01").cast("timestamp"))
+            else:
+                rows = rows.where(second if n else ~second)
+            rows.write.mode("append").parquet(folder)
+        asked, known = (spark.readStream.schema(rows.schema).parquet(folder) for (rows, _), folder in zip(sources, folders))
+        joined = stateful.stream_as_of(asked, known, "policy_id", "timestamp", "policy_updated_at", tie="version_id", late="5 days")
+        with stateful.rocksdb_state(spark):
+            streams.run_streams([writers.stream_append(joined, table, f"{table}-progress")])
+    stored = spark.read.schema(joined.schema).parquet(table).where("event_id >= 0")
+    return stored.select("event_id", "policy_id", "v_version_id", "v_policy_updated_at", "v_premium")
