@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPAN_SECONDS = 30 * 86_400
+DAY = 86_400_000_000  # microseconds
 
 
 def _micros(time: str) -> Column:
@@ -47,20 +48,38 @@ def as_of_join(events: DataFrame, versions: DataFrame, key: str, event_time: str
     return found.select("_e.*", *[F.col(f"_v._row.`{c}`").alias(f"{prefix}{c}") for c in columns])
 
 
+def counts_between(asked: DataFrame, days: DataFrame, instants: DataFrame, width: int) -> DataFrame:
+    """k, us and trailing for distinct (k, us) in ``asked``: rows of k from ``width`` microseconds before us up to us.
+
+    ``days`` (k, day, n) must cover every day of the windows, ``instants`` (k, us, n) those days on which a window starts or ends.
+    """
+    upper = asked.select("k", "us", F.col("us").alias("at"), F.lit(2).alias("side"), F.lit(0).cast("long").alias("n"))
+    lower = asked.select("k", "us", (F.col("us") - width).alias("at"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("n"))
+    marks = upper.unionByName(lower).unionByName(instants.select("k", "us", F.col("us").alias("at"), F.lit(1).alias("side"), "n"))
+    marks = marks.withColumn("day", F.floor(F.col("at") / DAY))
+    inside = Window.partitionBy("k", "day").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    ends = marks.withColumn("inside", F.sum("n").over(inside)).where("side <> 1")
+    ends_days = upper.unionByName(lower).select("k", F.floor(F.col("at") / DAY).alias("day"), "n")
+    daily = days.select("k", "day", "n").unionByName(ends_days).groupBy("k", "day").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("k").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    daily = daily.select(F.col("k").alias("_k"), F.col("day").alias("_day"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    total = ends.join(daily, ends["k"].eqNullSafe(daily["_k"]) & (ends["day"] == daily["_day"]))
+    signed = F.when(F.col("side") == 2, F.col("inside") + F.col("earlier")).otherwise(-F.col("inside") - F.col("earlier"))
+    return total.groupBy("k", "us").agg(F.sum(signed).alias("trailing"))
+
+
 def trailing_count(df: DataFrame, key: str, time_col: str, days: int = 365, name: str = "prior_claims_12m", exclude_current: bool = False) -> DataFrame:
     """Rows of the same key in the ``days`` days up to and including the row's time, ties and the row itself included.
 
-    Time is cut into spans of the window's length; each row also goes, as context, into the next span, so a window partition
-    is a key's rows of two spans at most. Rows without a time count 0 and are counted by none; ``exclude_current`` leaves the row itself out.
+    Rows are counted by instant and by day first (:func:`counts_between`), so the largest window is one key's instants of one day, or its days. Null
+    keys count as one key. Rows without a time count 0 and are counted by none; ``exclude_current`` leaves the row itself out.
     """
-    micros, width = _micros(time_col), days * 86_400 * 1_000_000
-    rows = df.withColumns({"_us": micros, "_s": F.floor(micros / width), "_own": F.lit(True)})
-    after = rows.select("_us", (F.col("_s") + 1).alias("_s"), F.lit(False).alias("_own"), F.col(key)).where(F.col("_us").isNotNull())
-    both = rows.unionByName(after, allowMissingColumns=True)
-    frame = Window.partitionBy(key, "_s").orderBy("_us").rangeBetween(-width, 0)
-    own = F.when(F.col("_us").isNotNull(), int(exclude_current)).otherwise(0)
-    counted = both.withColumn(name, F.count("_us").over(frame) - own).where("_own")
-    return counted.drop("_us", "_s", "_own")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(key).alias("_key"), _micros(time_col).alias("_us"))
+    instants = rows.where("_us is not null").groupBy(F.col("_key").alias("k"), F.col("_us").alias("us")).agg(F.count("*").alias("n"))
+    daily = instants.groupBy("k", F.floor(F.col("us") / DAY).alias("day")).agg(F.sum("n").alias("n"))
+    counted = counts_between(instants.select("k", "us"), daily, instants, days * DAY)
+    joined = rows.join(counted, rows["_key"].eqNullSafe(counted["k"]) & (rows["_us"] == counted["us"]), "left")
+    return joined.select("_row.*", F.coalesce(F.col("trailing") - int(exclude_current), F.lit(0)).alias(name))
 
 
 def training_set(claims: DataFrame, labels: DataFrame, as_of: str, key: str = "claim_id", available_col: str = "label_available_date") -> DataFrame:

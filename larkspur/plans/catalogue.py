@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larkspur import schemas
 from larkspur.functions import features, projections
-from larkspur.operators import enrichment, history, integrity, quality, replay, reports, scoring, split, temporal
+from larkspur.operators import enrichment, history, integrity, quality, replay, reports, scoring, split, temporal, trailing
 from larkspur.operators.rules import DROP, FAIL, Rule, contract_rules, load_contract, load_rules, with_action
 from larkspur.plans import medallion, views
 from larkspur.plans.views import with_views
@@ -743,6 +743,17 @@ def trailing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal.trailing_count(views.table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate").select("o_orderkey", "prior_claims_12m")
 
 
+@registered("SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL 365 DAYS PRECEDING AND CURRENT ROW) AS prior_claims_12m FROM orders")
+def trailing_count_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts kept up to date over three loads, the last of which is late: a tenth of the customers' orders of one year."""
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    kept = trailing.TrailingCounts(spark, new_dir(spark, "trailing"), "o_custkey", "o_orderdate")
+    late, early = (F.col("o_custkey") % 10 == 0) & (F.year("o_orderdate") == 1995), F.year("o_orderdate") < 1997
+    for load, rows in (("early", early & ~late), ("recent", ~early), ("late", late)):
+        kept.update(orders.where(F.coalesce(rows, F.lit(False))), load)
+    return kept.attach(orders).select("o_orderkey", "prior_claims_12m")
+
+
 @registered(with_views("SELECT p.event_id, p.policy_id, v.version_id AS v_version_id, v.policy_updated_at AS v_policy_updated_at, v.premium AS v_premium FROM purchases p ASOF LEFT JOIN versions v ON p.policy_id = v.policy_id AND p.timestamp >= v.policy_updated_at", "versions", "purchases"))
 def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = temporal.as_of_join(views.events(spark, sf_dir), views.versions(spark, sf_dir), "policy_id", "timestamp", "policy_updated_at", tie="version_id", span_seconds=86_400)
