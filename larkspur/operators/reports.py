@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.features import expected_rate
 from larkspur.functions.projections import sample_rows
+from larkspur.sources.workdir import new_dir
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -105,6 +106,43 @@ def cost_summary(df: DataFrame, flagged: Column, positive: Column, missed: int =
     return counts.withColumns({"missed_cost": F.col("n_missed") * missed, "alarm_cost": F.col("n_alarms") * alarm, "total_cost": F.col("n_missed") * missed + F.col("n_alarms") * alarm})
 
 
+def cost_curve(df: DataFrame, score: str, positive: Column, missed: int = MISSED_COST, alarm: int = ALARM_COST, parts: int | None = None) -> DataFrame:
+    """tp, fp, fn, tn and total_cost of flagging every row whose score is at least ``threshold``, for each distinct score and for none (null).
+
+    Scores are counted first, so ties are one row. Their counts are stored in ranges of score (``parts``, else as many as the session's shuffle partitions); running sums
+    are taken inside a range, and what the ranges before it hold, a row for each range, is added. A null or NaN score is never flagged, a null label
+    counts as negative. An empty table has the row of no flags, with zeros.
+    """
+    spark = df.sparkSession
+    ranges = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hit = F.coalesce(positive, F.lit(False))
+    value = F.nanvl(F.col(score).cast("double"), F.lit(None)) + F.lit(0.0)  # -0.0 is 0.0
+    counted = df.select(value.alias("threshold"), hit.alias("_hit")).groupBy("threshold").agg(F.count_if("_hit").alias("p"), F.count_if(~F.col("_hit")).alias("n"))
+    path = new_dir(spark, "cost-curve")
+    schema = "threshold double, p long, n long, part int"
+    counted.repartitionByRange(ranges, F.desc("threshold")).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    stored = spark.read.schema(schema).parquet(path)
+    sums = stored.groupBy("part").agg(F.sum(F.when(F.col("threshold").isNotNull(), F.col("p"))).alias("p"), F.sum(F.when(F.col("threshold").isNotNull(), F.col("n"))).alias("n"), F.sum("p").alias("all_p"), F.sum("n").alias("all_n"))
+    carried, before, n_before = [], 0, 0
+    totals = sorted(sums.collect(), key=lambda r: r.part)  # a row for each range
+    for r in totals:
+        carried.append((r.part, before, n_before))
+        before, n_before = before + (r.p or 0), n_before + (r.n or 0)
+    positives, negatives = (sum(r[c] for r in totals) for c in ("all_p", "all_n"))
+    offsets = F.broadcast(spark.createDataFrame(carried, "part int, p_before long, n_before long"))
+    running = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    flagged = stored.where("threshold is not null").join(offsets, "part")
+    flagged = flagged.select("threshold", (F.sum("p").over(running) + F.col("p_before")).alias("tp"), (F.sum("n").over(running) + F.col("n_before")).alias("fp"))
+    every = flagged.unionByName(spark.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp")))
+    every = every.withColumns({"fn": F.lit(positives) - F.col("tp"), "tn": F.lit(negatives) - F.col("fp")})
+    return every.withColumn("total_cost", F.col("fn") * missed + F.col("fp") * alarm)
+
+
+def least_cost(curve: DataFrame) -> DataFrame:
+    """The row of a cost curve with the least cost; of equal ones that which flags least."""
+    return curve.orderBy("total_cost", F.desc_nulls_first("threshold")).limit(1)
+
+
 def observed_vs_expected(df: DataFrame, time_col: str, positive: Column) -> DataFrame:
     """year, month, n, observed rate, expected rate of the seasonal curve, and their difference."""
     grouped = df.groupBy(F.year(time_col).alias("year"), F.month(time_col).alias("month")).agg(F.count("*").alias("n"), (F.count_if(positive) / F.count("*")).alias("observed"))

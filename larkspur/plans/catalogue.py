@@ -853,6 +853,28 @@ def cost_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.cost_summary(_labelled(spark, sf_dir), F.col("o_totalprice") > 250000, _is_fraud())
 
 
+_COST_CURVE = f"""scored AS (SELECT round(o_totalprice, -1) AS score, {_POSITIVE} AS hit FROM {_LABELLED}),
+sums AS (SELECT score, count(*) FILTER (hit) AS p, count(*) FILTER (NOT hit) AS n FROM scored GROUP BY 1),
+flagged AS (SELECT score AS threshold, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp FROM sums WHERE score IS NOT NULL WINDOW w AS (ORDER BY score DESC) UNION ALL SELECT NULL, 0, 0),
+curve AS (SELECT threshold, tp, fp, (SELECT count(*) FILTER (hit) FROM scored) - tp AS fn, (SELECT count(*) FILTER (NOT hit) FROM scored) - fp AS tn FROM flagged)
+SELECT *, fn * 800 + fp * 100 AS total_cost FROM curve"""
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(spark, sf_dir).withColumn("score", F.round("o_totalprice", -1))
+
+
+@registered(with_views(_COST_CURVE, "claim_labels").replace("\nscored", ",\nscored"))
+def cost_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion counts and cost at every distinct score."""
+    return reports.cost_curve(_scored(spark, sf_dir), "score", _is_fraud())
+
+
+@registered(with_views(_COST_CURVE + " ORDER BY total_cost, threshold DESC NULLS FIRST LIMIT 1", "claim_labels").replace("\nscored", ",\nscored"))
+def least_cost_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.least_cost(reports.cost_curve(_scored(spark, sf_dir), "score", _is_fraud()))
+
+
 _CURVE = "greatest(0.025, least(0.12, 0.05 + 0.005 * sin(2 * pi() * ({m} - 4) / 12) + 0.0002 * (({y} - 2015) * 12 + ({m} - 1)) / 12 + CASE WHEN {y} = 2025 AND {m} >= 3 THEN 0.012 ELSE 0 END))"
 
 
