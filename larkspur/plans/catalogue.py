@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larkspur import schemas
 from larkspur.functions import features, projections
-from larkspur.operators import enrichment, history, integrity, quality, replay, reports, scoring, split, temporal, trailing
+from larkspur.operators import enrichment, history, integrity, quality, replay, reports, scoring, sketches, split, temporal, trailing
 from larkspur.operators import label_upsert as label_upsert_table
 from larkspur.operators.rules import DROP, FAIL, Rule, contract_rules, load_contract, load_rules, with_action
 from larkspur.plans import medallion, views
@@ -875,6 +875,35 @@ def least_cost_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.least_cost(reports.cost_curve(_scored(spark, sf_dir), "score", _is_fraud()))
 
 
+_LATER = "o_orderdate >= TIMESTAMP '1998-07-01'"
+_KS = f"""sums AS (SELECT o_totalprice AS v, count(*) FILTER ({_LATER}) AS b, count(*) FILTER (NOT {_LATER}) AS a FROM orders GROUP BY 1),
+ranks AS (SELECT sum(a) OVER w / sum(a) OVER () AS ra, sum(b) OVER w / sum(b) OVER () AS rb FROM sums WINDOW w AS (ORDER BY v DESC))
+SELECT max(abs(ra - rb)) AS ks FROM ranks"""
+
+
+@registered("SELECT CAST(year(o_orderdate) AS INTEGER) AS period, count(o_totalprice) AS n, quantile_cont(o_totalprice, [0.1, 0.5, 0.9]) AS percentiles FROM orders GROUP BY 1")
+def percentile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles by year."""
+    return sketches.exact_percentiles(views.table(spark, sf_dir, "orders"), "o_totalprice", F.year("o_orderdate"), [0.1, 0.5, 0.9])
+
+
+@registered("WITH " + _KS)
+def ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact Kolmogorov-Smirnov distance of the amounts before and after a date."""
+    return sketches.exact_ks(views.table(spark, sf_dir, "orders"), "o_totalprice", F.col("o_orderdate") >= F.lit("1998-07-01").cast("timestamp"))
+
+
+@registered(f"SELECT 'o_totalprice' AS \"column\", count(*) FILTER (NOT {_LATER}) AS n_before, count(*) FILTER ({_LATER}) AS n_after, true AS ks_close FROM orders")
+def sketch_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift from stored monthly sketches, and whether its distance is within their error (0.02) of the exact one."""
+    orders, date = views.table(spark, sf_dir, "orders"), F.lit("1998-07-01").cast("timestamp")
+    path = new_dir(spark, "sketches")
+    sketches.month_sketches(orders, "o_orderdate", ["o_totalprice"]).write.parquet(path)
+    found = sketches.sketch_drift(spark.read.parquet(path), F.col("month") >= date)
+    exact = sketches.exact_ks(orders, "o_totalprice", F.col("o_orderdate") >= date).withColumnRenamed("ks", "exact")
+    return found.crossJoin(F.broadcast(exact)).select("column", "n_before", "n_after", (F.abs(F.col("ks") - F.col("exact")) <= 0.02).alias("ks_close"))  # one row
+
+
 _CURVE = "greatest(0.025, least(0.12, 0.05 + 0.005 * sin(2 * pi() * ({m} - 4) / 12) + 0.0002 * (({y} - 2015) * 12 + ({m} - 1)) / 12 + CASE WHEN {y} = 2025 AND {m} >= 3 THEN 0.012 ELSE 0 END))"
 
 
