@@ -60,14 +60,18 @@ def prevalence_ratio(df: DataFrame, segment: str, positive: Column) -> DataFrame
     return grouped.select("segment", "n", (F.col("hit") / F.col("n")).alias("rate"), F.try_divide(F.col("hit") / F.col("n"), base).alias("ratio"))
 
 
-def category_drift(df: DataFrame, category: str, later: Column) -> DataFrame:
-    """category, share before and after, their difference and the population-stability term ``(b - a) * ln(b / a)``."""
+def category_drift(df: DataFrame, category: str, later: Column, floor: float = 1e-4) -> DataFrame:
+    """category, share before and after, their difference, the population-stability term ``(b - a) * ln(b / a)`` and the total of all terms.
+
+    In the term a share counts as at least ``floor``, so a category that appears or vanishes adds to it. A row whose ``later`` is null lies on neither
+    side; a side without rows has null shares, terms and total.
+    """
     counted = df.groupBy(F.col(category).alias("category")).agg(F.count_if(~later).alias("n_before"), F.count_if(later).alias("n_after"))
     every = Window.partitionBy()
     a, b = F.try_divide("n_before", F.sum("n_before").over(every)), F.try_divide("n_after", F.sum("n_after").over(every))
-    shares = counted.select("category", a.alias("share_before"), b.alias("share_after"))
-    psi = F.when((F.col("share_before") > 0) & (F.col("share_after") > 0), (F.col("share_after") - F.col("share_before")) * F.log(F.col("share_after") / F.col("share_before")))
-    return shares.withColumns({"difference": F.col("share_after") - F.col("share_before"), "psi": psi})
+    shares = counted.select("category", a.alias("share_before"), b.alias("share_after")).withColumn("difference", F.col("share_after") - F.col("share_before"))
+    low, high = (F.when(F.col(c).isNotNull(), F.greatest(c, F.lit(floor))) for c in ("share_before", "share_after"))
+    return shares.withColumn("psi", (high - low) * F.log(high / low)).withColumn("total_psi", F.sum("psi").over(every))
 
 
 def numeric_drift(df: DataFrame, value: str, period: Column) -> DataFrame:

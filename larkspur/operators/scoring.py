@@ -24,11 +24,23 @@ def top_cases(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
 
 
 def fit_classifier(training: DataFrame, features: list[str], label: str, iterations: int = 20):
-    """A logistic regression pipeline (null features as their mean, scaled) fitted by Spark on the whole training set."""
+    """A logistic regression pipeline (null features as their mean, scaled) fitted by Spark on the whole training set.
+
+    Rows without a label are not learned from, and a feature without any value there is left out. Training rows of one class only, or none, are a
+    ValueError; so are features that are all without values.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 
+    training = training.where(F.col(label).isNotNull())
+    values = [F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"n{i}") for i, c in enumerate(features)]
+    seen = training.agg(F.min(label).alias("least"), F.max(label).alias("greatest"), *values).first()
+    if seen.least is None or seen.least == seen.greatest:
+        raise ValueError("the training rows lack one of the classes")
+    features = [c for i, c in enumerate(features) if seen[f"n{i}"]]
+    if not features:
+        raise ValueError("no feature has a value in the training rows")
     filled = [f"{c}_filled" for c in features]
     steps = [
         Imputer(inputCols=features, outputCols=filled),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larkspur import schemas
 from larkspur.functions import features, projections
-from larkspur.operators import enrichment, history, integrity, quality, replay, reports, scoring, sketches, split, temporal, trailing
+from larkspur.operators import calibration, enrichment, history, integrity, quality, replay, reports, rolling, scoring, sketches, split, temporal, trailing
 from larkspur.operators import label_upsert as label_upsert_table
 from larkspur.operators.rules import DROP, FAIL, Rule, contract_rules, load_contract, load_rules, with_action
 from larkspur.plans import medallion, views
@@ -816,9 +816,10 @@ def overall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(
-    """SELECT category, share_before, share_after, share_after - share_before AS difference, CASE WHEN share_before > 0 AND share_after > 0 THEN (share_after - share_before) * ln(share_after / share_before) END AS psi FROM (
+    """SELECT *, sum(psi) OVER () AS total_psi FROM (SELECT category, share_before, share_after, share_after - share_before AS difference,
+  (greatest(share_after, 0.0001) - greatest(share_before, 0.0001)) * ln(greatest(share_after, 0.0001) / greatest(share_before, 0.0001)) AS psi FROM (
   SELECT o_orderpriority AS category, count(*) FILTER (o_orderdate < TIMESTAMP '2000-01-01') / sum(count(*) FILTER (o_orderdate < TIMESTAMP '2000-01-01')) OVER () AS share_before,
-    count(*) FILTER (o_orderdate >= TIMESTAMP '2000-01-01') / sum(count(*) FILTER (o_orderdate >= TIMESTAMP '2000-01-01')) OVER () AS share_after FROM orders GROUP BY 1)"""
+    count(*) FILTER (o_orderdate >= TIMESTAMP '2000-01-01') / sum(count(*) FILTER (o_orderdate >= TIMESTAMP '2000-01-01')) OVER () AS share_after FROM orders GROUP BY 1))"""
 )
 def category_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.category_drift(views.table(spark, sf_dir, "orders"), "o_orderpriority", F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp"))
@@ -999,11 +1000,15 @@ def fit_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_cases(model, rows).select("source_key", "score")
 
 
+def _claims_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = views.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("claim_id")).agg(F.count("*").alias("n_items"))
+    return views.claims(spark, sf_dir).join(views.labels(spark, sf_dir), "claim_id").join(items, "claim_id")
+
+
 @registered(with_views("SELECT true AS better, count(*) AS n_tested FROM claims c JOIN claim_labels l ON c.claim_id = l.claim_id WHERE c.source_key % 5 = 0", "claims", "claim_labels"))
 def classifier_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a classifier fitted on four fifths of the labelled claims has less log loss on the others than their base rate has."""
-    items = views.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("claim_id")).agg(F.count("*").alias("n_items"))
-    rows = views.claims(spark, sf_dir).join(views.labels(spark, sf_dir), "claim_id").join(items, "claim_id")
+    rows = _claims_with_items(spark, sf_dir)
     test = F.col("source_key") % 5 == 0
     model = scoring.fit_classifier(rows.where(~test), ["claimed_amount_eur", "days_to_report", "n_parties_involved", "n_items"], "is_fraud")
     base = rows.where(~test).agg(F.avg("is_fraud").alias("base"))
@@ -1015,6 +1020,48 @@ def classifier_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.agg(loss(F.col("score")).alias("own"), loss(F.col("base")).alias("constant"), F.count("*").alias("n_tested")).select((F.col("own") < F.col("constant")).alias("better"), "n_tested")
 
 
+_ORIGINS = [f"2000-{month:02d}-01 00:00:00" for month in range(1, 13)]
+_LABELLED_CLAIMS = "SELECT c.timestamp, l.is_fraud, l.label_available_date FROM claims c JOIN claim_labels l ON c.claim_id = l.claim_id WHERE c.timestamp IS NOT NULL"
+
+
+@registered(
+    with_views(
+        f""", labelled AS ({_LABELLED_CLAIMS}), origins AS (SELECT unnest([{", ".join(f"TIMESTAMP '{o}'" for o in _ORIGINS)}]) AS origin),
+dealt AS (SELECT origin, is_fraud, CASE WHEN timestamp <= origin AND label_available_date <= origin THEN 'train' WHEN timestamp > origin AND timestamp <= origin + INTERVAL 1 MONTH THEN 'calibrate'
+  WHEN timestamp > origin + INTERVAL 1 MONTH AND timestamp <= origin + INTERVAL 2 MONTH THEN 'test' END AS role FROM labelled, origins)
+SELECT origin, role, count(*) AS n, count(*) FILTER (is_fraud = 1) AS n_positive FROM dealt WHERE role IS NOT NULL GROUP BY 1, 2""",
+        "claims", "claim_labels",
+    ).replace("\n, labelled", ",\nlabelled")
+)
+def rolling_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training, calibration and test rows of every origin, dealt by one scan."""
+    rows = views.claims(spark, sf_dir).join(views.labels(spark, sf_dir), "claim_id")
+    return rolling.role_counts(rolling.origin_roles(rows, _ORIGINS, "timestamp", "label_available_date", "is_fraud"), "is_fraud")
+
+
+@registered()
+def rolling_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log loss of the base rate, of a model and of the calibrated model on the second month after each origin (no SQL twin: iterative)."""
+    return rolling.evaluate_origins(_claims_with_items(spark, sf_dir), _ORIGINS, ["claimed_amount_eur", "days_to_report", "n_parties_involved", "n_items"], "is_fraud", "timestamp", "label_available_date")
+
+
+@registered(
+    with_views(
+        """, g AS (SELECT c.injury_level, CAST(c.days_to_report AS DOUBLE) AS score, count(*) FILTER (l.is_fraud = 1) AS p, count(*) FILTER (l.is_fraud <> 1) AS n
+  FROM claims c JOIN claim_labels l ON c.claim_id = l.claim_id WHERE c.days_to_report IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT *, sum(p) OVER w AS sp, sum(n) OVER w AS sn, row_number() OVER w AS i FROM g WINDOW w AS (PARTITION BY injury_level ORDER BY score)),
+spans AS (SELECT a.injury_level, a.i AS j, b.i AS k, (b.sp - a.sp + a.p) / (b.sp - a.sp + a.p + b.sn - a.sn + a.n) AS mean FROM s a JOIN s b ON a.injury_level = b.injury_level AND b.i >= a.i),
+least AS (SELECT injury_level, j, k, min(mean) OVER (PARTITION BY injury_level, j ORDER BY k DESC) AS low FROM spans)
+SELECT s.injury_level, s.score AS days_to_report, s.p, s.n, max(least.low) AS rate FROM s JOIN least ON s.injury_level = least.injury_level AND least.k = s.i GROUP BY 1, 2, 3, 4""",
+        "claims", "claim_labels",
+    ).replace("\n, g AS", ",\ng AS")
+)
+def isotonic_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-decreasing fraud rate by days to report that fits best, by injury level; the twin takes the max-min form of the same fit."""
+    counts = calibration.score_counts(views.claims(spark, sf_dir).join(views.labels(spark, sf_dir), "claim_id"), "injury_level", "days_to_report", _is_fraud())
+    return calibration.with_rate(counts, calibration.isotonic_blocks(counts)).withColumnsRenamed({"key": "injury_level", "score": "days_to_report"})
+
+
 # ---------------------------------------------------------------- streams with rules and joins
 
 _LANDED_CLAIMS = "claim_id long, policy_id long, timestamp timestamp, claimed_amount_eur double, days_to_report int, n_parties_involved int, claim_channel string, injury_level string, telematics_anomaly int, source_key long"

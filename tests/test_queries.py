@@ -19,7 +19,7 @@ def test_equals_duckdb(spark, small_dir, con, name):
 def test_queries_without_twin(spark, small_dir):
     scored = catalogue.fit_classifier(spark, small_dir).collect()
     assert scored and all(0 <= r.score <= 1 for r in scored)
-    assert set(catalogue.QUERIES) - set(catalogue.ORACLES) == {"fit_classifier"}
+    assert set(catalogue.QUERIES) - set(catalogue.ORACLES) == {"fit_classifier", "rolling_evaluation"}
 
 
 def test_classifier_scores_claims_without_timestamp(spark, small_dir):
