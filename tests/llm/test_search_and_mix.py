@@ -42,10 +42,33 @@ def test_url_rules_against_brute_force(spark):
     for i, u in enumerate(urls):
         host, path = brute_parse(u)
         want[i] = (host, path, *brute_rule(host, path, rules))
-    for limit in (urlrules.MAX_SWEPT, 3):  # swept, joined
-        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlrules.judge(pages, table, max_swept=limit).collect()}
+    for limit in (urlrules.MAX_BROADCAST, 3):  # swept by partitions, by ranges
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlrules.judge(pages, table, max_broadcast=limit).collect()}
         assert got == want
-    assert urlrules.judge(pages.limit(0), table).count() == 0
+        assert urlrules.judge(pages.limit(0), table, max_broadcast=limit).count() == 0
+        assert {r.verdict for r in urlrules.judge(pages, table.limit(0), max_broadcast=limit).collect()} == {urlrules.DEFAULT}
+
+
+def test_many_rules_are_swept_by_ranges(spark):
+    """More rules than are broadcast, a host with a third of the pages, rules that lie open over many ranges, ids beyond 2^53 and null ones."""
+    rng = random.Random(12)
+    rules = {(f"h{i}.d{i % 977}.net", "/" + "x/" * (i % 3)): ("allow", "block")[i % 2] for i in range(200_000)}
+    rules |= {("net", "/"): "block", ("d5.net", "/x/"): "allow", ("org", ""): "allow", ("hot.org", "/x/x/"): "block"}
+    base = 1 << 60
+    pages = []
+    for i in range(3000):
+        host = "www.hot.org" if i % 3 == 0 else f"{rng.choice(['', 'www.'])}h{(k := rng.randrange(200_500))}.d{k % 977}.net"
+        pages.append((base + i, f"https://{host}/{'x/' * rng.randrange(4)}"))
+    table = spark.createDataFrame([(v, h, p) for (h, p), v in rules.items()], "verdict string, host string, path string")
+    got = urlrules.judge(spark.createDataFrame([*pages, (None, "https://www.hot.org/x/x/x")], "page_id long, url string"), table)
+    assert "urlrules" in str(got.inputFiles())  # the form by ranges
+    got = {r.page_id: (r.rule, r.verdict) for r in got.collect()}
+    assert got.pop(None) == ("hot.org/x/x/", "block") and len(got) == 3000
+    for i, url in pages:
+        host, path = brute_parse(url)
+        labels = host.split(".")
+        fits = [(h, path[:n]) for j in range(len(labels)) for h in [".".join(labels[j:])] for n in range(len(path), -1, -1) if (h, path[:n]) in rules]
+        assert got[i] == (("".join(fits[0]), rules[fits[0]]) if fits else (None, urlrules.DEFAULT))
 
 
 def test_one_sweep_over_all_batches(spark):
