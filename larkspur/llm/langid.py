@@ -5,8 +5,9 @@ Every labelled training text is counted whole, on the executors: a task adds up
 a size that does not grow with the rows) is broadcast, and each batch is scored with numpy: gather and segment sums.
 
 A broadcast matrix holds ``BLOCK`` languages at most (64 MB). More languages make several blocks, which are scored one after
-the other; best score and sum of likelihoods go from block to block, so the result is that of one matrix. Names of languages are held
-by the driver, so more than ``MAX_LANGUAGES`` different values of lang are refused.
+the other; best score and sum of likelihoods go from block to block, so the result is that of one matrix. Counts stay in a table, from which
+the driver reads one block at a time, so its memory does not grow with the number of languages; each block but the last costs a
+written table of the rows, of which the last one stays.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; so is everything if no language was learned.
 Rows without lang are not learned from; a null doc_id counts as held out. Long texts are scored in overlapping pieces whose
@@ -17,16 +18,16 @@ ignored, and an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.scratch import Tables, sliced, small_batches, written
+from larkspur.llm.scratch import Tables, sliced, small_batches
 from larkspur.llm.toxicity import held_out
 
 BUCKETS, MAX_N = 1 << 15, 3
@@ -34,7 +35,7 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 _PIECE = 1 << 18  # characters worked on at once
 _MANY = 64  # languages a task holds vectors for before it passes them on, or the driver collects at once
-BLOCK, MAX_LANGUAGES = 512, 100_000
+BLOCK = 512
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -146,8 +147,54 @@ class NaiveBayes:
         return totals
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[NaiveBayes]:
-    """Count all labelled texts outside the held-out fold; the model in blocks of languages."""
+class Blocks:
+    """A model of any number of languages: a sequence of blocks in order of name, each read from the table of counts when it is asked for.
+
+    The table has lang, bucket, n and slice; ``width`` languages are a slice, a folder of its own. Bucket -1 has a language's documents.
+    """
+
+    def __init__(self, counted: DataFrame, languages: int, documents: int, width: int) -> None:
+        self.counted, self.documents, self.width = counted, documents, width
+        self.slices, self.together = -(-languages // width), max(BLOCK // width, 1)
+
+    def __len__(self) -> int:
+        return -(-self.slices // self.together)
+
+    def __getitem__(self, k: int) -> NaiveBayes:
+        if not 0 <= k < len(self):
+            raise IndexError(k)
+        names, seen, rows = [], [], []
+        for at in range(k * self.together, min((k + 1) * self.together, self.slices)):
+            grouped = self.counted.where(F.col("slice") == at).groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+            for r in sorted(grouped.collect()):  # at most ``width`` languages, with at most BUCKETS + 1 pairs each
+                counts = np.zeros(BUCKETS + 1)
+                counts[r["at"]] = r["n"]  # -1: the last
+                names.append(r.lang)
+                seen.append(counts[-1])
+                rows.append(np.log((counts[:-1] + SMOOTHING) / (counts[:-1].sum() + SMOOTHING * BUCKETS)).astype(np.float32))
+        return NaiveBayes(names, np.stack(rows), np.log(np.array(seen) / self.documents))
+
+
+def _in_slices(counted: DataFrame, tables: Tables, width: int) -> Blocks:
+    """The counts in a folder for each ``width`` languages, which are numbered in order of name: inside ranges, then by the ranges before."""
+    spark = counted.sparkSession
+    ranged = counted.where("bucket < 0").select("lang", "n").repartitionByRange("lang").withColumn("part", F.spark_partition_id())
+    names = tables.written(ranged, "names")
+    offsets, total, documents = [], 0, 0
+    for r in sorted(names.groupBy("part").agg(F.count("*").alias("languages"), F.sum("n").alias("documents")).collect()):  # a row for each range
+        offsets.append((r.part, total))
+        total, documents = total + r.languages, documents + r.documents
+    before = F.broadcast(spark.createDataFrame(offsets, "part int, before long"))
+    number = F.row_number().over(Window.partitionBy("part").orderBy("lang")) - 1 + F.col("before")
+    numbered = names.join(before, "part").select("lang", F.floor(number / width).cast("int").alias("slice"))
+    path = f"{tables.base}/slices"
+    counted.join(numbered, "lang").repartition("slice").write.partitionBy("slice").parquet(path)
+    tables.drop(names)
+    return Blocks(spark.read.schema("lang string, bucket int, n long, slice int").parquet(path), total, documents, width)
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Sequence[NaiveBayes]:
+    """Count all labelled texts outside the held-out fold; the model in blocks of languages, the only one of which is held already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -184,42 +231,35 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counted = labelled.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     tables = Tables(docs.sparkSession, "langid")
     counted = tables.written(counted, "counts")
-    found = counted.where("bucket < 0").select("lang", "n").limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    seen = dict(sorted((r.lang, r.n) for r in found))
-    languages, documents = list(seen), sum(seen.values())
-    blocks = []
-    for lo in range(0, len(languages), BLOCK):
-        names = languages[lo : lo + BLOCK]
-        log_prob = np.empty((len(names), BUCKETS), np.float32)
-        for at in range(0, len(names), _MANY):
-            some = names[at : at + _MANY]
-            part = counted.where((F.col("bucket") >= 0) & F.col("lang").isin(some)).groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
-            got = {r.lang: (r["at"], r["n"]) for r in part.collect()}  # at most BUCKETS pairs a language
-            for k, name in enumerate(some, at):
-                counts = np.zeros(BUCKETS)
-                if name in got:
-                    counts[got[name][0]] = got[name][1]
-                log_prob[k] = np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * BUCKETS))
-        blocks.append(NaiveBayes(names, log_prob, np.log(np.array([seen[x] for x in names]) / documents)))
+    model = _in_slices(counted, tables, min(_MANY, BLOCK))
+    tables.drop(counted)
+    if len(model) > 1:
+        return model
+    held = list(model)
     tables.clear()
-    return blocks
+    return held
 
 
 _FOUND = "lang string, top double, total double"
 _EMPTY = NaiveBayes([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
 
 
-def _with_best(docs: DataFrame, model: list[NaiveBayes], text_col: str, shown: str | None) -> DataFrame:
+def _with_best(docs: DataFrame, model: Sequence[NaiveBayes], text_col: str, shown: str | None) -> DataFrame:
     """doc (a struct of all columns of ``docs``, or only column ``shown``) with lang, top and total over all blocks.
 
-    Each block but the last leaves a written table.
+    Each block but the last is a written table, which goes once the next one is there.
     """
     rows = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     where, out = docs.columns.index(text_col), None if shown is None else docs.columns.index(shown)
     whole = docs.schema.simpleString()
+    tables, earlier, shared = Tables(docs.sparkSession, "langid-blocks"), None, None
     for k, block in enumerate(model or [_EMPTY]):
+        if k:
+            rows = tables.written(rows, "block")
+            shared.destroy()
+            if earlier is not None:
+                tables.drop(earlier)
+            earlier = rows
         shared = rows.sparkSession.sparkContext.broadcast(block)
         last = k == max(len(model), 1) - 1
         part = out if last else None
@@ -233,11 +273,11 @@ def _with_best(docs: DataFrame, model: list[NaiveBayes], text_col: str, shown: s
                 yield pa.RecordBatch.from_arrays([doc if part is None else pc.struct_field(doc, [part]), pa.array(lang, pa.string()), pa.array(top, pa.float64()), pa.array(total, pa.float64())], ["doc", "lang", "top", "total"])
 
         kind = whole if part is None else docs.schema.fields[part].dataType.simpleString()
-        rows = (rows if k == 0 else written(rows, "langid-block")).mapInArrow(run, f"doc {kind}, {_FOUND}")
+        rows = rows.mapInArrow(run, f"doc {kind}, {_FOUND}")
     return rows
 
 
-def identify(docs: DataFrame, model: list[NaiveBayes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Sequence[NaiveBayes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score (posterior of that language) of every row; no shuffle."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = _with_best(narrow, model, "text", "doc_id")
@@ -245,7 +285,7 @@ def identify(docs: DataFrame, model: list[NaiveBayes], id_col: str = "doc_id", t
     return found.select(F.col("doc").alias("doc_id"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"))
 
 
-def kept(docs: DataFrame, model: list[NaiveBayes], least: float = 0.5, text_col: str = "text") -> DataFrame:
+def kept(docs: DataFrame, model: Sequence[NaiveBayes], least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a language of posterior ``least`` or more, with all their columns (one struct on the way)."""
     found = _with_best(docs, model, text_col, None)
     return found.where(F.col("lang").isNotNull() & (F.exp(F.col("top") - F.col("total")) >= least)).select("doc.*")

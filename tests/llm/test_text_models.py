@@ -267,10 +267,30 @@ def test_language_model_against_brute_force(spark, monkeypatch, block):
     assert tied.lang_pred == "tie_a" and abs(tied.score - 0.5) < 1e-6
 
 
-def test_too_many_languages_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
-    with pytest.raises(ValueError, match="languages"):
-        langid.train(spark.createDataFrame([(i, "ab", f"l{i}") for i in range(20)], "doc_id long, text string, lang string"))
+def test_thousands_of_languages_in_bounded_driver_memory(spark):
+    """Ten blocks: results equal brute force, and the driver holds one block."""
+    import tracemalloc
+
+    rows = [(i, f"w{i % 5000} {chr(0x4E00 + i % 5000)}{'ab' * (i % 3)}", f"l{i % 5000:04}") for i in range(10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tracemalloc.start()
+    try:
+        model = langid.train(docs)
+        asked = docs.where("doc_id % 97 = 0")
+        got = {r.doc_id: r for r in langid.identify(asked, model).collect()}
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    brute = brute_model(rows)
+    assert len(model) == -(-len(brute) // langid.BLOCK) and len(model) > 8
+    assert peak < 4 * langid.BLOCK * langid.BUCKETS * 4  # of all blocks it would be more than 8 times one
+    documents, sums = sum(n for n, _ in brute.values()), {k: sum(c.values()) + langid.SMOOTHING * langid.BUCKETS for k, (_, c) in brute.items()}
+    for i in list(got)[::10]:
+        grams = [brute_bucket(g) for g in brute_grams(rows[i][1])]
+        scores = {k: np.log(n / documents) + sum(np.log((c.get(b, 0) + langid.SMOOTHING) / sums[k]) for b in grams) for k, (n, c) in brute.items()}
+        high = max(scores.values())
+        assert scores[got[i].lang_pred] > high - 1e-4
+        assert abs(got[i].score - 1 / sum(np.exp(s - high) for s in scores.values())) < 1e-4
 
 
 def test_language_pieces_sum_exactly():
