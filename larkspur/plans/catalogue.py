@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,7 +13,7 @@ from larkspur import schemas
 from larkspur.functions import features, projections
 from larkspur.operators import calibration, enrichment, history, integrity, quality, replay, reports, rolling, scoring, sketches, split, temporal, trailing
 from larkspur.operators import label_upsert as label_upsert_table
-from larkspur.operators.rules import DROP, FAIL, Rule, contract_rules, load_contract, load_rules, with_action
+from larkspur.operators.rules import DROP, FAIL, Rule, contract_rules, load_all_rules, load_contract, load_rules, with_action
 from larkspur.plans import medallion, views
 from larkspur.plans.views import with_views
 from larkspur.sources import evolving, readers, writers
@@ -309,6 +310,35 @@ def dq_cross_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CONTRACT = load_contract(current_year=2015)
 
 
+# Names repeat between the sets, so rules are numbered in the order of the sets.
+_ALL_RULES = [replace(r, name=f"{i:02}_{r.name}") for i, r in enumerate(load_all_rules(), 1)]
+
+
+@registered(
+    with_views(
+        """, facts AS (SELECT c.*, s.* EXCLUDE (policy_id), l.is_fraud, l.label_available_date, CAST(coalesce(c.body_shop_id % 8 = 0, false) AS INTEGER) AS is_high_risk_body_shop,
+  CAST(c.timestamp AS DATE) AS event_date, year(c.timestamp) AS event_year, month(c.timestamp) AS event_month, """
+        + _DELAY
+        + """ AS label_delay_days
+  FROM claims c LEFT JOIN started s ON c.policy_id = s.policy_id LEFT JOIN claim_labels l ON c.claim_id = l.claim_id)
+"""
+        + " UNION ALL ".join(
+            f"SELECT '{r.name}' AS rule, '{r.action}' AS action, count(*) FILTER ({r.constraint}) AS n_pass, count(*) FILTER (NOT ({r.constraint})) AS n_fail, count(*) FILTER (({r.constraint}) IS NULL) AS n_null FROM facts" for r in _ALL_RULES
+        ),
+        "claims", "policies", "started", "claim_labels",
+    ).replace("\n, facts AS", ",\nfacts AS")
+)
+def dq_all_rule_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every rule of every set, from one aggregation over claims with all policy, label and derived columns."""
+    claims = views.claims(spark, sf_dir)
+    risky = claims.where("body_shop_id % 8 = 0").select("body_shop_id")
+    rows = enrichment.apply_reference_tables(claims, {"high_risk_bodyshops": risky}, _CONTRACT["reference_tables"])
+    rows = enrichment.attach_labels(enrichment.enrich(rows, views.started_policies(spark, sf_dir)), views.labels(spark, sf_dir))
+    rows = features.calendar_features(rows).withColumn("label_delay_days", features.label_delay("label_available_date", "timestamp"))
+    actions = spark.createDataFrame([(r.name, r.action) for r in _ALL_RULES], "rule string, action string")
+    return quality.rule_metrics(rows, _ALL_RULES).join(F.broadcast(actions), "rule").select("rule", "action", "n_pass", "n_fail", "n_null")
+
+
 @registered(
     with_views(
         """SELECT 'claims' AS error_source_table, count(*) AS n FROM claims c WHERE NOT EXISTS (SELECT 1 FROM policies p WHERE p.policy_id = c.policy_id AND p.annual_premium_eur > 0)
