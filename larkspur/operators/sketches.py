@@ -7,10 +7,14 @@ without a time are month null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from fractions import Fraction
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.reports import cost_curve
+from larkspur.sources.workdir import new_dir
 
 K, GRID, FLOOR = 800, 500, 1e-4
 
@@ -61,11 +65,44 @@ def sketch_drift(sketches: DataFrame, later: Column, bins: int = 10) -> DataFram
     return found.unionByName(rest, allowMissingColumns=True)
 
 
-def exact_percentiles(df: DataFrame, value: str, period: Column, probabilities: list[float]) -> DataFrame:
-    """period, n and percentiles (an array, interpolated) of all values; they are counted by value first."""
+def _between(low, high, share):
+    """``low`` and ``high`` mixed by ``share``, with the product of ``low`` added before it is rounded, as DuckDB's quantile_cont does."""
+    if low is None or low == high:
+        return low
+    rest = high * share
+    if not (math.isfinite(low) and math.isfinite(rest)):
+        return low * (1.0 - share) + rest if share else low
+    return float(Fraction(low) * Fraction(1.0 - share) + Fraction(rest))
+
+
+def exact_percentiles(df: DataFrame, value: str, period: Column, probabilities: list[float], parts: int | None = None) -> DataFrame:
+    """period, n and percentiles (an array, interpolated) of all values, to the last bit those of DuckDB's quantile_cont.
+
+    Values are counted first, and the counts stored in ranges of period and value (``parts``, else as many as the session's shuffle partitions). A count's place
+    is its running sum inside a range and what the period's earlier ranges hold, so no task holds a whole period.
+    """
+    spark = df.sparkSession
+    ranges = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     number = F.nanvl(F.col(value).cast("double"), F.lit(None))
     counted = df.select(period.alias("period"), number.alias("v")).where("v is not null").groupBy("period", "v").agg(F.count("*").alias("c"))
-    return counted.groupBy("period").agg(F.sum("c").alias("n"), F.percentile("v", F.array(*map(F.lit, probabilities)), F.col("c")).alias("percentiles"))
+    dealt = counted.repartitionByRange(ranges, "period", "v").withColumn("part", F.spark_partition_id())
+    path = new_dir(spark, "percentiles")
+    dealt.write.parquet(path)
+    stored = spark.read.schema(dealt.schema).parquet(path)
+    of_period = Window.partitionBy("_period")
+    sums = stored.groupBy(F.col("period").alias("_period"), F.col("part").alias("_part")).agg(F.sum("c").alias("_c"))
+    carried = sums.select("_period", "_part", F.sum("_c").over(of_period).alias("n"), (F.sum("_c").over(of_period.orderBy("_part")) - F.col("_c")).alias("_before"))
+    placed = stored.join(carried, F.col("period").eqNullSafe(F.col("_period")) & (F.col("part") == F.col("_part")))
+    until = F.col("_before") + F.sum("c").over(Window.partitionBy("part", "period").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = placed.select("period", "v", "n", until.alias("until"))
+    ends = []
+    for i, p in enumerate(probabilities):
+        at = (F.col("n") - 1) * F.lit(float(p))
+        ends += [F.min(F.when(F.col("until") > F.floor(at), F.col("v"))).alias(f"low{i}"), F.min(F.when(F.col("until") > F.ceil(at), F.col("v"))).alias(f"high{i}")]
+    found = placed.groupBy("period", "n").agg(*ends)
+    between = F.udf(_between, "double")
+    mixed = [between(f"low{i}", f"high{i}", (F.col("n") - 1) * F.lit(float(p)) - F.floor((F.col("n") - 1) * F.lit(float(p)))) for i, p in enumerate(probabilities)]
+    return found.select("period", "n", F.array(*mixed).alias("percentiles"))  # a row for each period
 
 
 def exact_ks(df: DataFrame, value: str, later: Column) -> DataFrame:
