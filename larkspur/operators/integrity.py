@@ -83,15 +83,15 @@ def mark_repeated(df: DataFrame, columns: list[str], name: str = "_repeated", sa
 def unique_key(df: DataFrame, key: str, order_by: list[str] | None = None, salts: int = 64) -> Matched:
     """First row of each key (matched) and its repetitions (orphans), so that a join on the key cannot multiply rows.
 
-    Rows with a null key are all kept. Only keys that occur more than once are sorted, so the usual unique key costs one count.
-    A hot key is sorted in ``salts`` parts, whose first rows are then compared.
+    Rows with a null key are all kept. Rows are numbered in ``salts`` parts of each key and then the first rows of the parts; both steps deal rows by key
+    and part, so a task holds one sort of its own share, whatever a key repeats.
     """
-    repeated = df.groupBy(key).count().where(F.col("count") > 1).where(F.col(key).isNotNull()).select(F.col(key).alias("_again"))
-    single = df.join(repeated, df[key] == F.col("_again"), "left_anti")
-    several = df.join(repeated, df[key] == F.col("_again"), "left_semi").withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
     order = [F.col(c) for c in (order_by or df.columns)]
-    part = several.withColumn("_place", F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*order)))
-    heads = part.where("_place = 1").withColumn("_head", F.row_number().over(Window.partitionBy(key).orderBy(*order, "_salt")))
-    first = heads.where("_head = 1").drop("_salt", "_place", "_head")
-    again = part.where("_place > 1").drop("_salt", "_place").unionByName(heads.where("_head > 1").drop("_salt", "_place", "_head"))
-    return Matched(single.unionByName(first), again)
+    keyed = df.where(F.col(key).isNotNull()).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    part = keyed.withColumn("_place", F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*order)))
+    heads = part.withColumn("_group", F.when(F.col("_place") == 1, -1).otherwise(F.col("_salt")))
+    nth = F.row_number().over(Window.partitionBy(key, "_group").orderBy(*order, "_salt"))
+    placed = heads.withColumn("_nth", nth)
+    again = (F.col("_place") > 1) | (F.col("_nth") > 1)
+    first, repeated = (placed.where(w).drop("_salt", "_place", "_group", "_nth") for w in (~again, again))
+    return Matched(first.unionByName(df.where(F.col(key).isNull())), repeated)

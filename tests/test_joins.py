@@ -29,6 +29,21 @@ def test_unique_key(spark):
     assert rows_of(split.orphans) == [(1, 5)]
 
 
+def test_unique_key_deals_a_hot_key(spark):
+    """One row of each key stays, and no shuffle brings all rows of a key together."""
+    rng = random.Random(5)
+    data = [(rng.choice([1, 1, 1, 1, 2, 3, None]), rng.randrange(40), rng.choice("ab")) for _ in range(400)]
+    split = integrity.unique_key(spark.createDataFrame(data, "k int, o int, v string"), "k", ["o"], salts=4)
+    matched, orphans = rows_of(split.matched), rows_of(split.orphans)
+    assert sorted(matched + orphans, key=repr) == sorted(data, key=repr)
+    assert [r for r in matched if r[0] is None] == sorted((r for r in data if r[0] is None), key=repr)
+    assert {r[:2] for r in matched if r[0]} == {(k, min(o for x, o, _ in data if x == k)) for k in (1, 2, 3)}
+    assert len([r for r in matched if r[0]]) == 3
+    plan = split.orphans._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert shuffles and all("_salt" in line or "_group" in line for line in shuffles)
+
+
 def test_enrich_drops_audit_columns_and_prefixes_clashes(spark):
     claims = spark.createDataFrame([(1, 7, "s", "x")], "claim_id int, policy_id int, source_file string, note string")
     policies = spark.createDataFrame([(7, "p", "y", 3)], "policy_id int, source_file string, note string, age int")
