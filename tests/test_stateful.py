@@ -80,3 +80,25 @@ def test_ties_need_an_order(spark, tmp_path):
     events, versions = spark.createDataFrame([], EVENT), spark.createDataFrame([], VERSION)
     with pytest.raises(ValueError):
         stateful.stream_as_of(events, versions, "k", "t", "since", tie="note")
+
+
+def test_keys_share_groups(spark, tmp_path):
+    """Calls to the state store do not grow with keys: 300 keys in 3 x 2 groups, whole numbers of 19 digits kept."""
+    big = 2**62
+    events = [(i, f"k{i % 300}", START + dt.timedelta(hours=i % 7), 1.0) for i in range(600)]
+    versions = [(f"k{i % 300}", START + dt.timedelta(hours=i % 5), big + i, None) for i in range(900)]
+    kind = VERSION.replace("version int", "version long")
+    end = START + dt.timedelta(days=400)
+    for n, (e, v) in enumerate(((events, versions), ([(-1, "end", end, None)], [("end", end, -1, None)]))):
+        spark.createDataFrame(e, EVENT).write.mode("append").parquet(str(tmp_path / "e"))
+        spark.createDataFrame(v, kind).write.mode("append").parquet(str(tmp_path / "v"))
+        source = [spark.readStream.schema(s).parquet(str(tmp_path / x)) for x, s in (("e", EVENT), ("v", kind))]
+        joined = stateful.stream_as_of(*source, "k", "t", "since", tie="version", salts=2, buckets=3)
+        with stateful.rocksdb_state(spark):
+            query = stream_append(joined, str(tmp_path / "out"), str(tmp_path / "p"))
+            streams.run_streams([query], timeout=240)
+        if n == 0:
+            groups = max(p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress)
+            assert 0 < groups <= 6
+    batch = as_of_join(spark.createDataFrame(events, EVENT), spark.createDataFrame(versions, kind), "k", "t", "since", tie="version")
+    assert rows_of(spark.read.schema(joined.schema).parquet(str(tmp_path / "out")).where("id >= 0")) == rows_of(batch)
