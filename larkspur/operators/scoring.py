@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.sources.workdir import new_dir
+
 
 def anomaly_flags(df: DataFrame, value: str, segment: str, limit: float = 3.0) -> DataFrame:
     """Adds z_score (by the segment's mean and sample deviation) and is_anomaly (0/1).
@@ -24,7 +26,8 @@ def top_cases(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
 
 
 def fit_classifier(training: DataFrame, features: list[str], label: str, iterations: int = 20):
-    """A logistic regression pipeline (null features as their mean, scaled) fitted by Spark on the whole training set.
+    """A logistic regression pipeline (null features as their mean, scaled) fitted by Spark on the whole training set, which is made once and stored: each
+    step passes over it.
 
     Rows without a label are not learned from, and a feature without any value there is left out. Training rows of one class only, or none, are a
     ValueError; so are features that are all without values.
@@ -33,7 +36,10 @@ def fit_classifier(training: DataFrame, features: list[str], label: str, iterati
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 
-    training = training.where(F.col(label).isNotNull())
+    narrow = training.where(F.col(label).isNotNull()).select(*dict.fromkeys([label, *features]))
+    path = new_dir(training.sparkSession, "training")
+    narrow.write.parquet(path)
+    training = training.sparkSession.read.schema(narrow.schema).parquet(path)
     values = [F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"n{i}") for i, c in enumerate(features)]
     seen = training.agg(F.min(label).alias("least"), F.max(label).alias("greatest"), *values).first()
     if seen.least is None or seen.least == seen.greatest:

@@ -6,7 +6,7 @@ Some expressions put in nulls, negative amounts, orphans and bad codes, so that
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLAIMS = [
@@ -58,9 +58,10 @@ def started_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policies(spark, sf_dir).join(starts.selectExpr("o_custkey AS policy_id", "CAST(first AS DATE) AS policy_start_date"), "policy_id", "left")
 
 
-def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labels(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """Labels by claim; ``more`` adds aggregates of the same lines."""
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("claim_id"))
-    return lines.agg(F.max(F.expr("CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END")).alias("is_fraud"), F.max("l_shipdate").alias("label_available_date"))
+    return lines.agg(F.max(F.expr("CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END")).alias("is_fraud"), F.max("l_shipdate").alias("label_available_date"), *more)
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,17 @@ def test_anomalies_need_spread(spark):
 def test_top_cases_break_ties_by_key(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, None), (4, 9.0)], "k int, s double")
     assert [r.k for r in scoring.top_cases(df, "s", "k", 3).collect()] == [4, 1, 2]
+
+
+def test_training_rows_are_made_once(spark):
+    """A fit passes over its rows several times; what makes them runs once."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def feature(n):
+        made.add(1)
+        return float(n % 7)
+
+    rows = spark.range(60).select(feature("id").alias("x"), (F.col("id") % 2).cast("int").alias("y"))
+    scoring.fit_classifier(rows, ["x"], "y")
+    assert made.value == 60
