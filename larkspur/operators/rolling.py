@@ -1,9 +1,9 @@
 """Rolling-origin evaluation: at each of several origins in time a model learns from the labels known then, is calibrated on the
 month that follows, and is judged on the month after that.
 
-One scan deals every row to the origins that use it. The models of all origins are fitted together: a Newton step is one aggregation
-by origin, in which a task sends one row of sums for each origin, and only those rows reach the driver. Its cost grows with origins times the square
-of features, both of them parameters.
+Training rows are stored once, each with the range of origins that train on it; only the rows of the months after an origin are dealt out. The
+models of all origins are fitted together: a Newton step is one pass over the stored rows, in which a task sends one row of sums for each origin, and
+only their totals reach the driver. Its cost grows with origins times the square of features, both of them parameters.
 
 Rows without a time, a label or the time it became available have no role. Null, NaN and infinite features count as their
 origin's mean; a feature without spread has no weight. An origin without training rows of both classes has no model: its scores, and the
@@ -13,9 +13,11 @@ losses that follow from them, are null.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,51 +80,109 @@ def _with_margin(rows: DataFrame, models: dict, features: list[str]) -> DataFram
     return joined.withColumns(z).withColumn("_margin", margin)
 
 
+def _training_rows(rows: DataFrame, low: Column, high: Column, features: list[str], label: str) -> DataFrame:
+    """_lo and _hi (first and last place in the sorted origins that train on a row), _y and the features x0, x1, ... as finite numbers or null."""
+    named = [_number(f).alias(f"x{j}") for j, f in enumerate(features)]
+    return rows.select(low.cast("int").alias("_lo"), high.cast("int").alias("_hi"), (F.col(label) == 1).cast("double").alias("_y"), *named)
+
+
+def _place(times: list, at: Column) -> Column:
+    """How many of the sorted ``times`` lie before ``at``."""
+    return sum((F.when(at > F.lit(t), 1).otherwise(0) for t in times), F.lit(0))
+
+
 def fit_origins(roles: DataFrame, features: list[str], label: str, ridge: float = 0.01, steps: int = 25, tolerance: float = 1e-8) -> dict:
     """A model for each origin (by its timestamp) that has training rows of both classes.
 
     Minimised is the mean log loss plus ``ridge / 2`` times the squared weights, the intercept's left out, by Newton's method. A step
     that raises it is halved. All origins share a pass over the rows; passes end once no weight moves by ``tolerance``.
     """
-    d = len(features)
-    train = roles.where(F.col("role") == TRAIN).select("origin", (F.col(label) == 1).cast("double").alias("_y"), *features)
+    train = roles.where(F.col("role") == TRAIN)
+    times = sorted(r.origin for r in train.select("origin").distinct().collect())  # a row for each origin
+    place = _place(times, F.col("origin"))
+    return _fit(_training_rows(train, place, place, features, label), times, len(features), ridge, steps, tolerance)[0]
+
+
+def _fit(train: DataFrame, times: list, d: int, ridge: float = 0.01, steps: int = 25, tolerance: float = 1e-8) -> tuple[dict, dict]:
+    """The models of :func:`fit_origins` and the number of training rows, both by origin, from rows of :func:`_training_rows`."""
     sums = [F.count("*").alias("n"), F.sum("_y").alias("p")]
-    for j, f in enumerate(features):
-        sums += [F.avg(_number(f)).alias(f"m{j}"), F.stddev_pop(_number(f)).alias(f"d{j}")]
-    models = {}
-    for r in train.groupBy("origin").agg(*sums).collect():  # a row for each origin
-        if 0 < r.p < r.n:
+    for j in range(d):
+        x = f"x{j}"
+        sums += [F.count(x).alias(f"c{j}"), F.avg(x).alias(f"m{j}"), F.var_pop(x).alias(f"v{j}"), F.min(x).alias(f"a{j}"), F.max(x).alias(f"b{j}")]
+    groups = train.groupBy("_lo", "_hi").agg(*sums).collect()  # at most a row for each pair of origins
+    models, sizes = {}, {}
+    for k, at in enumerate(times):
+        mine = [r for r in groups if r["_lo"] <= k <= r["_hi"]]
+        n, p = sum(r.n for r in mine), sum(r.p for r in mine)
+        sizes[at] = n
+        if 0 < p < n:
             start = np.zeros(d + 1)
-            start[0] = math.log(r.p / (r.n - r.p))
-            models[r.origin] = OriginModel(r.n, [r[f"m{j}"] or 0.0 for j in range(d)], [r[f"d{j}"] or 0.0 for j in range(d)], start, r.p / r.n)
+            start[0] = math.log(p / (n - p))
+            moments = [_moments([r for r in mine if r[f"c{j}"]], j) for j in range(d)]
+            models[at] = OriginModel(n, [m for m, _ in moments], [s for _, s in moments], start, p / n)
     if not models:
-        return {}
+        return {}, sizes
     flat = np.append(0.0, np.full(d, ridge))
     step = {at: np.zeros(d + 1) for at in models}
     least = dict.fromkeys(models, math.inf)
-    z = [F.lit(1.0)] + [F.col(f"_z{j}") for j in range(d)]
     for _ in range(steps):
-        rows = _with_margin(train, models, features).withColumn("_p", 1 / (1 + F.exp(-F.col("_margin"))))
-        miss, spread = F.col("_p") - F.col("_y"), F.col("_p") * (1 - F.col("_p"))
-        # log(1 + e^m) - y m, for margins of any size
-        loss = F.greatest("_margin", F.lit(0.0)) + F.log1p(F.exp(-F.abs("_margin"))) - F.col("_y") * F.col("_margin")
-        sums = [F.sum(loss).alias("loss")] + [F.sum(miss * z[i]).alias(f"g{i}") for i in range(d + 1)]
-        sums += [F.sum(spread * z[i] * z[j]).alias(f"h{i}_{j}") for i in range(d + 1) for j in range(i + 1)]
-        for r in rows.groupBy("origin").agg(*sums).collect():  # a row for each origin
-            m = models[r.origin]
-            goal = r.loss / m.n + (flat * m.weights**2).sum() / 2
-            if goal > least[r.origin] + 1e-12:
-                step[r.origin] = step[r.origin] / 2
-                m.weights = m.weights - step[r.origin]
+        fitted = [(k, models[at].mean, models[at].deviation, models[at].weights) for k, at in enumerate(times) if at in models]
+        parts = train.mapInPandas(_newton_sums(fitted, d), "k int, s array<double>")  # a row for each task and origin
+        size = 1 + (d + 1) + (d + 1) * (d + 1)
+        for r in parts.groupBy("k").agg(*[F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(size)]).collect():  # a row for each origin
+            at, total = times[r.k], np.array(r[1:])
+            m = models[at]
+            goal = total[0] / m.n + (flat * m.weights**2).sum() / 2
+            if goal > least[at] + 1e-12:
+                step[at] = step[at] / 2
+                m.weights = m.weights - step[at]
                 continue
-            least[r.origin] = goal
-            gradient = np.array([r[f"g{i}"] for i in range(d + 1)]) / m.n + flat * m.weights
-            curve = np.array([[r[f"h{max(i, j)}_{min(i, j)}"] for j in range(d + 1)] for i in range(d + 1)]) / m.n + np.diag(flat + 1e-12)
-            step[r.origin] = -np.linalg.solve(curve, gradient)
-            m.weights = m.weights + step[r.origin]
+            least[at] = goal
+            gradient = total[1 : d + 2] / m.n + flat * m.weights
+            curve = total[d + 2 :].reshape(d + 1, d + 1) / m.n + np.diag(flat + 1e-12)
+            step[at] = -np.linalg.solve(curve, gradient)
+            m.weights = m.weights + step[at]
         if max(np.abs(s).max() for s in step.values()) < tolerance:
             break
-    return models
+    return models, sizes
+
+
+def _moments(groups: list, j: int) -> tuple[float, float]:
+    """Mean and deviation of feature ``j`` over groups that have values of it; a single value has no deviation at all."""
+    if not groups:
+        return 0.0, 0.0
+    low, high = min(r[f"a{j}"] for r in groups), max(r[f"b{j}"] for r in groups)
+    if low == high:
+        return low, 0.0
+    n = sum(r[f"c{j}"] for r in groups)
+    mean = sum(r[f"c{j}"] * r[f"m{j}"] for r in groups) / n
+    return mean, math.sqrt(sum(r[f"c{j}"] * (r[f"v{j}"] + (r[f"m{j}"] - mean) ** 2) for r in groups) / n)
+
+
+def _newton_sums(fitted: list, d: int):
+    """Loss, gradient and curvature of a task's rows, summed for each origin: a row is read once, whatever the number of origins that train on it."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {k: np.zeros(1 + (d + 1) * (d + 2)) for k, *_ in fitted}
+        for batch in batches:
+            low, high, every_y = (batch[c].to_numpy() for c in ("_lo", "_hi", "_y"))
+            every_x = batch[[f"x{j}" for j in range(d)]].to_numpy(float)
+            for k, mean, deviation, weights in fitted:
+                mine = (low <= k) & (k <= high)
+                if not mine.any():
+                    continue
+                y, spread = every_y[mine], np.array(deviation) > 0
+                z = np.where(spread, np.nan_to_num((every_x[mine] - mean) / np.where(spread, deviation, 1.0)), 0.0)
+                z = np.column_stack([np.ones(len(y)), z])
+                margin = z @ weights
+                small = np.exp(-np.abs(margin))  # log(1 + e^m) - y m, for margins of any size
+                chance = np.where(margin >= 0, 1.0, small) / (1 + small)
+                loss = np.maximum(margin, 0) + np.log1p(small) - y * margin
+                curve = z.T @ (z * (chance * (1 - chance))[:, None])
+                totals[k] += np.concatenate([[loss.sum()], z.T @ (chance - y), curve.ravel()])
+        yield pd.DataFrame({"k": pd.Series(list(totals), dtype="int32"), "s": [t.tolist() for t in totals.values()]})
+
+    return sums
 
 
 def score_origins(roles: DataFrame, models: dict, features: list[str]) -> DataFrame:
@@ -150,9 +210,15 @@ def evaluate_origins(df: DataFrame, origins: list[str], features: list[str], lab
     narrow = df.select(*dict.fromkeys([time_col, available_col, label, *features]))
     path = new_dir(spark, "rolling")
     narrow.write.parquet(f"{path}/rows")
-    roles = origin_roles(spark.read.schema(narrow.schema).parquet(f"{path}/rows"), origins, time_col, available_col, label)
-    models = fit_origins(roles, features, label)
-    scored = score_origins(roles.where(F.col("role") != TRAIN), models, features)
+    rows = spark.read.schema(narrow.schema).parquet(f"{path}/rows")
+    times = [r.at for r in spark.createDataFrame([(at,) for at in set(origins)], "at string").select(F.col("at").cast("timestamp").alias("at")).distinct().orderBy("at").collect()]
+    since = F.greatest(F.col(time_col).cast("timestamp"), F.col(available_col).cast("timestamp"))
+    known = rows.where(F.col(time_col).isNotNull() & F.col(available_col).isNotNull() & F.col(label).isNotNull())
+    train = _training_rows(known.where(since <= F.lit(times[-1])), _place(times, since), F.lit(len(times) - 1), features, label)
+    train.write.parquet(f"{path}/train")
+    models, n_train = _fit(spark.read.schema(train.schema).parquet(f"{path}/train"), times, len(features))
+    roles = origin_roles(known.where(F.col(time_col) > F.lit(times[0])), origins, time_col, available_col, label).where(F.col("role") != TRAIN)
+    scored = score_origins(roles, models, features)
     scored = scored.withColumn("_key", F.concat_ws("|", "role", F.unix_micros("origin")))
     counts = score_counts(scored, "_key", "score", F.col(label) == 1)
     counts.write.parquet(f"{path}/counts")  # both months: one pass
@@ -172,9 +238,8 @@ def evaluate_origins(df: DataFrame, origins: list[str], features: list[str], lab
     total = F.sum(F.col("p") + F.col("n"))
     has_rate = F.when(F.count("rate") > 0, _loss("calibrated") / total)
     losses = tested.groupBy("key").agg((_loss("base") / total).alias("base_loss"), (_loss("score") / total).alias("raw_loss"), has_rate.alias("calibrated_loss"))
-    sized = roles.groupBy(F.unix_micros("origin").alias("key")).agg(*[F.count_if(F.col("role") == r).alias(f"n_{r}") for r in (TRAIN, CALIBRATE, TEST)])
-    found = sized.join(losses, "key", "left").join(sizes.select("key", "n_blocks"), "key", "left")
-    every = spark.createDataFrame([(at,) for at in sorted(set(origins))], "at string").select(F.unix_micros(F.col("at").cast("timestamp")).alias("key"))
-    out = every.join(found, "key", "left")
+    sized = roles.groupBy(F.unix_micros("origin").alias("key")).agg(*[F.count_if(F.col("role") == r).alias(f"n_{r}") for r in (CALIBRATE, TEST)])
+    every = spark.createDataFrame([(at, n_train[at]) for at in times], "at timestamp, n_train long").select(F.unix_micros("at").alias("key"), "n_train")
+    out = every.join(sized, "key", "left").join(losses, "key", "left").join(sizes.select("key", "n_blocks"), "key", "left")
     whole = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_train", "n_calibrate", "n_test", "n_blocks")]
     return out.select(F.timestamp_micros("key").alias("origin"), *whole, "base_loss", "raw_loss", "calibrated_loss")

@@ -122,3 +122,17 @@ def test_drift_of_categories_that_come_and_go(spark):
     assert abs(out["new"].psi - (0.5 - 1e-4) * math.log(0.5 / 1e-4)) < 1e-9 and out[None].psi > 0
     assert all(abs(r.total_psi - sum(x.psi for x in out.values())) < 1e-9 for r in out.values())
     assert all(r.total_psi is None for r in reports.category_drift(data.where("not later"), "c", F.col("later")).collect())
+
+
+def test_training_rows_are_stored_once_for_all_origins(spark, monkeypatch):
+    seen, fit = [], rolling._fit
+
+    def watched(train, times, *more):
+        seen.append((train.count(), len(times)))
+        return fit(train, times, *more)
+
+    monkeypatch.setattr(rolling, "_fit", watched, raising=False)
+    data = rows(900)
+    out = rolling.evaluate_origins(spark.createDataFrame(data, SCHEMA), ORIGINS, ["a", "b"], "y", "t", "known").orderBy("origin").collect()
+    want = [sum(role(r, dt.datetime.fromisoformat(o)) == "train" for r in data) for o in ORIGINS]
+    assert [r.n_train for r in out] == want and seen == [(max(want), 3)]
