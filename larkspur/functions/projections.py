@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: ``.../2024/07/file`` or ``.../year=2024/month=07/file``; year and month come from the last two folders only.
-PARTITION_PATTERN = r"/(?:year=)?(\d{4})/(?:month=)?(\d{2})/[^/]+$"
+#: The last four parts of ``.../2024/07/file`` or ``.../year=2024/month=07/file``; year and month come from the last two folders only.
+PARTITION_PATTERN = r"^[^/]*/(?:year=)?(\d{4})/(?:month=)?(\d{2})/[^/]+$"
 
 
 def source_path(df: DataFrame) -> Column:
@@ -26,7 +26,8 @@ def with_audit(df: DataFrame) -> DataFrame:
 
 def with_path_partitions(df: DataFrame, path_col: str = "source_file") -> DataFrame:
     """Adds year and month (text) from the path; null where the path has none."""
-    found = {name: F.nullif(F.regexp_extract(path_col, PARTITION_PATTERN, i), F.lit("")) for i, name in ((1, "year"), (2, "month"))}
+    tail = F.substring_index(path_col, "/", -4)  # a search through long paths would cost more than parsing the rows
+    found = {name: F.nullif(F.regexp_extract(tail, PARTITION_PATTERN, i), F.lit("")) for i, name in ((1, "year"), (2, "month"))}
     return df.withColumns(found)
 
 

@@ -83,7 +83,7 @@ def enrich_as_of(events: DataFrame, history: DataFrame, key: str, event_time: st
         starts = known.groupBy(key).agg(F.min(FROM).alias("_start")).withColumnRenamed(key, "_k")
         effective = F.when(F.col(FROM) == F.col("_start"), since).otherwise(F.col(FROM))
         timed = known.join(starts, known[key] == F.col("_k")).withColumn("_from", effective).drop("_k", "_start")
-        asked = events.withColumn("_asked", F.coalesce(F.col(event_time).cast("timestamp"), since))
+        asked = events.withColumn("_asked", F.greatest(F.col(event_time).cast("timestamp"), since))  # without a time: since
         joined = as_of_join(asked, timed, key, "_asked", "_from", prefix="_v_", span_seconds=span_seconds)
     added = [F.col(f"`_v_{c}`").alias(f"{prefix}{c}") for c in marked if c != key]
     late = [F.coalesce(F.col(event_time).isNull() | (F.col(event_time).cast("timestamp") < F.col(f"_v_{FROM}")), F.lit(False)).alias("is_backfilled")] if backfill else []

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur import schemas
-from larkspur.functions.features import calendar_features
+from larkspur.functions.features import calendar_features, label_delay
 from larkspur.functions.projections import cast_columns, drop_clashing, with_audit
 from larkspur.operators import integrity
-from larkspur.operators.enrichment import attach_labels, with_buffer
+from larkspur.operators.enrichment import with_buffer
 from larkspur.operators.history import enrich_as_of, update_history
 from larkspur.operators.quality import dead_letter_columns, quarantine_union
 from larkspur.operators.reports import partition_counts, table_counts, trainable_count
@@ -76,6 +76,7 @@ def read_silver(spark: SparkSession, zones: Zones, name: str) -> DataFrame:
     return stored_split(spark, zones.at("silver", name)).clean
 
 
+_PARENT = "_parent"
 #: Tables whose rows must differ in some columns.
 ONCE = {"labels": Rule("label_repeated", "claim_id, label_available_date", tag="labels"), "policies": Rule("policy_version_repeated", "policy_id, policy_updated_at", tag="policies")}
 
@@ -87,6 +88,30 @@ def latest_label(labels: DataFrame, key: str = "claim_id", available: str = "lab
     return newest.select(key, *[F.col(f"_row.`{c}`").alias(c) for c in (available, *rest)])
 
 
+def enrich_claims(claims: DataFrame, labels: DataFrame, history: DataFrame, policies: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Claims with the policy version of their time, calendar features and the latest label, and the names of these columns; ``_parent`` is null for a
+    claim whose policy is not in ``policies``.
+
+    Labels are joined while claims are narrow, and parents are looked up in the history and not once more for the wide rows.
+    """
+    known = policies.select(F.col("policy_id").alias(_PARENT)).distinct()
+    marked = history.join(known, F.col("policy_id") == F.col(_PARENT), "left")
+
+    def wide(rows: DataFrame, versions: DataFrame) -> DataFrame:
+        timed = enrich_as_of(rows, versions, "policy_id", "timestamp", backfill=True).withColumnRenamed("valid_from", "policy_valid_from").withColumnRenamed("valid_to", "policy_valid_to")
+        return calendar_features(timed)
+
+    plain = wide(claims, history)  # for its names only
+    label = drop_clashing(latest_label(labels), plain, ["claim_id"], "label_", tuple(schemas.AUDIT_COLUMNS))
+    held = {c: f"_label_{i}" for i, c in enumerate(label.columns) if c != "claim_id"}
+    early = claims.join(label.withColumnsRenamed(held), "claim_id", "left")
+    rows = wide(early, marked)
+    added = [F.col(f"`{old}`").alias(c) for c, old in held.items()]
+    rows = rows.select("claim_id", *[F.col(f"`{c}`") for c in plain.columns if c != "claim_id"], *added, _PARENT)
+    rows = rows.withColumn("label_delay_days", label_delay("label_available_date", "timestamp"))
+    return rows, [c for c in rows.columns if c != _PARENT]
+
+
 def build_silver(spark: SparkSession, zones: Zones, rules: dict[str, list[Rule]] | None = None) -> None:
     """Typed, checked and enriched tables (claims, labels, policies, claims_enriched), policy_history, quarantine and rule_metrics.
 
@@ -103,14 +128,11 @@ def build_silver(spark: SparkSession, zones: Zones, rules: dict[str, list[Rule]]
     claims, labels, policies = (split[name].clean for name in ("claims", "labels", "policies"))
     versions = drop_clashing(policies, claims, ["policy_id"], "policy_", tuple(schemas.AUDIT_COLUMNS))
     history = update_history(spark, zones.at("silver", "policy_history"), versions, "policy_id", "policy_updated_at", zones.buckets)
-    known = policies.select(F.col("policy_id").alias("_parent")).distinct()
-    enriched = enrich_as_of(claims, history, "policy_id", "timestamp", backfill=True).withColumnRenamed("valid_from", "policy_valid_from").withColumnRenamed("valid_to", "policy_valid_to")
-    labelled = attach_labels(calendar_features(enriched), latest_label(labels))
-    with_parent = labelled.join(known, F.col("policy_id") == F.col("_parent"), "left")
-    outcome = F.when(F.col("_parent").isNull(), REJECTED).otherwise(CLEAN)
+    with_parent, columns = enrich_claims(claims, labels, history, policies)
+    outcome = F.when(F.col(_PARENT).isNull(), REJECTED).otherwise(CLEAN)
     letter = F.struct(*dead_letter_columns(F.lit("policy_fk_missing"), [Rule("policy_fk_missing", "policy_id has a parent", tag="claims_enriched")], claims.columns))
     target = zones.at("silver", "claims_enriched")
-    joined = Split(spark, target, written_split(with_parent, outcome, letter, labelled.columns, target))
+    joined = Split(spark, target, written_split(with_parent, outcome, letter, columns, target))
     writers.write_table(quarantine_union(*(s.quarantine for s in split.values()), joined.quarantine), zones.at("silver", "quarantine"))
     counted = [s.metrics.select(F.lit(name).alias("table_name"), "*") for name, s in split.items()]
     writers.write_table(quarantine_union(*counted), zones.at("silver", "rule_metrics"))

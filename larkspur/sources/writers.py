@@ -30,7 +30,9 @@ def export_json(df: DataFrame, path: str, time_col: str, rows_a_file: int = 1_00
     Rows are dealt out by ranges of month, time and content, so a month of any size is spread over as many tasks as it fills, and
     files of a month follow each other in time.
     """
-    dated = public_columns(df).withColumns({"year": F.date_format(time_col, "yyyy"), "month": F.date_format(time_col, "MM")})
+    time = F.col(time_col).cast("timestamp")
+    year = F.when(F.year(time).between(1000, 9999), F.year(time).cast("string")).otherwise(F.date_format(time, "yyyy"))  # cheaper than to format each time
+    dated = public_columns(df).withColumns({"year": year, "month": F.lpad(F.month(time).cast("string"), 2, "0")})
     spread = dated.withColumn("_part", F.xxhash64(*[F.col(f"`{c}`") for c in public_columns(df).columns]))
     order = ("year", "month", time_col, "_part")
     placed = spread.repartitionByRange(*order).sortWithinPartitions(*order).drop("_part")

@@ -112,3 +112,23 @@ def test_contract(spark):
     df = spark.createDataFrame([("a",), ("b",)], "body_shop_id string")
     flagged = apply_reference_tables(df, {"high_risk_bodyshops": df.where("body_shop_id = 'a'")}, contract["reference_tables"])
     assert sorted((r.body_shop_id, r.is_high_risk_body_shop) for r in flagged.collect()) == [("a", 1), ("b", 0)]
+
+
+def test_parents_are_looked_up_before_claims_are_wide(spark, zones):
+    from larkspur.plans.medallion import enrich_claims
+
+    claims, labels, policies = (silver(spark, zones, n) for n in ("claims", "labels", "policies"))
+    rows, columns = enrich_claims(claims, labels, silver(spark, zones, "policy_history"), policies)
+    assert columns == silver(spark, zones, "claims_enriched").columns
+    assert sorted(r.claim_id for r in rows.where("_parent is null").collect()) == ["C6", "C7"]
+    joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert "_s#" in joins[0] and "_parent" not in joins[0]  # the last join of the rows is that with their versions
+
+
+def test_first_version_holds_before_year_one(spark):
+    from larkspur.operators.history import build_history, enrich_as_of
+
+    versions = spark.sql("SELECT 1 AS k, timestamp'2024-01-01' AS t, 7 AS v")
+    events = spark.sql("SELECT 1 AS k, timestamp'0000-06-01' AS at UNION ALL SELECT 1, NULL")
+    found = enrich_as_of(events, build_history(versions, "k", "t").drop("t"), "k", "at", backfill=True)
+    assert [(r.v, r.is_backfilled) for r in found.select("v", "is_backfilled").collect()] == [(7, True)] * 2
