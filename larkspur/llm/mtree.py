@@ -14,6 +14,9 @@ Queries search their own tree first. The k-th score found there prunes whole cel
 radii) and then single trees (their root and covering radius) by ``q.x <= q.c + |q| r`` before any vector or tree is sent
 anywhere; queries meet the trees that are left in blocks of ``BLOCK``. Best lists are merged by query.
 
+The driver gets counts, about twice as many vectors as there are pivots, and radii. Floors and trees are merge-joined: their files, of
+repeated vectors above all, are a small part of their size, and Spark would broadcast them by that.
+
 Edge cases: vectors that are null or hold a null or a non-finite component take no part; an empty one scores 0 with all. Vectors
 of different lengths compare as if padded with zeros. Components may be as large as a double: products that doubles do not hold
 exactly are formed from Python integers. A score among the best that no 64-bit integer holds, or a component that ``scale``
@@ -229,10 +232,25 @@ def _split_cells(placed: DataFrame, large: DataFrame, tree_rows: int) -> DataFra
     return dealt.groupBy("cell", "part").cogroup(pivots.groupBy("p_cell", "p_part")).applyInPandas(assign, "cell int, vec_id long, v array<double>, sub int")
 
 
+def _pivots(rows: DataFrame, tree_rows: int) -> list[list[float]]:
+    """One vector for ``tree_rows`` rows, ``PIVOTS`` at most: those of the ids with the least hashes.
+
+    A bound on the hash that about twice as many ids meet comes first, so that the driver gets that many rows from all partitions together.
+    """
+    count = rows.count()
+    if not count:
+        return []
+    wanted, order = min(PIVOTS, -(-count // tree_rows)), F.xxhash64("vec_id")
+    below = min((1 << 63) - 1, (1 << 64) * (2 * wanted + 64) // count - (1 << 63))
+    some = rows.where(order <= F.lit(below)).groupBy("vec_id").agg(F.min("v").alias("v")).select(order.alias("hash"), "vec_id", "v").collect()
+    if not some:  # few ids, repeated often
+        some = rows.agg(F.min(F.struct(order.alias("hash"), "vec_id", "v")).alias("least")).select("least.*").collect()
+    return [r.v for r in sorted(some, key=lambda r: (r.hash, r.vec_id))[:wanted]]
+
+
 def _cells(rows: DataFrame, tree_rows: int, tables: Tables) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """The rows with cell (nearest pivot) and tree, and the pivots and covering radii of the cells."""
-    wanted = min(PIVOTS, -(-rows.count() // tree_rows))
-    pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, wanted)).collect()]
+    pivots = _pivots(rows, tree_rows)
     table = _matrix(pivots)
 
     @F.pandas_udf("struct<cell int, away double>")
@@ -335,7 +353,7 @@ def searched(forest: Forest, queries: DataFrame, floors: DataFrame) -> DataFrame
         width = max(q.shape[1], c.shape[1])
         return pd.Series(_may_reach(_widened(q, width), _widened(c, width), radius.to_numpy(np.float64), least.to_numpy(np.float64)), index=v.index)
 
-    asked = queries.join(floors, "query_id", "left").select("query_id", "v", "least", F.col("tree").alias("home"))
+    asked = queries.join(floors.hint("merge"), "query_id", "left").select("query_id", "v", "least", F.col("tree").alias("home"))
     asked = asked.withColumn("cell", F.explode(cells("v", "least")))
     met = asked.join(forest.trees.select("cell", "tree", "root", "radius"), "cell").where("tree <> home")
     return met.where(reaches("v", "root", "radius", "least")).select("query_id", "v", "least", "tree")
@@ -369,7 +387,7 @@ def top_k(forest: Forest, is_query: Column, k: int = TOP) -> DataFrame:
     block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int")
     asked = forest.tables.written(searched(forest, queries, floors).withColumn("block", block), "asked")
     met = asked.select(F.col("tree").alias("at"), F.col("block").alias("of")).distinct()
-    copies = met.join(forest.trees.select(F.col("tree").alias("at"), "index"), "at")
+    copies = met.join(forest.trees.select(F.col("tree").alias("at"), "index").hint("merge"), "at")
     away = copies.groupBy("at", "of").cogroup(asked.groupBy("tree", "block")).applyInPandas(visit, _HIT)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = home.unionByName(away).withColumn("rank", F.row_number().over(order).cast("int"))

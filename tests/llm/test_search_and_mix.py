@@ -240,6 +240,41 @@ def test_trees_are_ruled_out_before_anything_is_sent(spark):
     assert found_by(forest, 20) == want
 
 
+def test_floors_and_trees_are_not_broadcast(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(400)]
+    forest = mtree.build(mtree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), tree_rows=40)
+    queries = forest.placed.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v", "tree")
+    floors = forest.placed.groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.lit(-(10**9))).alias("least"))
+    plan = mtree.searched(forest, queries, floors)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [query_id" in plan and "BroadcastHashJoin [query_id" not in plan  # files this small would be broadcast
+    best = mtree.top_k(forest, F.col("vec_id") % 20 == 0, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [at" in best and "Broadcast" not in best
+
+
+@pytest.mark.parametrize("ids", [1, 3, 5000])
+def test_driver_gets_few_rows_for_the_pivots(spark, monkeypatch, ids):
+    monkeypatch.setattr(mtree, "PIVOTS", 16)
+    frame, met = type(spark.range(0)), []
+    rows = mtree.quantised(spark.range(0, 40_000, 1, 64).select((F.col("id") % ids).alias("vec_id"), F.array((F.col("id") % ids).cast("double")).alias("embedding")))
+
+    def limited(self, n, f=frame.limit):
+        met.append(n * rows.rdd.getNumPartitions())  # collected in order, a limit brings the best n of every partition
+        return f(self, n)
+
+    def collected(self, f=frame.collect):
+        got = f(self)
+        met.append(len(got))
+        return got
+
+    monkeypatch.setattr(frame, "limit", limited)
+    monkeypatch.setattr(frame, "collect", collected)
+    placed, table, radii = mtree._cells(rows, 100, mtree.Tables(spark, "few"))
+    assert 1 <= len(table) <= min(ids, 16) and len(radii) == len(table) and max(met) <= 200
+    assert ids < 5000 or len(table) > 8
+    assert placed.count() == 40_000
+
+
 def test_large_cells_are_split_by_distance(spark, monkeypatch):
     monkeypatch.setattr(mtree, "PIVOTS", 3)
     monkeypatch.setattr(mtree, "DEAL", 200)
