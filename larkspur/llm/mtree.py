@@ -14,8 +14,9 @@ Queries search their own tree first. The k-th score found there prunes whole cel
 radii) and then single trees (their root and covering radius) by ``q.x <= q.c + |q| r`` before any vector or tree is sent
 anywhere; queries meet the trees that are left in blocks of ``BLOCK``. Best lists are merged by query.
 
-The driver gets counts, about twice as many vectors as there are pivots, and radii. Floors and trees are merge-joined: their files, of
-repeated vectors above all, are a small part of their size, and Spark would broadcast them by that.
+The driver gets counts, about twice as many vectors as there are pivots, radii, and the roots of trees up to ``ROOT_BYTES``. No join is
+left to Spark's choice where it knows files only: those of queries, floors and trees are a small part of their size, and it would
+broadcast every query once for each cell it may reach.
 
 Edge cases: vectors that are null or hold a null or a non-finite component take no part; an empty one scores 0 with all. Vectors
 of different lengths compare as if padded with zeros. Components may be as large as a double: products that doubles do not hold
@@ -42,6 +43,8 @@ SCALE, TOP, QUERY_EVERY = 64, 20, 20
 #: Most pivots of the table or of a cell (one for TREE_ROWS rows up to this number), rows of a tree, of a page, entries of an inner
 #: node, queries of a block, and rows of a cell that are dealt out to its pivots in one task.
 PIVOTS, TREE_ROWS, PAGE, FANOUT, BLOCK, DEAL = 1024, 4096, 512, 16, 512, 100_000
+#: Most bytes of the trees' roots that are broadcast.
+ROOT_BYTES = 4 << 20
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -355,7 +358,9 @@ def searched(forest: Forest, queries: DataFrame, floors: DataFrame) -> DataFrame
 
     asked = queries.join(floors.hint("merge"), "query_id", "left").select("query_id", "v", "least", F.col("tree").alias("home"))
     asked = asked.withColumn("cell", F.explode(cells("v", "least")))
-    met = asked.join(forest.trees.select("cell", "tree", "root", "radius"), "cell").where("tree <> home")
+    numbers = forest.trees.agg(F.sum(F.size("root") + 4)).first()[0] or 0
+    roots = forest.trees.select("cell", "tree", "root", "radius").hint("broadcast" if 8 * numbers <= ROOT_BYTES else "merge")
+    met = asked.join(roots, "cell").where("tree <> home")
     return met.where(reaches("v", "root", "radius", "least")).select("query_id", "v", "least", "tree")
 
 

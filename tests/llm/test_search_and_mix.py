@@ -252,6 +252,23 @@ def test_floors_and_trees_are_not_broadcast(spark):
     assert "SortMergeJoin [at" in best and "Broadcast" not in best
 
 
+def test_queries_are_not_broadcast_once_for_each_cell(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(400)]
+    forest = mtree.build(mtree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), tree_rows=40)
+    own = forest.placed.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v", "tree")
+    queries = forest.tables.written(own.coalesce(1), "queries")  # smaller files than those of the trees
+    floors = forest.tables.written(queries.select("query_id", F.lit(-(10**9)).alias("least")).coalesce(1), "floors").groupBy("query_id").agg(F.min("least").alias("least"))
+    found = mtree.searched(forest, queries, floors)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    monkeypatch.setattr(mtree, "ROOT_BYTES", 0)
+    merged = mtree.searched(forest, queries, floors)
+    assert "Broadcast" not in merged._jdf.queryExecution().executedPlan().toString()
+    pairs = sorted((r.query_id, r.tree) for r in found.collect())
+    assert len(pairs) == 20 * (forest.trees.count() - 1) and pairs == sorted((r.query_id, r.tree) for r in merged.collect())
+
+
 @pytest.mark.parametrize("ids", [1, 3, 5000])
 def test_driver_gets_few_rows_for_the_pivots(spark, monkeypatch, ids):
     monkeypatch.setattr(mtree, "PIVOTS", 16)
